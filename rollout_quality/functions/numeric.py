@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from rollout_quality.config import ANSWER_MARKER, COMPAT, check_grammar
-from rollout_quality.functions.text import WS, let, strip
+from rollout_quality.functions.text import UNICODE, WS, let, strip
 
 # Number words.
 NUMBER_WORDS = (
@@ -32,12 +32,12 @@ NUMBER_WORDS = (
 # A currency sign, percent sign or space next to a number never changes its value, so the patterns leave them
 # out; without those optional runs matching stays linear in the text length.
 NUMBER = {
-    "compat": r"-?\d{1,3}(?:,\d{3})*(?:\.\d+)?",
-    "full": r"-?\d+(?:,\d{3})*(?:\.\d+)?",
+    "compat": r"-?[0-9]{1,3}(?:,[0-9]{3})*(?:\.[0-9]+)?",
+    "full": r"-?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?",
 }
 # The possessive runs and the look-behind stop the matcher from retrying inside one long run of digits.
-FRACTION = rf"(?:-|(?<!\d))\d++[{WS}]*+/[{WS}]*+-?\d++"
-ZERO_DENOMINATOR = rf"/[{WS}]*-?0+$"
+FRACTION = rf"{UNICODE}(?:-|(?<![0-9]))[0-9]++[{WS}]*+/[{WS}]*+-?[0-9]++"
+ZERO_DENOMINATOR = rf"{UNICODE}/[{WS}]*-?0+$"
 
 _FINITE = 1.7976931348623157e308
 _MAX_TEXT_DIGITS = 15  # any decimal of up to 15 digits is the shortest text of its double
@@ -177,45 +177,59 @@ def fraction_text(fraction: Column) -> Column:
     )
 
 
-def _word_text(raw: Column) -> Column:
-    words = F.create_map(*[F.lit(x) for i, w in enumerate(NUMBER_WORDS) for x in (w, str(i))])
-    return F.try_element_at(words, F.btrim(F.lower(raw), F.lit(".,!? ")))
+def _canonical(candidate: Column) -> Column:
+    """Canonical text of a candidate: a fraction or number match, or NULL."""
+    return let(
+        candidate,
+        lambda c: F.when(c.contains("/"), fraction_text(c)).otherwise(number_text(c)),
+    )
 
 
-def normalise_numeric(raw: Column, grammar: str = COMPAT) -> Column:
-    """Canonical numeric text of free text, or NULL."""
-    pattern = NUMBER[check_grammar(grammar)]
+def _match(text: Column, pattern: str) -> Column:
+    """First match of a pattern, NULL without one."""
+    return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", m))
+
+
+def _word_value(text: Column) -> Column:
+    words = F.create_map(*[F.lit(x) for i, w in enumerate(NUMBER_WORDS) for x in (w, str(i))])
+    return F.try_element_at(words, F.btrim(F.lower(text), F.lit(".,!? ")))
 
-    def resolve(text: Column) -> Column:
-        fraction = F.when(text.contains("/"), F.regexp_extract(text, FRACTION, 0)).otherwise("")
-        number = F.regexp_extract(text, pattern, 0)
-        plain = let(number, lambda n: F.when(n != "", number_text(n)).otherwise(_word_text(text)))
-        return let(fraction, lambda f: F.when(f != "", fraction_text(f)).otherwise(plain))
 
-    return let(strip(raw), resolve)
+def _first_candidate(text: Column, grammar: str) -> Column:
+    """First fraction, else first number, else the value of a number word that is the whole text."""
+    fraction = F.when(text.contains("/"), _match(text, FRACTION))
+    return F.coalesce(fraction, _match(text, NUMBER[grammar]), _word_value(text))
 
 
 def _last_candidate(text: Column, grammar: str) -> Column:
-    """Last valid fraction of the text, else its last number."""
+    """Last fraction with a value, else last number."""
     fractions = F.filter(
         F.regexp_extract_all(text, F.lit(FRACTION), F.lit(0)), lambda f: ~f.rlike(ZERO_DENOMINATOR)
     )
-    last_fraction = F.when(text.contains("/"), F.try_element_at(fractions, F.lit(-1)))
     numbers = F.regexp_extract_all(text, F.lit(NUMBER[grammar]), F.lit(0))
     return F.coalesce(
-        let(last_fraction, fraction_text),
-        let(F.try_element_at(numbers, F.lit(-1)), number_text),
+        F.when(text.contains("/"), F.try_element_at(fractions, F.lit(-1))),
+        F.try_element_at(numbers, F.lit(-1)),
     )
 
 
+def normalise_numeric(raw: Column, grammar: str = COMPAT) -> Column:
+    """Canonical numeric text of free text, or NULL."""
+    check_grammar(grammar)
+    return _canonical(let(strip(raw), lambda text: _first_candidate(text, grammar)))
+
+
 def extract_final_answer(completion: Column, grammar: str = COMPAT) -> Column:
     """Answer after the last marker; if nothing usable follows it, the last candidate of the whole text."""
     check_grammar(grammar)
-    marked = F.when(
-        completion.contains(ANSWER_MARKER),
-        normalise_numeric(F.substring_index(completion, ANSWER_MARKER, -1), grammar),
-    )
-    return F.coalesce(marked, _last_candidate(completion, grammar))
+
+    def usable(tail: Column) -> Column:
+        first = _first_candidate(tail, grammar)
+        return let(first, lambda c: F.when(~c.rlike(ZERO_DENOMINATOR), c))
+
+    tail = strip(F.substring_index(completion, ANSWER_MARKER, -1))
+    marked = F.when(completion.contains(ANSWER_MARKER), let(tail, usable))
+    return _canonical(F.coalesce(marked, _last_candidate(completion, grammar)))
 
 
 def answer_type(answer: Column) -> Column:

@@ -19,33 +19,49 @@ ANSWER_TYPES = ("fraction", "decimal", "negative_integer", "integer")
 
 
 def parse_solution(solution: Column, grammar: str = COMPAT) -> Column:
-    """Struct(reasoning, answer, error, error_code) of a worked solution, split at its first marker."""
+    """Struct(at, tail, answer) of a worked solution: position of its first marker (0 without one), text after
+    it, canonical answer."""
+    at = F.coalesce(F.locate(ANSWER_MARKER, solution), F.lit(0))
 
-    def split(at: Column) -> Column:
-        tail = strip(F.substring(solution, at + len(ANSWER_MARKER), F.length(solution)))
-        return F.struct(at.alias("at"), tail.alias("tail"))
+    def split(a: Column) -> Column:
+        tail = F.when(a > 0, strip(F.substring(solution, a + len(ANSWER_MARKER), F.length(solution))))
+        return F.struct(a.alias("at"), tail.alias("tail"))
 
     def parsed(s: Column) -> Column:
-        return F.struct(
-            s["at"].alias("at"), s["tail"].alias("tail"), normalise_numeric(s["tail"], grammar).alias("answer")
-        )
-
-    def shaped(s: Column) -> Column:
-        missing, unparsed = s["at"] == 0, s["answer"].isNull()
-        no_marker = F.concat(
-            F.lit(f"parse_error:No '{ANSWER_MARKER}' found in solution: "), F.left(solution, F.lit(ERROR_EXCERPT))
-        )
-        no_number = F.concat(F.lit("parse_error:Cannot parse numeric answer from: '"), s["tail"], F.lit("'"))
-        failed = missing | unparsed
-        return F.struct(
-            F.when(~failed, strip(F.left(solution, s["at"] - 1))).alias("reasoning"),
-            F.when(~failed, s["answer"]).alias("answer"),
-            F.when(missing, no_marker).when(unparsed, no_number).alias("error"),
-            F.when(missing, "no_marker").when(unparsed, "unparseable_answer").alias("error_code"),
-        )
+        return F.struct(s["at"], s["tail"], normalise_numeric(s["tail"], grammar).alias("answer"))
 
-    at = F.coalesce(F.locate(ANSWER_MARKER, solution), F.lit(0))
-    return let(at, lambda a: let(split(a), lambda s: let(parsed(s), shaped)))
+    return let(let(at, split), parsed)
+
+
+def parse_error(solution: Column, parsed: Column) -> Column:
+    """Struct(code, text) of what is wrong with a parsed solution, NULL if nothing."""
+    excerpt = F.left(F.coalesce(solution, F.lit("")), F.lit(ERROR_EXCERPT))
+    no_marker = F.concat(F.lit(f"parse_error:No '{ANSWER_MARKER}' found in solution: "), excerpt)
+    no_number = F.concat(F.lit("parse_error:Cannot parse numeric answer from: '"), parsed["tail"], F.lit("'"))
+    return F.when(
+        parsed["at"] == 0, F.struct(F.lit("no_marker").alias("code"), no_marker.alias("text"))
+    ).when(
+        parsed["answer"].isNull(), F.struct(F.lit("unparseable_answer").alias("code"), no_number.alias("text"))
+    )
+
+
+def shape_error(question: Column, system_prompt: str) -> Column:
+    """Struct(code, text) of a record that would fail validation although its answer parsed, NULL if none would.
+
+    The parsed answer, the roles and the metadata are ours, so only blank texts can be invalid.
+    """
+    blank = is_blank(question)
+    checks = [F.when(blank, "empty_question")]
+    if not system_prompt.strip():
+        checks.append(F.lit("empty_prompt_content:0"))
+    checks.append(F.when(blank, "empty_prompt_content:1"))
+    return let(
+        F.filter(F.array(*checks), lambda e: e.isNotNull()),
+        lambda codes: F.when(
+            F.size(codes) > 0,
+            F.struct(F.element_at(codes, 1).alias("code"), F.array_join(codes, ";").alias("text")),
+        ),
+    )
 
 
 def build_prompt(question: Column, system_prompt: str = DEFAULT_SYSTEM_PROMPT) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, functions as F
 
 from rollout_quality.config import ANSWER_MARKER, COMPAT, RewardWeights
 from rollout_quality.functions.numeric import extract_final_answer, to_float
-from rollout_quality.functions.text import let, line_count, strip, word_count
+from rollout_quality.functions.text import has_lines, let, strip, word_count
 
 Reward = Callable[[Column, Column], Column]
 
@@ -35,12 +35,10 @@ def completion_text(messages: Column) -> Column:
 
 def format_reward(completion: Column) -> Column:
     """Marker present, at least three non-blank lines, a digit after the last marker."""
-    marked = completion.contains(ANSWER_MARKER)
-    numbered = F.substring_index(completion, ANSWER_MARKER, -1).rlike(r"\d")
-    marker = F.when(marked, F.lit(MARKER_SHARE)).otherwise(F.lit(0.0))
-    lines = F.when(line_count(completion) >= MIN_LINES, F.lit(LINES_SHARE)).otherwise(F.lit(0.0))
-    number = F.when(marked & numbered, F.lit(NUMBER_SHARE)).otherwise(F.lit(0.0))
-    return marker + lines + number
+    numbered = F.substring_index(completion, ANSWER_MARKER, -1).rlike("[0-9]")
+    lines = F.when(has_lines(completion, MIN_LINES), F.lit(LINES_SHARE)).otherwise(F.lit(0.0))
+    number = F.when(numbered, F.lit(NUMBER_SHARE)).otherwise(F.lit(0.0))
+    return F.when(completion.contains(ANSWER_MARKER), F.lit(MARKER_SHARE) + lines + number).otherwise(lines)
 
 
 def length_reward(completion: Column, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS) -> Column:
@@ -62,43 +60,34 @@ def completion_features(completion: Column, grammar: str = COMPAT) -> dict[str,
     }
 
 
-def exact_match(predicted: Column, reference: Column) -> Column:
-    """1 if both are numbers within relative tolerance, or the same text if either is not a number."""
+def numbers(predicted: Column, reference: Column) -> dict[str, Column]:
+    """Both sides as doubles; NULL where a side is not a number. Only the reference may carry commas."""
+    return {
+        "p": predicted.try_cast("double"),
+        "r": to_float(F.replace(reference, F.lit(","), F.lit(""))),
+    }
 
-    def compare(x: Column) -> Column:
-        p, r = x["p"], x["r"]
-        close = F.abs(p - r) <= F.lit(RELATIVE_TOLERANCE) * F.greatest(F.abs(p), F.abs(r))
-        numeric = F.when(close & (F.abs(r) < float("inf")), F.lit(1.0)).otherwise(F.lit(0.0))
-        textual = F.when(strip(predicted) == strip(reference), F.lit(1.0)).otherwise(F.lit(0.0))
-        return F.when(p.isNotNull() & r.isNotNull(), numeric).otherwise(textual)
 
-    return let(_numbers(predicted, reference), compare)
+def exact_match(predicted: Column, reference: Column, p: Column, r: Column) -> Column:
+    """1 if both are numbers within relative tolerance, or the same text if either is not a number."""
+    close = F.abs(p - r) <= F.lit(RELATIVE_TOLERANCE) * F.greatest(F.abs(p), F.abs(r))
+    same_number = close & (F.abs(r) < float("inf"))
+    same_text = (p.isNull() | r.isNull()) & (strip(predicted) == strip(reference))
+    return F.when(same_number | same_text, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def soft_numeric(predicted: Column, reference: Column, k: float = 0.1) -> Column:
+def soft_numeric(p: Column, r: Column, k: float = 0.1) -> Column:
     """exp(-k * relative error), 0 if either side is not a number."""
-    return let(
-        _numbers(predicted, reference),
-        lambda x: F.coalesce(
-            F.exp(F.lit(-float(k)) * (F.abs(x["p"] - x["r"]) / (F.abs(x["r"]) + 1.0))), F.lit(0.0)
-        ),
-    )
-
-
-def _numbers(predicted: Column, reference: Column) -> Column:
-    return F.struct(
-        to_float(predicted).alias("p"),
-        to_float(F.replace(reference, F.lit(","), F.lit(""))).alias("r"),
-    )
+    return F.coalesce(F.exp(F.lit(-float(k)) * (F.abs(p - r) / (F.abs(r) + 1.0))), F.lit(0.0))
 
 
-def components(features: dict[str, Column], reference: Column, k: float = 0.1) -> dict[str, Column]:
-    """The four component rewards of a completion, given its features."""
+def components(row: dict[str, Column], reference: Column, k: float = 0.1) -> dict[str, Column]:
+    """The four component rewards, given a completion's features and `numbers`."""
     return {
-        "exact_match": exact_match(features["predicted"], reference),
-        "soft_numeric": soft_numeric(features["predicted"], reference, k),
-        "format": features["format"],
-        "length": features["length"],
+        "exact_match": exact_match(row["predicted"], reference, row["p"], row["r"]),
+        "soft_numeric": soft_numeric(row["p"], row["r"], k),
+        "format": row["format"],
+        "length": row["length"],
     }
 
 
@@ -142,18 +131,35 @@ def _weighted_sum(parts: dict[str, Column], w: RewardWeights, chosen: Sequence[s
     return sum(terms[1:], terms[0])
 
 
-def _components_of(completion: Column, reference: Column, k: float, grammar: str) -> dict[str, Column]:
-    return components(completion_features(completion, grammar), reference, k)
+def _with_components(
+    completion: Column,
+    reference: Column,
+    k: float,
+    grammar: str,
+    combined: Callable[[dict[str, Column]], Column],
+) -> Column:
+    """Bind features, then numbers, then combine the components: the whole score as one expression."""
+
+    def bind(values: dict[str, Column], body: Callable[[dict[str, Column]], Column]) -> Column:
+        packed = F.struct(*[c.alias(n) for n, c in values.items()])
+        return let(packed, lambda s: body({n: s[n] for n in values}))
+
+    return bind(
+        completion_features(completion, grammar),
+        lambda f: bind(
+            {**f, **numbers(f["predicted"], reference)}, lambda row: combined(components(row, reference, k))
+        ),
+    )
 
 
 def exact_match_reward(completion: Column, reference: Column, grammar: str = COMPAT) -> Column:
-    return exact_match(extract_final_answer(completion, grammar), reference)
+    return _with_components(completion, reference, 0.1, grammar, lambda parts: parts["exact_match"])
 
 
 def soft_numeric_reward(
     completion: Column, reference: Column, k: float = 0.1, grammar: str = COMPAT
 ) -> Column:
-    return soft_numeric(extract_final_answer(completion, grammar), reference, k)
+    return _with_components(completion, reference, k, grammar, lambda parts: parts["soft_numeric"])
 
 
 def composite_reward(
@@ -164,11 +170,7 @@ def composite_reward(
     grammar: str = COMPAT,
 ) -> Column:
     """Composite reward of one completion, for use inside array functions and as a default reward."""
-    features = completion_features(completion, grammar)
-    return let(
-        F.struct(*[c.alias(n) for n, c in features.items()]),
-        lambda f: combine(components({n: f[n] for n in features}, reference, soft_k), weights),
-    )
+    return _with_components(completion, reference, soft_k, grammar, lambda parts: combine(parts, weights))
 
 
 def create_reward(
@@ -186,7 +188,9 @@ def create_reward(
         return lambda c, r: composite_reward(c, r, weights, soft_k, grammar)
     flags = (use_exact, use_soft_numeric, use_format, use_length)
     selected = [name for name, on in zip(COMPONENTS, flags) if on]
-    return lambda c, r: combine_selected(_components_of(c, r, soft_k, grammar), selected, weights)
+    return lambda c, r: _with_components(
+        c, r, soft_k, grammar, lambda parts: combine_selected(parts, selected, weights)
+    )
 
 
 def group_rewards(completions: Column, reference: Column, reward: Reward | None = None) -> Column:

@@ -3,33 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
-# Code point ranges of whitespace and of line breaks as Python's str methods define them. Spark's
-# own `trim` knows only the space and Java's `\s` only ASCII.
-WHITESPACE_RANGES = (
-    (0x09, 0x0D),
-    (0x1C, 0x20),
-    (0x85, 0x85),
-    (0xA0, 0xA0),
-    (0x1680, 0x1680),
-    (0x2000, 0x200A),
-    (0x2028, 0x2029),
-    (0x202F, 0x202F),
-    (0x205F, 0x205F),
-    (0x3000, 0x3000),
+# Whitespace and line breaks as Python's str methods define them. Spark's own `trim` knows only the
+# space and Java's plain `\s` only ASCII; the Unicode flag covers the rest except the four separators.
+WHITESPACE = "".join(
+    chr(c)
+    for first, last in (
+        (0x09, 0x0D),
+        (0x1C, 0x20),
+        (0x85, 0x85),
+        (0xA0, 0xA0),
+        (0x1680, 0x1680),
+        (0x2000, 0x200A),
+        (0x2028, 0x2029),
+        (0x202F, 0x202F),
+        (0x205F, 0x205F),
+        (0x3000, 0x3000),
+    )
+    for c in range(first, last + 1)
 )
-LINE_BREAK_RANGES = ((0x0A, 0x0D), (0x1C, 0x1E), (0x85, 0x85), (0x2028, 0x2029))
-
-
-def _regex_class(ranges: tuple[tuple[int, int], ...]) -> str:
-    return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" if a < b else rf"\x{{{a:x}}}" for a, b in ranges)
-
-
-WHITESPACE = "".join(chr(c) for a, b in WHITESPACE_RANGES for c in range(a, b + 1))
-WS = _regex_class(WHITESPACE_RANGES)
-LINE_BREAK = _regex_class(LINE_BREAK_RANGES)
+UNICODE = "(?U)"
+WS = r"\s\x1c-\x1f"
+LINE_BREAK = r"\n\x0b\f\r\x1c\x1d\x1e\x85\x{2028}\x{2029}"
+RARE_LINE_BREAKS = "\x0b\x0c\x1c\x1d\x1e"  # the ones a regex dot runs across
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,28 +48,37 @@ def strip(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for NULL, empty and whitespace-only text."""
-    return F.coalesce(~text.rlike(f"[^{WS}]"), F.lit(True))
+    return F.coalesce(~text.rlike(f"{UNICODE}[^{WS}]"), F.lit(True))
 
 
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words."""
-    return F.size(F.regexp_extract_all(text, F.lit(f"[^{WS}]+"), F.lit(0)))
+    return F.size(F.regexp_extract_all(text, F.lit(f"{UNICODE}[^{WS}]+"), F.lit(0)))
+
+
+def has_lines(text: Column, n: int) -> Column:
+    """True if the text has at least `n` non-blank lines.
+
+    Anchored and possessive: the match reads `n` lines, not the whole text, and never backtracks. The dot is
+    several times faster than a class of line breaks, so the class serves only texts with a rare break.
+    """
 
+    def lines(rest_of_line: str) -> Column:
+        return text.rlike(rf"{UNICODE}\A(?:[{WS}]*+[^{WS}]{rest_of_line}*+){{{n}}}")
 
-def line_count(text: Column) -> Column:
-    """Number of non-blank lines: one match per line, from its first visible character to its end."""
-    return F.size(F.regexp_extract_all(text, F.lit(f"[^{WS}][^{LINE_BREAK}]*"), F.lit(0)))
+    rare = reduce(or_, [text.contains(c) for c in RARE_LINE_BREAKS])
+    return F.when(rare, lines(f"[^{LINE_BREAK}]")).otherwise(lines("."))
 
 
 def sentence_count(text: Column) -> Column:
     """Sentences of a stripped text: one more than the sentence ends followed by whitespace, 0 if empty."""
-    ends = F.size(F.regexp_extract_all(text, F.lit(f"[.!?][{WS}]"), F.lit(0)))
+    ends = F.size(F.regexp_extract_all(text, F.lit(f"{UNICODE}[.!?][{WS}]"), F.lit(0)))
     return F.when(text == "", F.lit(0)).otherwise(ends + 1)
 
 
 def question_fingerprint(question: Column) -> Column:
     """Lower case, stripped, whitespace runs collapsed to one space."""
-    return F.regexp_replace(strip(F.lower(question)), f"[{WS}]+", " ")
+    return F.regexp_replace(strip(F.lower(question)), f"{UNICODE}[{WS}]+", " ")
 
 
 def digest(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from rollout_quality.config import COMPAT, DEFAULT_SYSTEM_PROMPT, BuildConfig
 from rollout_quality.functions import records as R
 from rollout_quality.functions.numeric import answer_type, normalise_numeric
-from rollout_quality.functions.text import digest, question_fingerprint
+from rollout_quality.functions.text import digest, question_fingerprint, strip
 from rollout_quality.operators.indexing import ROWS_PER_BUCKET, with_position
 from rollout_quality.schemas import ANALYSIS_FIELDS, PUBLIC_FIELDS
 
@@ -21,16 +21,21 @@ def index_split(
     return with_position(raw, key, "idx", ties=ties, rows_per_bucket=rows_per_bucket)
 
 
-def parse_solutions(raw: DataFrame, grammar: str = COMPAT) -> DataFrame:
-    """Add reasoning, answer, error and error_code, split at the first marker."""
-    parsed = raw.withColumn("__parsed", R.parse_solution(F.col("answer"), grammar))
-    keep = [F.col(c) for c in raw.columns if c != "answer"]
-    return parsed.select(
-        *keep,
-        F.col("__parsed.reasoning").alias("reference_solution"),
-        F.col("__parsed.answer").alias("reference_answer"),
-        F.col("__parsed.error").alias("error"),
-        F.col("__parsed.error_code").alias("error_code"),
+def parse_solutions(raw: DataFrame, cfg: BuildConfig = BuildConfig()) -> DataFrame:
+    """Replace `answer` by reasoning, canonical answer, error and error_code."""
+    carried = [F.col(c) for c in raw.columns if c != "answer"]
+    parsed, error = F.col("__parsed"), F.col("__error")
+    reasoning = strip(F.left(F.col("answer"), parsed["at"] - 1))
+    return (
+        raw.withColumn("__parsed", R.parse_solution(F.col("answer"), cfg.grammar))
+        .withColumn("__error", R.parse_error(F.col("answer"), parsed))
+        .select(
+            *carried,
+            F.when(error.isNull(), reasoning).alias("reference_solution"),
+            F.when(error.isNull(), parsed["answer"]).alias("reference_answer"),
+            error["text"].alias("error"),
+            error["code"].alias("error_code"),
+        )
     )
 
 
@@ -38,41 +43,44 @@ def normalise_answers(df: DataFrame, column: str, out: str = "normalised", gramm
     return df.withColumn(out, normalise_numeric(F.col(column), grammar))
 
 
-def process_split(indexed: DataFrame, cfg: BuildConfig = BuildConfig()) -> DataFrame:
-    """Parse, shape and validate every row. `error` is NULL for a good row, else says what is wrong.
+def check_rows(raw: DataFrame, cfg: BuildConfig = BuildConfig()) -> DataFrame:
+    """Parsed rows with every reason for quarantine already decided: parse errors, then blank texts."""
+    parsed = parse_solutions(raw, cfg).withColumn("__shape", R.shape_error(F.col("question"), cfg.system_prompt))
+    return parsed.withColumns(
+        {
+            "error": F.coalesce("error", F.col("__shape.text")),
+            "error_code": F.coalesce("error_code", F.col("__shape.code")),
+        }
+    ).drop("__shape")
+
+
+def process_split(
+    raw: DataFrame,
+    cfg: BuildConfig = BuildConfig(),
+    key: str | None = "src_id",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Parse, index, shape and validate every row. `error` is NULL for a good row, else says what is wrong.
 
     Bad rows stay in the table with their record columns NULL, so good, quarantined and raw counts come from
-    one DataFrame. Further input columns are carried along.
+    one DataFrame. Further input columns are carried along. Rows are checked before they are ranked: a later
+    filter on `error` then reads a finished column instead of parsing again. With `key=None` the input already
+    has its `idx`.
     """
-    parsed = parse_solutions(indexed, cfg.grammar)
+    checked = check_rows(raw, cfg)
+    indexed = checked if key is None else index_split(checked, key, rows_per_bucket=rows_per_bucket)
+    good = F.col("error").isNull()
     metadata = [F.col("idx").alias("original_idx")]
     if cfg.add_difficulty:
         metadata.append(R.difficulty(F.col("reference_solution")).alias("difficulty"))
-    question = F.coalesce(F.col("question"), F.lit(""))
-    shaped = parsed.withColumns(
-        {
-            "prompt_messages": R.build_prompt(question, cfg.system_prompt),
-            "metadata": F.struct(*metadata),
-        }
-    )
-    kinds = {f.name: f.dataType for f in shaped.schema.fields}
-    codes = R.validation_errors(kinds, F.col("idx"), cfg.grammar)
-    checked = shaped.withColumn("__codes", F.when(F.col("error").isNull(), codes))
-    invalid = F.size("__codes") > 0
-    final = checked.withColumns(
-        {
-            "error": F.coalesce(F.col("error"), F.when(invalid, F.array_join("__codes", ";"))),
-            "error_code": F.coalesce(F.col("error_code"), F.when(invalid, F.element_at("__codes", 1))),
-        }
-    )
-    good = F.col("error").isNull()
-    carried = [c for c in indexed.columns if c not in ("idx", "split", "question", "answer")]
-    blanked = ("reference_answer", "reference_solution", "prompt_messages", "metadata")
-    return final.select(
+    carried = [c for c in raw.columns if c not in ("idx", "split", "question", "answer")]
+    return indexed.select(
         "idx",
         "split",
         "question",
-        *[F.when(good, F.col(c)).alias(c) for c in blanked],
+        *[F.when(good, F.col(c)).alias(c) for c in ("reference_answer", "reference_solution")],
+        F.when(good, R.build_prompt(F.col("question"), cfg.system_prompt)).alias("prompt_messages"),
+        F.when(good, F.struct(*metadata)).alias("metadata"),
         "error",
         "error_code",
         *carried,

@@ -40,8 +40,13 @@ def join_references(features: DataFrame, references: DataFrame, key: str = "prom
 def component_rewards(features: DataFrame, soft_k: float = 0.1) -> DataFrame:
     """Add the four component rewards next to the other columns; the features are consumed."""
     keep = [F.col(c) for c in features.columns if c not in FEATURES]
-    parts = R.components({f: F.col(f) for f in FEATURES}, F.col("reference"), soft_k)
-    return features.select(*keep, "predicted", *[c.alias(n) for n, c in parts.items()])
+    reference = F.col("reference")
+    both = features.withColumns(
+        {f"__{n}": c for n, c in R.numbers(F.col("predicted"), reference).items()}
+    )
+    row = {f: F.col(f) for f in FEATURES} | {"p": F.col("__p"), "r": F.col("__r")}
+    parts = R.components(row, reference, soft_k)
+    return both.select(*keep, "predicted", *[c.alias(n) for n, c in parts.items()])
 
 
 def score(

@@ -38,8 +38,7 @@ class BuildResult:
 
 def prepare_rows(raw: DataFrame, cfg: BuildConfig, key: str = "src_id") -> DataFrame:
     """Indexed, processed rows with report columns; lazy."""
-    indexed = prepare.index_split(select_splits(raw, cfg.splits), key)
-    return prepare.with_metrics(prepare.process_split(indexed, cfg))
+    return prepare.with_metrics(prepare.process_split(select_splits(raw, cfg.splits), cfg, key))
 
 
 def manifest(

@@ -52,22 +52,14 @@ def member() -> list[Column]:
 # ---- inputs shared by the queries -----------------------------------------------------------------------
 
 
-def indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.index_split(derived.qa_raw(spark, sf_dir))
-
-
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.process_split(indexed(spark, sf_dir), CFG)
-
-
-def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.with_metrics(processed(spark, sf_dir))
+    return prepare.process_split(derived.qa_raw(spark, sf_dir), CFG)
 
 
 def unindexed_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed rows where the position in the split does not matter: no ranking, no shuffle."""
     raw = derived.qa_raw(spark, sf_dir)
-    return prepare.process_split(raw.withColumn("idx", F.col("src_id")), CFG)
+    return prepare.process_split(raw.withColumn("idx", F.col("src_id")), CFG, key=None)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,7 +283,7 @@ def load_qa_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def index_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indexed(spark, sf_dir).select("src_id", "split", "idx")
+    return prepare.index_split(derived.qa_raw(spark, sf_dir)).select("src_id", "split", "idx")
 
 
 @query

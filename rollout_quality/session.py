@@ -66,6 +66,16 @@ def write_and_reread(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy text work all cores when a small input arrives in a few partitions.
+
+    Only an input with at most half as many partitions as cores is redistributed; a table that already fills
+    the cluster is read as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only if a count proves it safe; otherwise leave the join to a shuffle.
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rollout_quality.config import ANSWER_MARKER
+from rollout_quality.session import spread
 
 _DOCUMENTS = T.StructType(
     [
@@ -28,7 +29,7 @@ GENERATIONS = 4
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(_DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.schema(_DOCUMENTS).parquet(f"{sf_dir}/documents.parquet"))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
