@@ -117,8 +117,11 @@ def number_text(number: Column) -> Column:
     )
 
 
-def six_digits(v: Column) -> Column:
-    """Six significant digits without trailing zeros, scientific below 1e-4 and from 1e6 on."""
+def six_digits(v: Column, lean: Column) -> Column:
+    """Six significant digits without trailing zeros, scientific below 1e-4 and from 1e6 on.
+
+    `lean` is the sign of the double's own rounding error: it decides what looks like a tie in decimal digits.
+    """
 
     def scaled(e: Column) -> Column:
         return F.when(e < 0, F.abs(v) * F.pow(F.lit(10.0), -e)).otherwise(F.abs(v) / F.pow(F.lit(10.0), e))
@@ -131,8 +134,11 @@ def six_digits(v: Column) -> Column:
         )
 
     def rounded(e: Column) -> Column:
-        units = (F.bround(scaled(e).cast("decimal(20,15)"), 5) * 100000).cast("bigint")
-        return F.struct(e.alias("e"), units.alias("units"))
+        exact = scaled(e).cast("decimal(20,15)") * 100000
+        low = F.floor(exact).cast("bigint")
+        tie = exact - low == F.lit(0.5).cast("decimal(2,1)")
+        units = F.when(tie & (lean > 0), low + 1).when(tie & (lean < 0), low).otherwise(F.bround(exact, 0))
+        return F.struct(e.alias("e"), units.cast("bigint").alias("units"))
 
     def carried(r: Column) -> Column:
         over = r["units"] >= 1_000_000
@@ -165,15 +171,22 @@ def six_digits(v: Column) -> Column:
 
 def fraction_text(fraction: Column) -> Column:
     """Value of a `a/b` match: whole text, else six significant digits; NULL for a zero denominator."""
-    value = F.try_divide(
-        F.regexp_extract(fraction, r"^(-?\d+)", 1).try_cast("double"),
-        F.regexp_extract(fraction, r"(-?\d+)$", 1).try_cast("double"),
-    )
+
+    def number(pattern: str) -> Column:
+        return F.regexp_extract(fraction, pattern, 1).try_cast("double")
+
+    def shaped(x: Column) -> Column:
+        v, a, b = x["v"], F.abs(x["a"]), F.abs(x["b"])
+        # v * b - a with the product split so that it is exact for denominators up to 24 bits.
+        head = F.abs(v).cast("float").cast("double")
+        lean = (head * b - a) + (F.abs(v) - head) * b
+        text = F.when(F.rint(v) == v, _whole_text(v)).otherwise(six_digits(v, lean))
+        return F.when(F.abs(v) <= _FINITE, text)
+
+    sides = F.struct(number(r"^(-?[0-9]+)").alias("a"), number(r"(-?[0-9]+)$").alias("b"))
     return let(
-        value,
-        lambda v: F.when(
-            F.abs(v) <= _FINITE, F.when(F.rint(v) == v, _whole_text(v)).otherwise(six_digits(v))
-        ),
+        sides,
+        lambda s: let(F.struct(s["a"], s["b"], F.try_divide(s["a"], s["b"]).alias("v")), shaped),
     )
 
 

@@ -1,0 +1,28 @@
+"""Cutting very large groups of completions into blocks of bounded size.
+
+`gen_idx` is the 0-based position of a completion within its prompt. It bounds the size of every group and cuts
+a large group into equal blocks, without a random salt and without touching the small groups.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+BLOCK_ROWS = 4_096
+BLOCK = "__block"
+
+
+def largest_group(df: DataFrame) -> int:
+    """Upper bound of the largest group, from one scan of the `gen_idx` column alone."""
+    top = df.agg(F.max("gen_idx").alias("top")).first()["top"]
+    return 0 if top is None else int(top) + 1
+
+
+def block_of(block_rows: int) -> Column:
+    return F.floor(F.col("gen_idx") / block_rows)
+
+
+def per_block(df: DataFrame, last: str) -> DataFrame:
+    """Repeat each row once per block, 0 to the value of column `last` (NULL counts as 0)."""
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(last), F.lit(0)))
+    return df.withColumn(BLOCK, F.explode(blocks)).drop(last)

@@ -1,36 +1,22 @@
-"""Group-relative advantages and the full group step, safe for prompts with very many completions.
-
-`gen_idx` is the 0-based position of a completion within its prompt, so it bounds the size of every group and
-cuts a large group into blocks of equal size without a random salt.
-"""
+"""Group-relative advantages and the full group step, safe for prompts with very many completions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollout_quality.functions.rewards import Reward, composite_reward
+from rollout_quality.operators.blocks import BLOCK, BLOCK_ROWS, block_of, largest_group, per_block
 from rollout_quality.operators.scoring import as_text
 from rollout_quality.session import cut_lineage
 
-BLOCK_ROWS = 4_096
 EPSILON = 1e-8
 _STATS = ("__mean", "__std")
 
 
-def _largest_group(df: DataFrame) -> int:
-    """Upper bound of the largest group, from one scan of the `gen_idx` column alone."""
-    top = df.agg(F.max("gen_idx").alias("top")).first()["top"]
-    return 0 if top is None else int(top) + 1
-
-
 def _relative(eps: float) -> Column:
     return (F.col("reward") - F.col("__mean")) / (F.col("__std") + F.lit(eps))
 
 
-def _block(block_rows: int) -> Column:
-    return F.floor(F.col("gen_idx") / block_rows)
-
-
 def group_advantages(
     scored: DataFrame, key: str = "prompt_id", eps: float = EPSILON, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -40,7 +26,7 @@ def group_advantages(
     rows are stored once; group statistics are then pre-aggregated before their shuffle and joined back by
     (prompt, block), so that no task holds more than a block of any prompt.
     """
-    if _largest_group(scored) <= block_rows:
+    if largest_group(scored) <= block_rows:
         group = Window.partitionBy(key)
         stats = {"__mean": F.avg("reward").over(group), "__std": F.stddev_pop("reward").over(group)}
         return scored.withColumns(stats).withColumn("advantage", _relative(eps)).drop(*_STATS)
@@ -49,13 +35,10 @@ def group_advantages(
     totals = stored.groupBy(key).agg(
         F.avg("reward").alias("__mean"),
         F.stddev_pop("reward").alias("__std"),
-        F.max(_block(block_rows)).alias("__last"),
-    )
-    per_block = totals.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__last"))))
-    joined = stored.withColumn("__block", _block(block_rows)).join(
-        per_block.drop("__last"), [key, "__block"]
+        F.max(block_of(block_rows)).alias("__last"),
     )
-    return joined.withColumn("advantage", _relative(eps)).drop("__block", *_STATS)
+    joined = stored.withColumn(BLOCK, block_of(block_rows)).join(per_block(totals, "__last"), [key, BLOCK])
+    return joined.withColumn("advantage", _relative(eps)).drop(BLOCK, *_STATS)
 
 
 def group_step(
@@ -74,7 +57,7 @@ def group_step(
     scored = as_text(completions).withColumn("reward", fn(F.col("completion"), F.col("reference")))
     relative = group_advantages(scored, key, eps, block_rows)
     member = F.struct("gen_idx", "completion", "reward", "advantage")
-    grouped = relative.groupBy(key, _block(block_rows).alias("block")).agg(
+    grouped = relative.groupBy(key, block_of(block_rows).alias("block")).agg(
         F.first("reference").alias("reference"), F.sort_array(F.collect_list(member)).alias("m")
     )
     return grouped.select(

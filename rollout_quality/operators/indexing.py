@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 10_000
-_SAMPLE_PER_BUCKET = 100
+ROWS_PER_BUCKET = 100_000
+MAX_BUCKETS = 100_000
+_SAMPLE_PER_BUCKET = 20
 _BUCKET = "__bucket"
 _FIRST = "__first"
 
@@ -30,8 +30,7 @@ def _edges(df: DataFrame, key: str, rows_per_bucket: int) -> list[float]:
     if fraction < 1.0:
         keys = keys.sample(fraction, seed=17)
     shares = [i / buckets for i in range(1, buckets)]
-    found = keys.agg(F.percentile_approx("k", shares, 10 * buckets).alias("edges")).first()["edges"]
-    return sorted(set(found or []))
+    return sorted(set(keys.approxQuantile("k", shares, 0.1 / buckets)))
 
 
 def _with_bucket(df: DataFrame, key: str, edges: Sequence[float]) -> DataFrame:
@@ -66,10 +65,10 @@ def with_position(
     counts = bucketed.groupBy(split, _BUCKET).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(split).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select(split, _BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_FIRST))
-    # One row per (split, bucket), and at most MAX_BUCKETS + 1 buckets.
+    # The ranked rows are already partitioned and sorted by (split, bucket): this join moves only the counts.
     return (
         bucketed.withColumn(out, rank)
-        .join(F.broadcast(firsts), [split, _BUCKET])
+        .join(firsts, [split, _BUCKET])
         .withColumn(out, F.col(out) + F.col(_FIRST))
         .drop(_BUCKET, _FIRST)
     )

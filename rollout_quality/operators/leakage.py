@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rollout_quality.functions.text import digest, question_fingerprint
-from rollout_quality.session import broadcast_if_small, cut_lineage
+from rollout_quality.session import BROADCAST_ROWS, cut_lineage, is_small
 
 KEY = "question_key"
 EXAMPLES = 5
@@ -96,16 +96,21 @@ def _shared_keys(counts: DataFrame, splits: Sequence[str]) -> DataFrame:
     return counts.select(KEY, found.alias("hit")).select("hit.*", KEY)
 
 
-def overlap_texts(records: DataFrame, counts: DataFrame, splits: Sequence[str]) -> DataFrame:
+def overlap_texts(
+    records: DataFrame, counts: DataFrame, splits: Sequence[str], broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """(pair, question) for every shared question, as its fingerprint text, once per pair.
 
-    The shared keys are stored first. If they are few, they are sent to the scan of the texts; if they are
-    many, both sides meet in a shuffle by key.
+    The shared keys are stored and counted first. If they are few, they are sent to the scan of the texts. If
+    they are many, copies are dropped before and during the shuffle by key, so that a question that fills a
+    large part of the table arrives once.
     """
     shared = cut_lineage(_shared_keys(counts, splits))
     texts = with_question_key(records).select("split", KEY, "question")
-    hits = texts.join(broadcast_if_small(shared), ["split", KEY])
-    once = hits.select("pair", KEY, "question").dropDuplicates(["pair", KEY])
+    if is_small(shared, broadcast_rows):
+        once = texts.join(F.broadcast(shared), ["split", KEY]).dropDuplicates(["pair", KEY])
+    else:
+        once = texts.dropDuplicates(["split", KEY]).join(shared, ["split", KEY])
     return once.select("pair", question_fingerprint(F.col("question")).alias("question"))
 
 
@@ -129,9 +134,11 @@ def leakage_report(
 ) -> DataFrame:
     """(ord, kind, scope, duplicate_count, examples): within-split rows, then pair rows with examples."""
     counts = question_counts(records, splits)
-    listed = leakage_counts(counts, splits, check_single_split)
     if len(splits) < 2:
+        listed = leakage_counts(counts, splits, check_single_split)
         return listed.withColumn("examples", F.array().cast("array<string>"))
+    counts = cut_lineage(counts)  # narrow, and read twice: for the figures and for the shared keys
+    listed = leakage_counts(counts, splits, check_single_split)
     shown = overlap_examples(records, counts, splits, limit)
     # At most `limit` texts per pair.
     examples = shown.groupBy("pair").agg(F.sort_array(F.collect_list("question")).alias("examples"))

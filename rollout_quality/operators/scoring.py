@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rollout_quality.config import COMPAT, FULL, FULL_DIGITS_CONTRACT_VERSION, RewardConfig, RewardWeights
 from rollout_quality.functions import rewards as R
+from rollout_quality.operators.blocks import BLOCK, BLOCK_ROWS, block_of, largest_group, per_block
 
 FEATURES = ("predicted", "format", "length")
 
@@ -27,14 +28,28 @@ def completion_features(completions: DataFrame, grammar: str = COMPAT) -> DataFr
     return as_text(completions).select(*keep, *[c.alias(n) for n, c in features.items()])
 
 
-def join_references(features: DataFrame, references: DataFrame, key: str = "prompt_id") -> DataFrame:
+def join_references(
+    features: DataFrame,
+    references: DataFrame,
+    key: str = "prompt_id",
+    how: str = "inner",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
     """Pair completions (or their features) with the reference of their prompt.
 
     Drop or reduce the texts first (`completion_features`): then this shuffle moves a few scalars per row.
-    Whether the reference side is broadcast, and how a prompt with very many completions is split, is decided at
-    run time from the measured sizes of both sides.
+    Whether the reference side is broadcast is decided at run time from its measured size. If some prompt may
+    have more than `block_rows` completions, its rows are spread over blocks, and only the references of such
+    prompts are repeated, once per block.
     """
-    return features.join(references, key, "inner")
+    bounded = features.isStreaming or "gen_idx" not in features.columns
+    if bounded or largest_group(features) <= block_rows:
+        return features.join(references, key, how)
+    large = features.where(F.col("gen_idx") >= block_rows).groupBy(key).agg(
+        F.max(block_of(block_rows)).alias("__last")
+    )
+    repeated = per_block(references.join(large, key, "left"), "__last")
+    return features.withColumn(BLOCK, block_of(block_rows)).join(repeated, [key, BLOCK], how).drop(BLOCK)
 
 
 def component_rewards(features: DataFrame, soft_k: float = 0.1) -> DataFrame:

@@ -33,7 +33,7 @@ def score_against(
     Texts are reduced to three scalars before the join, so the shuffle carries keys and scalars only.
     """
     features = completion_features(completions, grammar)
-    joined = join_references(features, targets) if how == "inner" else features.join(targets, "prompt_id", how)
+    joined = join_references(features, targets, how=how)
     parts = {c: F.col(c) for c in R.COMPONENTS}
     return component_rewards(joined).withColumn("reward", R.combine(parts, weights))
 

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A side is broadcast only when it is known to have at most this many narrow (key plus a few scalars) rows.
+# A side is broadcast only if a count proves at most this many narrow rows (a key and a few scalars).
 BROADCAST_ROWS = 1_000_000
 
 
@@ -76,10 +76,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if a count proves it safe; otherwise leave the join to a shuffle.
-
-    The caller passes a DataFrame whose lineage is already cut, so the count reads only what is stored.
-    """
-    stored = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    return F.broadcast(df) if stored <= max_rows else df
+def is_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """True if a stored narrow table is proven small enough to broadcast."""
+    return stored.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
