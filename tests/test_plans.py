@@ -60,7 +60,11 @@ def test_size_check_reads_one_column(spark, tmp_path):
 def test_texts_stay_out_of_the_join(spark, tmp_path, capsys):
     derived.completions(spark, DIRECTORY).drop("reference").write.parquet(f"{tmp_path}/c")
     stored = spark.read.parquet(f"{tmp_path}/c")
-    score_against(stored, q.labelled_targets(spark, DIRECTORY)).explain("formatted")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        score_against(stored, q.labelled_targets(spark, DIRECTORY)).explain("formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
     features = [x for x in moved if "predicted" in x]
     assert features and not any("completion" in x for x in features)
