@@ -40,7 +40,8 @@ def _with_bucket(df: DataFrame, key: str, edges: Sequence[float]) -> DataFrame:
     bucketizer = Bucketizer(
         splits=[float("-inf"), *edges, float("inf")], inputCol=numeric, outputCol=_BUCKET, handleInvalid="keep"
     )
-    return bucketizer.transform(df.withColumn(numeric, F.col(key).cast("double"))).drop(numeric)
+    bucketed = bucketizer.transform(df.withColumn(numeric, F.col(key).cast("double"))).drop(numeric)
+    return bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
 
 
 def with_position(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rollout_quality.config import COMPAT, DEFAULT_SYSTEM_PROMPT, BuildConfig
 from rollout_quality.functions import records as R
@@ -44,58 +44,66 @@ def normalise_answers(df: DataFrame, column: str, out: str = "normalised", gramm
 
 
 def check_rows(raw: DataFrame, cfg: BuildConfig = BuildConfig()) -> DataFrame:
-    """Parsed rows with every reason for quarantine already decided: parse errors, then blank texts."""
+    """Parsed rows with every reason for quarantine decided (parse errors, then blank texts), and difficulty."""
     parsed = parse_solutions(raw, cfg).withColumn("__shape", R.shape_error(F.col("question"), cfg.system_prompt))
-    return parsed.withColumns(
+    checked = parsed.withColumns(
         {
             "error": F.coalesce("error", F.col("__shape.text")),
             "error_code": F.coalesce("error_code", F.col("__shape.code")),
         }
     ).drop("__shape")
+    if not cfg.add_difficulty:
+        return checked
+    return checked.withColumn("difficulty", R.difficulty(F.col("reference_solution")))
 
 
 def process_split(
     raw: DataFrame,
     cfg: BuildConfig = BuildConfig(),
     key: str | None = "src_id",
+    metrics: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Parse, index, shape and validate every row. `error` is NULL for a good row, else says what is wrong.
 
     Bad rows stay in the table with their record columns NULL, so good, quarantined and raw counts come from
-    one DataFrame. Further input columns are carried along. Rows are checked before they are ranked: a later
-    filter on `error` then reads a finished column instead of parsing again. With `key=None` the input already
-    has its `idx`.
+    one DataFrame. Further input columns are carried along. All text work, including the optional report
+    `metrics`, is done before rows are ranked: it runs in the scan tasks, and a later filter on `error` reads a
+    finished column instead of parsing again. With `key=None` the input already has its `idx`.
     """
     checked = check_rows(raw, cfg)
-    indexed = checked if key is None else index_split(checked, key, rows_per_bucket=rows_per_bucket)
     good = F.col("error").isNull()
+    prompt = F.when(good, R.build_prompt(F.col("question"), cfg.system_prompt))
+    if metrics:
+        checked = with_metrics(checked, prompt)
+    indexed = checked if key is None else index_split(checked, key, rows_per_bucket=rows_per_bucket)
     metadata = [F.col("idx").alias("original_idx")]
     if cfg.add_difficulty:
-        metadata.append(R.difficulty(F.col("reference_solution")).alias("difficulty"))
-    carried = [c for c in raw.columns if c not in ("idx", "split", "question", "answer")]
+        metadata.append(F.col("difficulty"))
+    record = ("idx", "split", "question", "reference_answer", "reference_solution")
+    others = [c for c in indexed.columns if c not in (*record, "difficulty", "error", "error_code")]
     return indexed.select(
         "idx",
         "split",
         "question",
         *[F.when(good, F.col(c)).alias(c) for c in ("reference_answer", "reference_solution")],
-        F.when(good, R.build_prompt(F.col("question"), cfg.system_prompt)).alias("prompt_messages"),
+        prompt.alias("prompt_messages"),
         F.when(good, F.struct(*metadata)).alias("metadata"),
         "error",
         "error_code",
-        *carried,
+        *others,
     )
 
 
-def with_metrics(processed: DataFrame) -> DataFrame:
+def with_metrics(rows: DataFrame, messages: Column | None = None) -> DataFrame:
     """Add the narrow columns all reports run on, so that they never read the texts again."""
     good = F.col("error").isNull()
-    messages = F.col("prompt_messages")
-    return processed.withColumns(
+    prompt = F.col("prompt_messages") if messages is None else messages
+    return rows.withColumns(
         {
-            "prompt_words": R.prompt_words(messages),
-            "answer_type": answer_type(F.col("reference_answer")),
-            "prompt_key": digest(R.prompt_fingerprint(messages)),
+            "prompt_words": R.prompt_words(prompt),
+            "answer_type": F.when(good, answer_type(F.col("reference_answer"))),
+            "prompt_key": digest(R.prompt_fingerprint(prompt)),
             "question_key": F.when(good, digest(question_fingerprint(F.col("question")))),
         }
     )

@@ -38,7 +38,7 @@ class BuildResult:
 
 def prepare_rows(raw: DataFrame, cfg: BuildConfig, key: str = "src_id") -> DataFrame:
     """Indexed, processed rows with report columns; lazy."""
-    return prepare.with_metrics(prepare.process_split(select_splits(raw, cfg.splits), cfg, key))
+    return prepare.process_split(select_splits(raw, cfg.splits), cfg, key, metrics=True)
 
 
 def manifest(

@@ -62,6 +62,12 @@ def unindexed_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.process_split(raw.withColumn("idx", F.col("src_id")), CFG, key=None)
 
 
+def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unindexed processed rows with the report columns."""
+    raw = derived.qa_raw(spark, sf_dir)
+    return prepare.process_split(raw.withColumn("idx", F.col("src_id")), CFG, key=None, metrics=True)
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(derived.completions(spark, sf_dir))
 
@@ -170,7 +176,7 @@ def reward_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def group_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rewarded = scoring.group_rewards(derived.completion_arrays(spark, sf_dir))
-    exploded = rewarded.select("prompt_id", F.posexplode("rewards").alias("gen_idx", "reward"))
+    exploded = rewarded.select("prompt_id", F.posexplode_outer("rewards").alias("gen_idx", "reward"))
     return exploded.select(*member(), r6("reward").alias("reward"))
 
 
@@ -203,7 +209,7 @@ def group_advantages_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def group_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = groups.group_step(derived.completions(spark, sf_dir))
-    members = F.inline(F.arrays_zip("gen_idxs", "completions", "rewards", "advantages"))
+    members = F.inline_outer(F.arrays_zip("gen_idxs", "completions", "rewards", "advantages"))
     exploded = steps.select("prompt_id", "block", "reference", members)
     return exploded.select(
         "prompt_id",
@@ -221,7 +227,7 @@ def group_step_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group step on array layout: rewards and advantages per row, no shuffle."""
     rewarded = scoring.group_rewards(derived.completion_arrays(spark, sf_dir))
     relative = rewarded.select("prompt_id", "rewards", W.group_advantages(F.col("rewards")).alias("advantages"))
-    pairs = F.posexplode(F.arrays_zip("rewards", "advantages")).alias("gen_idx", "x")
+    pairs = F.posexplode_outer(F.arrays_zip("rewards", "advantages")).alias("gen_idx", "x")
     exploded = relative.select("prompt_id", pairs)
     return exploded.select(
         *member(), r6("x.rewards").alias("reward"), r6("x.advantages").alias("advantage")
@@ -436,12 +442,12 @@ def difficulty_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def answer_type_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.answer_type_distribution(prepare.with_metrics(unindexed_processed(spark, sf_dir)))
+    return report.answer_type_distribution(measured(spark, sf_dir))
 
 
 @query
 def prompt_length_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare.with_metrics(unindexed_processed(spark, sf_dir))
+    rows = measured(spark, sf_dir)
     found = report.prompt_length_summary(rows, CFG.splits, CFG.max_prompt_length)
     return found.select(
         "split",
@@ -454,11 +460,11 @@ def prompt_length_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def duplicate_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.duplicate_prompts(prepare.with_metrics(unindexed_processed(spark, sf_dir)))
+    return report.duplicate_prompts(measured(spark, sf_dir))
 
 
 def _split_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare.with_metrics(unindexed_processed(spark, sf_dir))
+    rows = measured(spark, sf_dir)
     return report.split_report(rows, CFG.splits, CFG.max_prompt_length)
 
 
@@ -512,7 +518,7 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = prepare.with_metrics(unindexed_processed(spark, sf_dir))
+    rows = measured(spark, sf_dir)
     paths = sinks.artifact_paths("out", CFG)
     return manifest(_split_report(spark, sf_dir), report.failure_codes(rows), CFG, paths)
 
