@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 100_000
 _SAMPLE_PER_BUCKET = 20
 _BUCKET = "__bucket"

@@ -609,10 +609,11 @@ def build_dataset_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Write a table as several files and stream them, a few files per trigger."""
+    """Write a table as many files and stream them in several triggers; groups may arrive split."""
     path = new_folder(spark, "arrivals")
-    rows.repartition(6).write.parquet(path)
-    return streams.completion_stream(spark, path, rows.schema, max_files_per_trigger=2)
+    files = 3 * spark.sparkContext.defaultParallelism
+    rows.repartition(files).write.parquet(path)
+    return streams.completion_stream(spark, path, rows.schema, max_files_per_trigger=files // 2)
 
 
 @query
