@@ -100,23 +100,6 @@ def _decimal_text(plain: Column, v: Column) -> Column:
     return let(parts, shaped)
 
 
-def number_text(number: Column) -> Column:
-    """Canonical text of one number match; NULL if its value overflows a double."""
-
-    def shaped(n: Column) -> Column:
-        v = n["v"]
-        return F.when(
-            F.abs(v) <= _FINITE,
-            F.when(F.rint(v) == v, _whole_text(v)).otherwise(_decimal_text(n["plain"], v)),
-        )
-
-    plain = F.replace(number, F.lit(","), F.lit(""))
-    return let(
-        plain,
-        lambda p: let(F.struct(p.alias("plain"), p.try_cast("double").alias("v")), shaped),
-    )
-
-
 def six_digits(v: Column, lean: Column) -> Column:
     """Six significant digits without trailing zeros, scientific below 1e-4 and from 1e6 on.
 
@@ -169,33 +152,37 @@ def six_digits(v: Column, lean: Column) -> Column:
     return let(exponent(), lambda e: let(rounded(e), lambda r: let(carried(r), shaped)))
 
 
-def fraction_text(fraction: Column) -> Column:
-    """Value of a `a/b` match: whole text, else six significant digits; NULL for a zero denominator."""
+def canonical_text(candidate: Column) -> Column:
+    """Canonical text of a number or `a/b` match.
+
+    A whole value is printed as an integer, a fraction with six significant digits, a decimal number with its
+    shortest digits. NULL for a zero denominator and for values that overflow a double.
+    """
+
+    def sides(c: Column) -> Column:
+        plain = F.replace(c, F.lit(","), F.lit(""))
+        numerator = F.when(c.contains("/"), F.regexp_extract(c, r"^(-?[0-9]+)", 1)).otherwise(plain)
+        denominator = F.when(c.contains("/"), F.regexp_extract(c, r"(-?[0-9]+)$", 1)).otherwise("1")
+        return F.struct(
+            plain.alias("plain"), numerator.try_cast("double").alias("a"), denominator.try_cast("double").alias("b")
+        )
 
-    def number(pattern: str) -> Column:
-        return F.regexp_extract(fraction, pattern, 1).try_cast("double")
+    def divided(s: Column) -> Column:
+        return F.struct(s["plain"], s["a"], s["b"], F.try_divide(s["a"], s["b"]).alias("v"))
 
     def shaped(x: Column) -> Column:
-        v, a, b = x["v"], F.abs(x["a"]), F.abs(x["b"])
+        plain, v, a, b = x["plain"], x["v"], F.abs(x["a"]), F.abs(x["b"])
         # v * b - a with the product split so that it is exact for denominators up to 24 bits.
         head = F.abs(v).cast("float").cast("double")
         lean = (head * b - a) + (F.abs(v) - head) * b
-        text = F.when(F.rint(v) == v, _whole_text(v)).otherwise(six_digits(v, lean))
+        text = (
+            F.when(F.rint(v) == v, _whole_text(v))
+            .when(plain.contains("/"), six_digits(v, lean))
+            .otherwise(_decimal_text(plain, v))
+        )
         return F.when(F.abs(v) <= _FINITE, text)
 
-    sides = F.struct(number(r"^(-?[0-9]+)").alias("a"), number(r"(-?[0-9]+)$").alias("b"))
-    return let(
-        sides,
-        lambda s: let(F.struct(s["a"], s["b"], F.try_divide(s["a"], s["b"]).alias("v")), shaped),
-    )
-
-
-def _canonical(candidate: Column) -> Column:
-    """Canonical text of a candidate: a fraction or number match, or NULL."""
-    return let(
-        candidate,
-        lambda c: F.when(c.contains("/"), fraction_text(c)).otherwise(number_text(c)),
-    )
+    return let(let(let(candidate, sides), divided), shaped)
 
 
 def _match(text: Column, pattern: str) -> Column:
@@ -229,7 +216,7 @@ def _last_candidate(text: Column, grammar: str) -> Column:
 def normalise_numeric(raw: Column, grammar: str = COMPAT) -> Column:
     """Canonical numeric text of free text, or NULL."""
     check_grammar(grammar)
-    return _canonical(let(strip(raw), lambda text: _first_candidate(text, grammar)))
+    return canonical_text(let(strip(raw), lambda text: _first_candidate(text, grammar)))
 
 
 def extract_final_answer(completion: Column, grammar: str = COMPAT) -> Column:
@@ -242,7 +229,7 @@ def extract_final_answer(completion: Column, grammar: str = COMPAT) -> Column:
 
     tail = strip(F.substring_index(completion, ANSWER_MARKER, -1))
     marked = F.when(completion.contains(ANSWER_MARKER), let(tail, usable))
-    return _canonical(F.coalesce(marked, _last_candidate(completion, grammar)))
+    return canonical_text(F.coalesce(marked, _last_candidate(completion, grammar)))
 
 
 def answer_type(answer: Column) -> Column:

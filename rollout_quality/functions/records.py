@@ -9,9 +9,24 @@ from rollout_quality.functions.numeric import normalise_numeric
 from rollout_quality.functions.text import is_blank, let, sentence_count, strip, word_count
 from rollout_quality.schemas import PUBLIC_FIELDS
 
+# Roles, error texts and codes, rendered blocks, labels, and the sentence counts below which a
+# difficulty applies.
 ROLES = ("system", "user")
+NO_MARKER = "parse_error:No '####' found in solution: "
+NO_NUMBER = ("parse_error:Cannot parse numeric answer from: '", "'")
 ERROR_EXCERPT = 80
-# Difficulty buckets by sentence count (below the bound), labels in order.
+MISSING_FIELDS = "missing_fields:"
+UNSTABLE_IDX = "unstable_idx"
+EMPTY_QUESTION = "empty_question"
+INVALID_ANSWER = "invalid_reference_answer"
+INVALID_METADATA = "invalid_metadata"
+INVALID_MESSAGES = "invalid_prompt_messages"
+INVALID_ROLES = "invalid_prompt_roles"
+NOT_A_MESSAGE = "prompt_message_not_dict:"
+EMPTY_CONTENT = "empty_prompt_content:"
+BLOCK_HEAD = ("[", "]\n")
+BLOCK_SEPARATOR = "\n\n"
+OPEN_BLOCK = "[ASSISTANT]"
 DIFFICULTY_BOUNDS = ((5, "easy"), (10, "medium"))
 HARDEST = "hard"
 DIFFICULTIES = ("easy", "medium", "hard")
@@ -36,8 +51,8 @@ def parse_solution(solution: Column, grammar: str = COMPAT) -> Column:
 def parse_error(solution: Column, parsed: Column) -> Column:
     """Struct(code, text) of what is wrong with a parsed solution, NULL if nothing."""
     excerpt = F.left(F.coalesce(solution, F.lit("")), F.lit(ERROR_EXCERPT))
-    no_marker = F.concat(F.lit(f"parse_error:No '{ANSWER_MARKER}' found in solution: "), excerpt)
-    no_number = F.concat(F.lit("parse_error:Cannot parse numeric answer from: '"), parsed["tail"], F.lit("'"))
+    no_marker = F.concat(F.lit(NO_MARKER), excerpt)
+    no_number = F.concat(F.lit(NO_NUMBER[0]), parsed["tail"], F.lit(NO_NUMBER[1]))
     return F.when(
         parsed["at"] == 0, F.struct(F.lit("no_marker").alias("code"), no_marker.alias("text"))
     ).when(
@@ -51,10 +66,10 @@ def shape_error(question: Column, system_prompt: str) -> Column:
     The parsed answer, the roles and the metadata are ours, so only blank texts can be invalid.
     """
     blank = is_blank(question)
-    checks = [F.when(blank, "empty_question")]
+    checks = [F.when(blank, EMPTY_QUESTION)]
     if not system_prompt.strip():
-        checks.append(F.lit("empty_prompt_content:0"))
-    checks.append(F.when(blank, "empty_prompt_content:1"))
+        checks.append(F.lit(f"{EMPTY_CONTENT}0"))
+    checks.append(F.when(blank, f"{EMPTY_CONTENT}1"))
     return let(
         F.filter(F.array(*checks), lambda e: e.isNotNull()),
         lambda codes: F.when(
@@ -103,8 +118,9 @@ def prompt_fingerprint(messages: Column) -> Column:
 
 def render_prompt(messages: Column) -> Column:
     """Prompt string: one `[ROLE]` block per message, then the open assistant block."""
-    blocks = F.transform(messages, lambda m: F.concat(F.lit("["), F.upper(m["role"]), F.lit("]\n"), m["content"]))
-    return F.concat(F.array_join(blocks, "\n\n"), F.lit("\n\n[ASSISTANT]"))
+    head, tail = F.lit(BLOCK_HEAD[0]), F.lit(BLOCK_HEAD[1])
+    blocks = F.transform(messages, lambda m: F.concat(head, F.upper(m["role"]), tail, m["content"]))
+    return F.concat(F.array_join(blocks, BLOCK_SEPARATOR), F.lit(BLOCK_SEPARATOR + OPEN_BLOCK))
 
 
 def validation_errors(
@@ -117,42 +133,42 @@ def validation_errors(
     """
     missing = [f for f in PUBLIC_FIELDS if f not in fields]
     if missing:
-        return F.array(F.lit(f"missing_fields:{','.join(missing)}"))
+        return F.array(F.lit(MISSING_FIELDS + ",".join(missing)))
 
     def has(name: str, kind: type[T.DataType]) -> bool:
         return isinstance(fields[name], kind)
 
     checks: list[Column] = []
     if expected_idx is not None:
-        checks.append(F.when(~F.col("idx").eqNullSafe(expected_idx), "unstable_idx"))
+        checks.append(F.when(~F.col("idx").eqNullSafe(expected_idx), UNSTABLE_IDX))
     bad_question = is_blank(F.col("question")) if has("question", T.StringType) else F.lit(True)
-    checks.append(F.when(bad_question, "empty_question"))
+    checks.append(F.when(bad_question, EMPTY_QUESTION))
     bad_answer = (
         normalise_numeric(F.col("reference_answer"), grammar).isNull()
         if has("reference_answer", T.StringType)
         else F.lit(True)
     )
-    checks.append(F.when(bad_answer, "invalid_reference_answer"))
+    checks.append(F.when(bad_answer, INVALID_ANSWER))
     bad_metadata = F.col("metadata").isNull() if has("metadata", (T.StructType, T.MapType)) else F.lit(True)
-    checks.append(F.when(bad_metadata, "invalid_metadata"))
+    checks.append(F.when(bad_metadata, INVALID_METADATA))
     head = F.filter(F.array(*checks), lambda e: e.isNotNull())
 
     if not has("prompt_messages", T.ArrayType):
-        return F.concat(head, F.array(F.lit("invalid_prompt_messages")))
+        return F.concat(head, F.array(F.lit(INVALID_MESSAGES)))
     messages = F.col("prompt_messages")
     usable = F.coalesce(F.size(messages) == len(ROLES), F.lit(False))
-    tail = F.when(usable, _message_errors(messages)).otherwise(F.array(F.lit("invalid_prompt_messages")))
+    tail = F.when(usable, _message_errors(messages)).otherwise(F.array(F.lit(INVALID_MESSAGES)))
     return F.concat(head, tail)
 
 
 def _message_errors(messages: Column) -> Column:
     present = F.filter(messages, lambda m: m.isNotNull())
     roles = F.transform(present, lambda m: F.coalesce(m["role"], F.lit("")))
-    wrong_roles = F.when(roles != F.array(*[F.lit(r) for r in ROLES]), "invalid_prompt_roles")
+    wrong_roles = F.when(roles != F.array(*[F.lit(r) for r in ROLES]), INVALID_ROLES)
     per_message = F.transform(
         messages,
-        lambda m, i: F.when(m.isNull(), F.concat(F.lit("prompt_message_not_dict:"), i.cast("string"))).when(
-            is_blank(m["content"]), F.concat(F.lit("empty_prompt_content:"), i.cast("string"))
+        lambda m, i: F.when(m.isNull(), F.concat(F.lit(NOT_A_MESSAGE), i.cast("string"))).when(
+            is_blank(m["content"]), F.concat(F.lit(EMPTY_CONTENT), i.cast("string"))
         ),
     )
     return F.filter(F.concat(F.array(wrong_roles), per_message), lambda e: e.isNotNull())

@@ -2,28 +2,48 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rollout_quality.config import BuildConfig
 from rollout_quality.functions.text import fixed
 
 
+# Violation messages by rule.
+MESSAGES = {
+    "parse_error_rate": "{scope} parse/drop rate {rate} exceeds max_parse_error_rate={limit}",
+    "duplicate_prompts": "{scope} has {count} duplicate prompt(s)",
+    "truncation_risk": "{scope} truncation risk rate {rate} ({count}/{total} prompts) exceeds "
+    "max_truncation_risk_rate={limit}",
+    "within_split_duplicates": "{scope} has {count} duplicate question(s) within split",
+    "cross_split_leakage": "cross-split leakage detected in {scope}: {count} duplicate question(s)",
+}
+RATE_DIGITS = 4
+
+
 class QualityGateError(RuntimeError):
     """A build violates at least one hard gate."""
 
 
-def _text(*parts) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
+def _message(rule: str, fields: dict[str, Column]) -> Column:
+    """Fill a message template with columns."""
+    parts = []
+    for text, name, _, _ in Formatter().parse(MESSAGES[rule]):
+        parts.append(F.lit(text))
+        if name is not None:
+            parts.append(fields[name].cast("string"))
+    return F.concat(*parts)
 
 
-def _violation(broken: Column, seq: Column, scope: Column, rule: str, message: Column) -> Column:
+def _violation(rule: str, broken: Column, seq: Column, **fields: Column) -> Column:
     return F.when(
         broken,
         F.struct(
             seq.cast("bigint").alias("seq"),
-            scope.alias("scope"),
+            fields["scope"].alias("scope"),
             F.lit(rule).alias("rule"),
-            message.alias("message"),
+            _message(rule, fields).alias("message"),
         ),
     )
 
@@ -46,64 +66,39 @@ def quality_gates(report: DataFrame, leakage: DataFrame, cfg: BuildConfig) -> Da
     risk_rate = risky / F.greatest(records, F.lit(1))
     at = F.col("ord") * per_split
 
+    def limit(value: float) -> Column:
+        return F.lit(f"{value:.{RATE_DIGITS}f}")
+
     from_report = _broken(
         report,
         _violation(
+            "parse_error_rate",
             failure_rate > cfg.max_parse_error_rate,
             at,
-            split,
-            "parse_error_rate",
-            _text(
-                split,
-                " parse/drop rate ",
-                fixed(failure_rate, 4),
-                f" exceeds max_parse_error_rate={cfg.max_parse_error_rate:.4f}",
-            ),
-        ),
-        _violation(
-            duplicates > 0,
-            at + 1,
-            split,
-            "duplicate_prompts",
-            _text(split, " has ", duplicates, " duplicate prompt(s)"),
+            scope=split,
+            rate=fixed(failure_rate, RATE_DIGITS),
+            limit=limit(cfg.max_parse_error_rate),
         ),
+        _violation("duplicate_prompts", duplicates > 0, at + 1, scope=split, count=duplicates),
         _violation(
+            "truncation_risk",
             risk_rate > cfg.max_truncation_risk_rate,
             at + 2,
-            split,
-            "truncation_risk",
-            _text(
-                split,
-                " truncation risk rate ",
-                fixed(risk_rate, 4),
-                " (",
-                risky,
-                "/",
-                records,
-                f" prompts) exceeds max_truncation_risk_rate={cfg.max_truncation_risk_rate:.4f}",
-            ),
+            scope=split,
+            rate=fixed(risk_rate, RATE_DIGITS),
+            count=risky,
+            total=records,
+            limit=limit(cfg.max_truncation_risk_rate),
         ),
     )
-    scope, count = F.col("scope"), F.col("duplicate_count")
+    scope, count, kind = F.col("scope"), F.col("duplicate_count"), F.col("kind")
     after = F.col("ord") + per_split * len(cfg.splits)
-    within = (F.col("kind") == "within_split") & (count > 0)
-    shared = (F.col("kind") == "pair") & (count > 0)
+    within = (kind == "within_split") & (count > 0)
+    shared = (kind == "pair") & (count > 0)
     from_leakage = _broken(
         leakage,
-        _violation(
-            within,
-            after,
-            scope,
-            "within_split_duplicates",
-            _text(scope, " has ", count, " duplicate question(s) within split"),
-        ),
-        _violation(
-            shared,
-            after,
-            scope,
-            "cross_split_leakage",
-            _text("cross-split leakage detected in ", scope, ": ", count, " duplicate question(s)"),
-        ),
+        _violation("within_split_duplicates", within, after, scope=scope, count=count),
+        _violation("cross_split_leakage", shared, after, scope=scope, count=count),
     )
     return from_report.unionByName(from_leakage)
 
