@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(
-        8, "tests", spark__sql__shuffle__partitions="4", spark__driver__memory="6g"
+        8, "tests", spark__sql__shuffle__partitions="4", spark__default__parallelism="4", spark__driver__memory="6g"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
