@@ -111,6 +111,22 @@ def custom_rewards(completions: DataFrame, reward: R.Reward, out: str = "reward"
     return scored.drop("completion")
 
 
+def multi_rewards(
+    completions: DataFrame, rewards: dict[str, R.Reward], weights: dict[str, float] | None = None
+) -> DataFrame:
+    """One column per given reward, their plain sum, and their weighted sum (weight 1 where none is given)."""
+    if not rewards:
+        raise ValueError("give at least one reward")
+    texts = as_text(completions)
+    columns = {n: f(F.col("completion"), F.col("reference")) for n, f in rewards.items()}
+    scored = texts.withColumns(columns).drop("completion")
+    weighted = [F.lit(float((weights or {}).get(n, 1.0))) * F.col(n) for n in rewards]
+    plain = [F.col(n) for n in rewards]
+    return scored.withColumns(
+        {"reward_sum": sum(plain[1:], plain[0]), "weighted_sum": sum(weighted[1:], weighted[0])}
+    )
+
+
 def group_rewards(arrays: DataFrame, reward: R.Reward | None = None) -> DataFrame:
     """Add `rewards` to rows in array layout (`completions` array, `reference`); no shuffle."""
     return arrays.withColumn("rewards", R.group_rewards(F.col("completions"), F.col("reference"), reward))

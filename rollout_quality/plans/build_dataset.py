@@ -7,8 +7,9 @@ output folder.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 import sys
+from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,8 +18,14 @@ from rollout_quality.operators import leakage, prepare, report
 from rollout_quality.operators.gates import enforce, quality_gates
 from rollout_quality.operators.scoring import contract_columns
 from rollout_quality.schemas import ANALYSIS_FIELDS, PUBLIC_FIELDS
-from rollout_quality.session import cut_lineage, write_and_reread
-from rollout_quality.sources.sinks import artifact_paths, write_columnar, write_jsonl, write_report
+from rollout_quality.session import cut_lineage, run_together, write_and_reread
+from rollout_quality.sources.sinks import (
+    artifact_paths,
+    write_columnar,
+    write_jsonl,
+    write_jsonl_table,
+    write_report,
+)
 from rollout_quality.sources.tables import select_splits
 
 
@@ -108,19 +115,22 @@ def build_dataset(
     paths = artifact_paths(output_dir, cfg)
     trainer = records.select(*PUBLIC_FIELDS)
     analysis = records.select(*ANALYSIS_FIELDS)
+    writes = []
     for name, view in (("trainer", trainer), ("analysis", analysis)):
         if cfg.save_jsonl:
-            write_jsonl(view, paths[f"{name}_jsonl"], cfg.splits, cfg.max_records_per_file)
+            writes.append(partial(write_jsonl, view, paths[f"{name}_jsonl"], cfg.splits, cfg.max_records_per_file))
         if cfg.save_columnar:
-            write_columnar(view, paths[f"{name}_parquet"], cfg.max_records_per_file)
+            writes.append(partial(write_columnar, view, paths[f"{name}_parquet"], cfg.max_records_per_file))
 
     built = manifest(split_report, report.failure_codes(processed), cfg, paths)
     reports = paths["reports"]
-    write_report(built, f"{reports}/manifest")
-    write_report(split_report.orderBy("ord"), f"{reports}/validation_summary")
-    write_report(leaks.orderBy("ord"), f"{reports}/leakage_report")
-    write_report(violations.orderBy("seq"), f"{reports}/violations")
-    report.failure_reasons(processed).write.mode("overwrite").option("ignoreNullFields", "false").json(
-        f"{reports}/failure_reasons"
+    run_together(
+        raw.sparkSession,
+        *writes,
+        partial(write_jsonl_table, report.failure_reasons(processed), f"{reports}/failure_reasons"),
+        partial(write_report, built, f"{reports}/manifest"),
+        partial(write_report, split_report.orderBy("ord"), f"{reports}/validation_summary"),
+        partial(write_report, leaks.orderBy("ord"), f"{reports}/leakage_report"),
+        partial(write_report, violations.orderBy("seq"), f"{reports}/violations"),
     )
     return BuildResult(trainer, analysis, processed, split_report, leaks, violations, built, paths)

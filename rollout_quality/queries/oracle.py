@@ -331,6 +331,15 @@ def oracles() -> dict[str, str]:
             (COMP,),
             "comp",
         ),
+        "multi_reward": sql(
+            (
+                *SCORE,
+                """m AS (SELECT prompt_id, gen_idx, CAST(format_ AS DOUBLE) AS f, CAST(length_ AS DOUBLE) AS l,
+                   CASE WHEN contains(completion, reference) THEN CAST(1 AS DOUBLE) ELSE 0 END AS c FROM feat)""",
+            ),
+            f"""SELECT prompt_id, gen_idx, {r6('f')} AS format, {r6('l')} AS length, c AS mentions,
+              {r6('f + l + c')} AS reward_sum, {r6('0.5 * f + l + 2.0 * c')} AS weighted_sum FROM m""",
+        ),
         "group_advantages": _ADVANTAGES,
         "group_advantages_blocked": _ADVANTAGES,
         "group_step": _per_completion(

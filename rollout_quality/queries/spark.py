@@ -192,6 +192,18 @@ def custom_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewarded.select(*member(), r6("reward").alias("reward"))
 
 
+@query
+def multi_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several rewards side by side, library and user-supplied, with weights for their sum."""
+    rewards = {
+        "format": lambda completion, reference: W.format_reward(completion),
+        "length": lambda completion, reference: W.length_reward(completion),
+        "mentions": lambda completion, reference: completion.contains(reference).cast("double"),
+    }
+    scored = scoring.multi_rewards(derived.completions(spark, sf_dir), rewards, {"format": 0.5, "mentions": 2.0})
+    return scored.select(*member(), *[r6(c).alias(c) for c in (*rewards, "reward_sum", "weighted_sum")])
+
+
 @query
 def group_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rewards = scored(spark, sf_dir).select("prompt_id", "gen_idx", "reward")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A side is broadcast only if a count proves at most this many narrow rows (a key and a few scalars).
@@ -32,17 +35,16 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder of its own, because there all executors
     live in this process. A cluster session without it is an error, never a machine-local folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="rollout-quality-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    current = context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or current
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="rollout-quality-")
+    if not current:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -76,6 +78,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
+def run_together(spark: SparkSession, *actions: Callable[[], None]) -> None:
+    """Submit independent Spark jobs at the same time, so that the last tasks of one leave no cores idle."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(inherit(a)) for a in actions]:
+            done.result()
+
+
 def is_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True if a stored narrow table is proven small enough to broadcast."""
     return stored.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows

@@ -72,6 +72,11 @@ def write_columnar(df: DataFrame, path: str, max_records_per_file: int = 0) -> N
     )
 
 
+def write_jsonl_table(df: DataFrame, path: str) -> None:
+    """A report table of any size as JSON-lines."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A small report (a few rows) as one JSON file."""
     df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -92,7 +92,7 @@ def test_jsonl_keeps_nulls_text_and_blank_lines(spark, tmp_path):
     rows = [(0, "train", "Größe “x” ?", "1", None, (0, None))]
     df = spark.createDataFrame(rows, record_type())
     sinks.write_jsonl(df, str(tmp_path / "j"), ["train"])
-    text = next((tmp_path / "j/train").glob("*.json")).read_text()
+    text = "".join(f.read_text() for f in (tmp_path / "j/train").glob("*.json"))
     assert "Größe" in text and '"prompt_messages":null' in text and '"difficulty":null' in text
     (tmp_path / "j/train/extra.json").write_text(f"\n\n{text}\n   \n")
     back = tables.read_jsonl(spark, f"{tmp_path}/j/train", record_type())

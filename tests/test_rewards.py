@@ -145,3 +145,12 @@ def test_reward_matrix_sums(spark):
     row = scoring.reward_matrix(df).first()
     assert row["reward_sum"] == pytest.approx(1.0 + 1.0 + 0.7 + 0.1)
     assert row["weighted_sum"] == pytest.approx(1.0 + 0.3 + 0.2 * 0.7 + 0.1 * 0.1)
+
+
+def test_multi_rewards(spark):
+    df = spark.createDataFrame([(1, 0, "#### 42", "42")], "prompt_id long, gen_idx int, completion string, reference string")
+    rewards = {"a": R.exact_match_reward, "b": lambda c, r: F.lit(0.5)}
+    row = scoring.multi_rewards(df, rewards, {"a": 3.0}).first()
+    assert (row["a"], row["b"], row["reward_sum"], row["weighted_sum"]) == (1.0, 0.5, 1.5, 3.5)
+    with pytest.raises(ValueError):
+        scoring.multi_rewards(df, {})
