@@ -19,7 +19,7 @@ def largest_group(df: DataFrame) -> int:
 
 
 def block_of(block_rows: int) -> Column:
-    return F.floor(F.col("gen_idx") / block_rows)
+    return F.coalesce(F.floor(F.col("gen_idx") / block_rows), F.lit(0))
 
 
 def per_block(df: DataFrame, last: str) -> DataFrame:

@@ -32,13 +32,15 @@ def group_advantages(
         return scored.withColumns(stats).withColumn("advantage", _relative(eps)).drop(*_STATS)
 
     stored = cut_lineage(scored)
-    totals = stored.groupBy(key).agg(
+    totals = stored.groupBy(F.col(key).alias("__key")).agg(
         F.avg("reward").alias("__mean"),
         F.stddev_pop("reward").alias("__std"),
         F.max(block_of(block_rows)).alias("__last"),
     )
-    joined = stored.withColumn(BLOCK, block_of(block_rows)).join(per_block(totals, "__last"), [key, BLOCK])
-    return joined.withColumn("advantage", _relative(eps)).drop(BLOCK, *_STATS)
+    per = per_block(totals, "__last").withColumnRenamed(BLOCK, "__of")
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(BLOCK) == F.col("__of"))
+    joined = stored.withColumn(BLOCK, block_of(block_rows)).join(per, same)
+    return joined.withColumn("advantage", _relative(eps)).drop(BLOCK, "__of", "__key", *_STATS)
 
 
 def group_step(

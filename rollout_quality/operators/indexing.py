@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 ROWS_PER_BUCKET = 20_000
 MAX_BUCKETS = 100_000
 _SAMPLE_PER_BUCKET = 20
+_GROUP = "__group"
 _BUCKET = "__bucket"
 _FIRST = "__first"
 
@@ -41,7 +42,7 @@ def _with_bucket(df: DataFrame, key: str, edges: Sequence[float]) -> DataFrame:
         splits=[float("-inf"), *edges, float("inf")], inputCol=numeric, outputCol=_BUCKET, handleInvalid="keep"
     )
     bucketed = bucketizer.transform(df.withColumn(numeric, F.col(key).cast("double"))).drop(numeric)
-    return bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
+    return bucketed.withColumn(_BUCKET, F.coalesce(F.col(_BUCKET).cast("int"), F.lit(-1)))
 
 
 def with_position(
@@ -54,22 +55,26 @@ def with_position(
 ) -> DataFrame:
     """Add `out`: position of each row within its split, in the order of the numeric column `key`, then `ties`.
 
-    Keys should be (nearly) unique; equal keys share a bucket and are ordered by `ties`.
+    Keys should be (nearly) unique; equal keys share a bucket and are ordered by `ties`. Rows without a key come
+    first, and rows without a split form a split of their own; none is lost.
     """
+    if not isinstance(df.schema[key].dataType, T.NumericType):
+        raise TypeError(f"column {key!r} must be numeric to order rows")
     edges = _edges(df, key, rows_per_bucket)
-    bucketed = _with_bucket(df, key, edges)
+    grouped = df.withColumn(_GROUP, F.coalesce(F.col(split).cast("string"), F.lit("\0")))
+    bucketed = _with_bucket(grouped, key, edges)
     order: list[Column] = [F.col(c) for c in (key, *ties)]
-    rank = F.row_number().over(Window.partitionBy(split, _BUCKET).orderBy(*order)).cast("bigint") - 1
+    rank = F.row_number().over(Window.partitionBy(_GROUP, _BUCKET).orderBy(*order)).cast("bigint") - 1
+    ranked = bucketed.withColumn(out, rank)
     if not edges:
-        return bucketed.withColumn(out, rank).drop(_BUCKET)
+        return ranked.drop(_GROUP, _BUCKET)
 
-    counts = bucketed.groupBy(split, _BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(split).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select(split, _BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_FIRST))
-    # The ranked rows are already partitioned and sorted by (split, bucket): this join moves only the counts.
+    counts = bucketed.groupBy(_GROUP, _BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(_GROUP).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select(_GROUP, _BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_FIRST))
+    # The ranked rows are already partitioned and sorted by (group, bucket): this join moves only the counts.
     return (
-        bucketed.withColumn(out, rank)
-        .join(firsts, [split, _BUCKET])
+        ranked.join(firsts, [_GROUP, _BUCKET])
         .withColumn(out, F.col(out) + F.col(_FIRST))
-        .drop(_BUCKET, _FIRST)
+        .drop(_GROUP, _BUCKET, _FIRST)
     )

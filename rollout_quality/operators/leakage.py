@@ -34,8 +34,12 @@ def with_question_key(records: DataFrame) -> DataFrame:
 
 
 def question_counts(records: DataFrame, splits: Sequence[str]) -> DataFrame:
-    """One row per distinct question: its number of copies in each split (`n_0`, `n_1`, ... in split order)."""
-    copies = [F.count_if(F.col("split") == s).alias(f"n_{i}") for i, s in enumerate(splits)]
+    """One row per distinct question: its number of copies in each split (`n_0`, `n_1`, ... in split order).
+
+    Rows without a question count nowhere.
+    """
+    known = F.col(KEY).isNotNull()
+    copies = [F.count_if((F.col("split") == s) & known).alias(f"n_{i}") for i, s in enumerate(splits)]
     return with_question_key(records).groupBy(KEY).agg(*copies)
 
 

@@ -37,6 +37,15 @@ def test_hot_prompt(spark, block_rows):
         assert r["advantage"] == pytest.approx(want[r["prompt_id"], r["gen_idx"]], abs=1e-6)
 
 
+@pytest.mark.parametrize("block_rows", [4_096, 2])
+def test_rows_without_prompt_or_position_are_kept(spark, block_rows):
+    rows = [(None, 0, 1.0), (None, 1, 3.0), (1, None, 1.0), (1, 0, 2.0), (1, 3, 3.0)]
+    got = groups.group_advantages(spark.createDataFrame(rows, SCHEMA), block_rows=block_rows).collect()
+    assert len(got) == len(rows)
+    assert {r["reward"]: round(r["advantage"], 3) for r in got if r["prompt_id"] is None} == {1.0: -1.0, 3.0: 1.0}
+    assert {r["reward"]: round(r["advantage"], 3) for r in got if r["prompt_id"] == 1} == {1.0: -1.225, 2.0: 0.0, 3.0: 1.225}
+
+
 def test_advantages_sum_to_zero_and_constant_groups(spark):
     df = spark.createDataFrame([(1, i, 0.5) for i in range(5)] + [(2, i, float(i)) for i in range(4)], SCHEMA)
     out = groups.group_advantages(df)

@@ -154,6 +154,18 @@ def test_equal_keys_are_kept(spark):
     assert [r["idx"] for r in out] == list(range(41))
 
 
+@pytest.mark.parametrize("rows_per_bucket", [1_000, 5])
+def test_missing_keys_and_splits_are_kept(spark, rows_per_bucket):
+    rows = [(None, "a"), (None, "a"), (7, None)] + [(i, "a") for i in range(30)] + [(i, None) for i in range(20, 25)]
+    df = spark.createDataFrame(rows, "src_id long, split string")
+    out = prepare.index_split(df, rows_per_bucket=rows_per_bucket).collect()
+    assert sorted(r["idx"] for r in out if r["split"] == "a") == list(range(32))
+    assert {r["src_id"]: r["idx"] for r in out if r["split"] is None} == {7: 0, 20: 1, 21: 2, 22: 3, 23: 4, 24: 5}
+    assert {r["idx"] for r in out if r["src_id"] is None} == {0, 1}
+    with pytest.raises(TypeError):
+        prepare.index_split(df, key="split")
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "src_id long, split string")
     assert indexing.with_position(df, "src_id").count() == 0

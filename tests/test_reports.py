@@ -85,6 +85,12 @@ def test_three_splits_match_brute_force(spark, broadcast_rows):
     assert {r["question"] for r in leakage.fingerprint_intersect(df, "a", "b").collect()} == shared["a__b"]
 
 
+def test_missing_questions_are_no_duplicates(spark):
+    df = questions(spark, train=[None, None, "x"], test=[None, "y"])
+    counted = leakage.leakage_counts(leakage.question_counts(df, ("train", "test")), ("train", "test"))
+    assert [r["duplicate_count"] for r in counted.orderBy("ord").collect()] == [0, 0, 0]
+
+
 def test_single_split(spark):
     df = questions(spark, train=["x", "X "])
     off = leakage.within_split_duplicates(df, ("train",)).collect()
