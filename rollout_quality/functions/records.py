@@ -90,11 +90,10 @@ def build_prompt(question: Column, system_prompt: str = DEFAULT_SYSTEM_PROMPT) -
 def difficulty(reasoning: Column) -> Column:
     """Difficulty label of a stripped reasoning text."""
 
+    (easy_below, easy), (medium_below, medium) = DIFFICULTY_BOUNDS
+
     def label(n: Column) -> Column:
-        chain = F
-        for bound, name in DIFFICULTY_BOUNDS:
-            chain = chain.when(n < bound, name)
-        return chain.otherwise(HARDEST)
+        return F.when(n < easy_below, easy).when(n < medium_below, medium).otherwise(HARDEST)
 
     return F.when(reasoning.isNotNull(), let(sentence_count(reasoning), label))
 

@@ -13,7 +13,6 @@ from rollout_quality.functions.records import ANSWER_TYPES, DIFFICULTIES
 from rollout_quality.functions.text import exact_round
 
 
-
 def _good() -> Column:
     return F.col("error").isNull()
 

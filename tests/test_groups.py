@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rollout_quality.operators import groups, scoring
 
 SCHEMA = "prompt_id long, gen_idx int, reward double"
+COMPLETIONS = "prompt_id long, gen_idx int, completion string, reference string"
 
 
 def scored(spark, sizes, seed=0):
@@ -57,7 +58,7 @@ def test_advantages_sum_to_zero_and_constant_groups(spark):
 @pytest.mark.parametrize("block_rows", [4_096, 3])
 def test_group_step(spark, block_rows):
     rows = [(1, g, f"#### {g}", "1") for g in range(8)] + [(2, 0, "#### 5", "5")]
-    df = spark.createDataFrame(rows, "prompt_id long, gen_idx int, completion string, reference string")
+    df = spark.createDataFrame(rows, COMPLETIONS)
     steps = groups.group_step(df.repartition(4), block_rows=block_rows).orderBy("prompt_id", "block").collect()
     first = [r for r in steps if r["prompt_id"] == 1]
     assert [g for r in first for g in r["gen_idxs"]] == list(range(8))
@@ -72,7 +73,7 @@ def test_group_step(spark, block_rows):
 
 
 def test_group_step_with_own_reward(spark):
-    df = spark.createDataFrame([(1, 0, "aa", "x"), (1, 1, "a", "x")], "prompt_id long, gen_idx int, completion string, reference string")
+    df = spark.createDataFrame([(1, 0, "aa", "x"), (1, 1, "a", "x")], COMPLETIONS)
     row = groups.group_step(df, reward=lambda c, r: F.length(c).cast("double")).first()
     assert row["rewards"] == [2.0, 1.0]
 

@@ -99,7 +99,10 @@ def test_no_difficulty_and_blank_system_prompt(spark):
 
 def test_validation_codes(spark):
     message = "array<struct<role:string,content:string>>"
-    schema = f"idx long, split string, question string, reference_answer string, prompt_messages {message}, metadata struct<original_idx:long>, want long"
+    schema = (
+        f"idx long, split string, question string, reference_answer string, prompt_messages {message}, "
+        "metadata struct<original_idx:long>, want long"
+    )
     ok = [("system", "s"), ("user", "u")]
     rows = [
         (0, "a", "q", "4", ok, (0,), 0),

@@ -13,6 +13,7 @@ from rollout_quality.operators import scoring
 
 C, REF = "completion string, reference string", lambda fn: lambda: fn(F.col("completion"), F.col("reference"))
 ONE = "completion string"
+COMPLETIONS = "prompt_id long, gen_idx int, completion string, reference string"
 
 
 def test_exact_match(values):
@@ -128,7 +129,7 @@ def test_custom_reward_accepts_pandas_udf(spark):
         return (completion.str.len() == reference.str.len()).astype("float64")
 
     rows = [(1, 0, "42", "42"), (1, 1, "4", "42")]
-    df = spark.createDataFrame(rows, "prompt_id long, gen_idx int, completion string, reference string")
+    df = spark.createDataFrame(rows, COMPLETIONS)
     got = scoring.custom_rewards(df, same_length).orderBy("gen_idx").collect()
     assert [r["reward"] for r in got] == [1.0, 0.0]
 
@@ -148,7 +149,7 @@ def test_reward_matrix_sums(spark):
 
 
 def test_multi_rewards(spark):
-    df = spark.createDataFrame([(1, 0, "#### 42", "42")], "prompt_id long, gen_idx int, completion string, reference string")
+    df = spark.createDataFrame([(1, 0, "#### 42", "42")], COMPLETIONS)
     rewards = {"a": R.exact_match_reward, "b": lambda c, r: F.lit(0.5)}
     row = scoring.multi_rewards(df, rewards, {"a": 3.0}).first()
     assert (row["a"], row["b"], row["reward_sum"], row["weighted_sum"]) == (1.0, 0.5, 1.5, 3.5)
