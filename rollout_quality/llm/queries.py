@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollout_quality.llm import decontaminate as decontamination, exact, lines, shard
+from rollout_quality.llm import decontaminate as decontamination, exact, lines, shard, simhash
 from rollout_quality.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/documents.parquet"
     return exact.exact_duplicates(spark, path, spark.read.parquet(path).schema)
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
