@@ -67,3 +67,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 ORACLES = {"op4_line_dedup": OP4, "op9_decontamination": OP9, "op10_exact_dedup": OP10}
+
+OP8 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+g AS (SELECT h, max(page_id) AS holder FROM p GROUP BY h)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
+FROM p JOIN g USING (h)
+"""
+ORACLES["op8_warc_salvage"] = OP8

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollout_quality.llm import decontaminate as decontamination, exact, lines, pack, shard, simhash
+from rollout_quality.llm import decontaminate as decontamination, exact, lines, pack, shard, simhash, warc
 from rollout_quality.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,12 @@ def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages")).filter("kind IN ('response', 'revisit')")
+    return found.select(
+        "page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"), "refers_to",
+    )
