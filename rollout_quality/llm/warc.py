@@ -26,6 +26,8 @@ CHUNK = 1 << 15
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+# The record types of WARC 1.1.
+KINDS = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 _MAGIC = b"\x1f\x8b\x08"
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 SALVAGED = "file string, at long, until long, kind string, page_id long, url string, digest string, bytes long, refers_to long, payload binary, note string"
@@ -88,7 +90,7 @@ def _parse(data: bytes, at: int) -> tuple[Found | None, str]:
         if not colon:
             return None, "headers"
         headers[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
-    if not headers.get("content-length", "").isdecimal() or "warc-type" not in headers:
+    if not headers.get("content-length", "").isdecimal() or headers.get("warc-type") not in KINDS:
         return None, "headers"
     start = end + 4
     stop = start + int(headers["content-length"])
