@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollout_quality.llm import decontaminate as decontamination, exact, lines, pack, shard, simhash, warc
+from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, pack, shard, simhash, warc
 from rollout_quality.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,10 @@ def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
         F.col("kind").alias("record_type"), "refers_to",
     )
+
+
+@query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    done = html.extract(pages)
+    return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
