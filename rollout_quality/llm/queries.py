@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, pack, shard, simhash, warc
-from rollout_quality.llm.common import table
+from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, pack, shard, simhash, toxicity, warc
+from rollout_quality.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +82,17 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     done = html.extract(pages)
     return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learned from the labels of two thirds of the documents."""
+    return toxicity.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 3) != 1)
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity_model(spark, docs, sf_dir))
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
