@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import string
+import unicodedata
+from array import array
 from functools import cache
 
 import numpy as np
@@ -22,29 +25,60 @@ def tokenizer(file: str):
     return Tokenizer.from_file(file if os.path.isabs(file) else public_tokenizers.path(file))
 
 
-@cache
-def _known(file: str) -> dict[str, bytes]:
-    return {}
+def _byte_signs() -> list[str]:
+    """The sign that byte-level BPE writes for each byte: printable Latin-1 stands for itself, others follow at 256."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+_SIGNS = _byte_signs()
+
+
+class _Words(dict):
+    """Word -> ids as bytes. Words seen since the cache was last halved, backed by those before."""
+
+    def __init__(self, file: str, before: dict):
+        super().__init__()
+        self.coder, self.before = tokenizer(file), before
+
+    def __missing__(self, word: str) -> bytes:
+        coded = self.before.get(word)
+        if coded is None:
+            coded = self._encode(word)
+        if len(word) <= LONGEST_CACHED:
+            self[word] = coded
+        return coded
+
+    def _encode(self, word: str) -> bytes:
+        if word.isalpha():
+            low = word.lower()
+            # A word of letters is one piece of the model, if normalising leaves it alone.
+            if low == word and (word.isascii() or unicodedata.is_normalized("NFC", word)):
+                piece = word if word.isascii() else "".join(map(_SIGNS.__getitem__, word.encode()))
+                return array("I", [t.id for t in self.coder.model.tokenize(piece)]).tobytes()
+            if low != word and low.isalpha() and "Σ" not in word:
+                return self[low]
+        body = word.rstrip(string.punctuation)
+        if len(body) < len(word) and body.isalpha():
+            return self[body] + self[word[len(body) :]]
+        return array("I", self.coder.encode(word, add_special_tokens=False).ids).tobytes()
+
+
+_known: dict[str, _Words] = {}
 
 
 def encode(texts: list[str | None], file: str = WORD_BPE) -> list[np.ndarray]:
     """Ids of whole texts (null: none), without special tokens, as little-endian unsigned 32-bit numbers.
 
-    Only for tokenizers that drop white space and never look across it, as `word_bpe_49k.json` does: a text is then
-    the sequence of its words, and words that were seen before are looked up.
+    Only for `word_bpe_49k.json` and files like it: lower case, white space dropped, letters and signs never joined.
+    A text is then the sequence of its words, and words that were seen before are looked up.
     """
-    split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-    known = _known(file)
-    fresh = list(set().union(*split) - known.keys())
-    if len(known) + len(fresh) > CACHE_WORDS:
-        known.clear()
-        fresh = list(set().union(*split))
-    for at in range(0, len(fresh), 10_000):
-        part = fresh[at : at + 10_000]
-        for word, coded in zip(part, tokenizer(file).encode_batch(part, add_special_tokens=False)):
-            known[word] = np.array(coded.ids, "<u4").tobytes()
-    found = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
-    for word in fresh:
-        if len(word) > LONGEST_CACHED:
-            del known[word]
+    known = _known.get(file)
+    if known is None or len(known) > CACHE_WORDS:
+        known = _known[file] = _Words(file, dict(known or {}))
+    found = []
+    for text in texts:
+        words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        found.append(np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4"))
     return found
