@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, pack, shard, simhash, toxicity, warc
+from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, lm, pack, shard, simhash, toxicity, warc
 from rollout_quality.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A null id is in no fold; such rows are neither learned from nor held out.
+    part = fold(F.col("doc_id"), 7)
+    scored = lm.score_texts(table(spark, sf_dir, "documents"), part != 2)
+    held_out = F.coalesce(part == 2, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
