@@ -155,10 +155,12 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, block_rows: int = BLOC
     none = np.array([], np.uint64)
 
     def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << bits, np.int64)
         for frame in frames:
             blocks, _ = _deal(frame["fp"].to_numpy().view(np.uint64), bits, half, none)
-            found, n = np.unique(blocks, return_counts=True)
-            yield pd.DataFrame({"block": found, "n": n})
+            total += np.bincount(blocks, minlength=1 << bits)
+        found = np.flatnonzero(total)
+        yield pd.DataFrame({"block": found, "n": total[found]})
 
     counts = distinct.mapInPandas(tally, "block long, n long").groupBy("block").agg(F.sum("n").alias("n"))
     # At most a HEAVY-th of all blocks can be that far above the mean.
@@ -232,7 +234,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 def keep_first(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The rows of `docs` with one document of each group: the one whose doc_id is the smallest.
 
-    Repeated rows of one doc_id are one document and all stay or go. Rows without a doc_id stay: they cannot be told apart from the document that represents them.
+    Repeated rows of one doc_id are one document and all stay or go. Rows without a doc_id stay: they cannot be
+    told apart from the document that represents them.
     """
     stays = near_duplicates(docs, radius, shingle).filter("doc_id != component_id").select("doc_id").distinct()
     return docs.join(stays, "doc_id", "left_anti").select(docs.columns)
