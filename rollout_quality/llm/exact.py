@@ -8,14 +8,18 @@ texts share is split by the texts themselves.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rollout_quality.llm.common import ready, scratch, store
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The bitmap that holds back contents which cannot be copies has a fixed size: one megabyte.
+FILTER_BITS = 23
 CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
@@ -93,6 +97,22 @@ def stream_state(
     return newest.select("digest", "s.first", "s.n")
 
 
+def _likely(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows whose digest may be that of a group: all that are, and by a bitmap of FILTER_BITS few that are not."""
+    place = F.pmod(F.xxhash64("digest"), F.lit(1 << FILTER_BITS))
+    found = groups.select(place.alias("at")).distinct().toPandas()["at"].to_numpy(np.int64)  # 2^FILTER_BITS at most
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[found] = True
+    held = rows.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            yield batch.filter(pa.array((held.value[at >> 3] << (at & 7)).astype(np.uint8) >= 128)).drop_columns("at")
+
+    return rows.withColumn("at", place).mapInArrow(keep, rows.schema)
+
+
 def exact_duplicates(
     spark: SparkSession,
     path: str,
@@ -111,10 +131,12 @@ def exact_duplicates(
     state = stream_state(spark, path, schema, digest, files_per_trigger)
     groups = store(state.filter("n > 1"), "dedup-groups")
     rows = _rows(spark.read.schema(schema).parquet(path), digest)
-    # A hit is compared with the content at the locator that the state holds.
-    hits = rows.join(groups, "digest").select("digest", "content", (F.col("me") == F.col("first")).alias("stays"))
+    # A hit is compared with the content at the locator that the state holds. Only contents of hits travel.
+    hits = _likely(rows.select("digest", "content", "me"), groups).join(groups.hint("merge"), "digest")
+    hits = store(hits.select("digest", "content", (F.col("me") == F.col("first")).alias("stays")), "dedup-hits")
     held = hits.filter("stays").select("digest", F.col("content").alias("held"))
-    differ = hits.filter("NOT stays").join(held, "digest").filter("content != held").select("digest").distinct()
+    again = hits.filter("NOT stays").join(held.hint("merge"), "digest")
+    differ = again.filter("content != held").select("digest").distinct()
     differ = store(differ, "dedup-collisions")
     sha = F.sha2(F.col("content").cast("binary"), 256).alias("text_sha256")
     split = None
@@ -123,7 +145,7 @@ def exact_duplicates(
         split = mixed.join(_first(mixed, "content"), "content").select("doc_id", "me", "first", "n", sha)
         rows = rows.join(differ, "digest", "left_anti")
     narrow = rows.select("doc_id", "digest", "me", sha)
-    joined = narrow.join(groups, "digest", "left").select("doc_id", "me", "first", "n", "text_sha256")
+    joined = narrow.join(groups.hint("merge"), "digest", "left").select("doc_id", "me", "first", "n", "text_sha256")
     if split is not None:
         joined = joined.unionByName(split)
     return joined.select(
