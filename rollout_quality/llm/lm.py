@@ -27,10 +27,12 @@ UNITS, CLASSES, COARSE = 1024, 64, 32
 CONTEXT, TARGETS, WIDTH = 16, 32, 16
 SPAN = CONTEXT + TARGETS + 1
 HEAD_WORDS, HEAD_BYTES = 200_000, 32
-ROUNDS, BATCH, RATE = 3, 64, 0.004
+ROUNDS, BATCH, RATE = 2, 64, 0.004
 BACKOFF = 20.0
 CHUNK = 4_000_000
 LOG10 = np.log(10.0)
+# Sums of exponentials stay finite in 32 bits without looking for the largest first.
+LARGEST = np.float32(60.0)
 
 
 # ---- words: the unigram base ------------------------------------------------------------------------------
@@ -215,11 +217,12 @@ def forward(w: dict[str, np.ndarray], units: np.ndarray) -> tuple:
     a = q @ k.transpose(0, 2, 1)
     a *= np.float32(WIDTH**-0.5)
     a += _PAST
-    a -= a.max(2, keepdims=True)
-    np.exp(a, out=a)
+    np.exp(np.minimum(a, LARGEST, out=a), out=a)
     a /= a.sum(2, keepdims=True)
     mixed = a @ v
-    h = np.tanh(mixed @ w["o"] + last @ w["own"])
+    h = mixed @ w["o"]
+    h += last @ w["own"]
+    h /= np.abs(h) + np.float32(1)
     return h @ w["out"], (x, last, q, k, v, a, mixed, h)
 
 
@@ -227,7 +230,7 @@ def backward(w: dict[str, np.ndarray], units: np.ndarray, kept: tuple, d_out: np
     x, last, q, k, v, a, mixed, h = kept
     flat = lambda m: m.reshape(-1, m.shape[-1])
     g = {"out": flat(h).T @ flat(d_out)}
-    pre = (d_out @ w["out"].T) * (1 - h * h)
+    pre = (d_out @ w["out"].T) * (1 - np.abs(h)) ** 2
     g["o"], g["own"] = flat(mixed).T @ flat(pre), flat(last).T @ flat(pre)
     d_mixed, d_last = pre @ w["o"].T, pre @ w["own"].T
     d_a, d_v = d_mixed @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ d_mixed
@@ -332,7 +335,7 @@ def train(texts: DataFrame, model: Model) -> Model:
     return model
 
 
-def log10_probability(model: Model, ids: list[np.ndarray], batch: int = 1024) -> np.ndarray:
+def log10_probability(model: Model, ids: list[np.ndarray], batch: int = 256) -> np.ndarray:
     """log10 of the model's probability of every text (its ids and the end)."""
     if not ids:
         return np.zeros(0)
@@ -345,10 +348,8 @@ def log10_probability(model: Model, ids: list[np.ndarray], batch: int = 1024) ->
         z, _ = forward(model.weights, units[:, :-1])
         z += bias
         top = np.take_along_axis(z, group[..., None].astype(np.int64), 2)[..., 0]
-        most = z.max(2)
-        z -= most[..., None]
-        np.exp(z, out=z)
-        picked = top - most - np.log(z.sum(2))
+        np.exp(np.minimum(z, LARGEST, out=z), out=z)
+        picked = np.minimum(top, LARGEST) - np.log(z.sum(2))
         target, last = units[:, CONTEXT + 1 :], units[:, CONTEXT:-1]
         picked = picked + model.inside[last, target] + model.rare[here[:, CONTEXT + 1 :]]
         out[at : at + batch] = (picked * valid[at : at + batch]).sum(1, dtype=np.float64)
