@@ -18,6 +18,8 @@ from rollout_quality.llm.common import ready, scratch, store
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# A state that is spread over many partitions must not reserve disk that it does not use.
+RESERVE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 # The bitmap that holds back contents which cannot be copies has a fixed size: one megabyte.
 FILTER_BITS = 23
 CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
@@ -76,9 +78,10 @@ def stream_state(
     def changed(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/changed/batch={batch_id}")
 
-    before = {k: spark.conf.get(k, None) for k in (STATE_STORE, CHANGELOG)}
+    before = {k: spark.conf.get(k, None) for k in (STATE_STORE, CHANGELOG, RESERVE)}
     spark.conf.set(STATE_STORE, ROCKS)
     spark.conf.set(CHANGELOG, "true")
+    spark.conf.set(RESERVE, "false")
     try:
         query = (
             state.writeStream.outputMode("update")
