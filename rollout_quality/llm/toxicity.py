@@ -10,6 +10,7 @@ calibration sees only predictions for rows that the trees were not grown on.
 from __future__ import annotations
 
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -63,7 +64,7 @@ def stems(word: str) -> set[str]:
     found = set()
     for form in _forms(word):
         found.update(form[:k] for k in range(STEM[0], min(STEM[1], len(form)) + 1))
-        if len(form) <= 2 * STEM[1]:
+        if STEM[0] <= len(form) <= 2 * STEM[1]:
             found.add(form + "$")
     return found
 
@@ -74,13 +75,22 @@ class _Words(dict):
     def __init__(self, lexicon: dict[str, float]):
         super().__init__()
         self.lexicon = lexicon
+        self.begin = {s[: STEM[0]] for s in lexicon}
 
     def __missing__(self, word: str) -> int:
-        forms = _forms(word)
-        strength = max((self.lexicon.get(s, 0.0) for s in stems(word)), default=0.0)
+        low = word.lower().strip(string.punctuation)
+        plain = low.isalpha()
+        forms = (low,) if plain else _forms(word)
+        strength, get = 0.0, self.lexicon.get
+        for form in forms:
+            if form[: STEM[0]] in self.begin:
+                strength = max([strength, *(get(s, 0.0) for s in stems(form))])
         code = min(255, int(16 * strength))
-        code |= _FIXED * bool(forms & INSULTS) | _SECOND * bool(forms & SECOND)
-        code |= _OBFUSCATED * bool(_HIDDEN.search(word)) | _LONG * bool(_STRETCHED.search(word))
+        if not plain and _HIDDEN.search(word):
+            code |= _OBFUSCATED
+        for form in forms:
+            code |= _FIXED * (form in INSULTS) | _SECOND * (form in SECOND)
+        code |= _LONG * bool(_STRETCHED.search(low))
         code |= _SHOUT * (word.isupper() and len(word) > 1) | _MARK * ("!" in word or "?" in word)
         if len(word) <= 64:
             self[word] = code
