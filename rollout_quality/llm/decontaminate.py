@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rollout_quality.llm.common import ready
+from rollout_quality.llm.common import ready, store
 
 N = 10
 BLOCK_BYTES = 64_000_000
@@ -114,7 +114,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = N, block_bytes: int = B
             "__items": F.array().cast("array<string>"),
         }
     )
-    for block in _blocks(benchmark, block_bytes):
+    for number, block in enumerate(_blocks(benchmark, block_bytes)):
+        if number and number % 4 == 0:
+            out = store(out, "scanned")  # bounds the workers that one task runs side by side
         grams = spark.sparkContext.broadcast(NGramSet(block, n))
 
         def find(frames: Iterator[pd.DataFrame], grams=grams) -> Iterator[pd.DataFrame]:

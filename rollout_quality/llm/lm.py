@@ -188,7 +188,7 @@ def statistics(texts: DataFrame) -> Model:
     three = _counted(texts, (triples, COARSE * UNITS * CLASSES)).reshape(COARSE, UNITS, CLASSES)
     three = (three + BACKOFF * by_class) / (three.sum(2, keepdims=True) + BACKOFF)
     return Model(
-        unit, rare, group.astype(np.int32), coarse.astype(np.int32), np.log(three).astype(np.float32).reshape(-1, CLASSES),
+        unit, rare, group.astype(np.int32), coarse.astype(np.int32), np.log(three + 1e-30).astype(np.float32).reshape(-1, CLASSES),
         (np.log(after) - np.log(by_class[:, group])).astype(np.float32),
     )
 
