@@ -34,7 +34,8 @@ def completion_text(messages: Column) -> Column:
 
 
 def format_reward(completion: Column) -> Column:
-    """Marker present, at least three non-blank lines, a digit after the last marker."""
+    """Marker present, at least three non-blank lines, a digit after the last marker. NULL is empty text."""
+    completion = F.coalesce(completion, F.lit(""))
     numbered = F.substring_index(completion, ANSWER_MARKER, -1).rlike("[0-9]")
     lines = F.when(has_lines(completion, MIN_LINES), F.lit(LINES_SHARE)).otherwise(F.lit(0.0))
     number = F.when(numbered, F.lit(NUMBER_SHARE)).otherwise(F.lit(0.0))
@@ -42,9 +43,9 @@ def format_reward(completion: Column) -> Column:
 
 
 def length_reward(completion: Column, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS) -> Column:
-    """1 inside the limits, falling towards 0 below and above them."""
+    """1 inside the limits, falling towards 0 below and above them. NULL is empty text."""
     return let(
-        word_count(completion),
+        word_count(F.coalesce(completion, F.lit(""))),
         lambda n: F.when(n < min_words, n / F.lit(float(min_words)))
         .when(n > max_words, F.lit(float(max_words)) / n)
         .otherwise(F.lit(1.0)),

@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from check_queries import compare
+from rollout_quality.queries.oracle import oracles
+from rollout_quality.queries.spark import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -18,10 +20,11 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(oracles())
+    assert set(QUERIES) <= set(entry_points.queries()) and set(oracles()) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
     ok, note = compare(spark, con, name, sf_dir)
     assert ok, note

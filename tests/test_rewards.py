@@ -155,3 +155,10 @@ def test_multi_rewards(spark):
     assert (row["a"], row["b"], row["reward_sum"], row["weighted_sum"]) == (1.0, 0.5, 1.5, 3.5)
     with pytest.raises(ValueError):
         scoring.multi_rewards(df, {})
+
+
+def test_null_completion_scores_as_empty_text_in_both_layouts(spark):
+    row = spark.sql("SELECT array(CAST(NULL AS STRING), '') AS c, CAST(NULL AS STRING) AS one, '4' AS r").select(
+        R.group_rewards(F.col("c"), F.col("r")).alias("many"), R.composite_reward(F.col("one"), F.col("r")).alias("long")
+    ).first()
+    assert row["many"] == [0.0, 0.0] and row["long"] == 0.0
