@@ -19,7 +19,8 @@ def largest_group(df: DataFrame) -> int:
 
 
 def block_of(block_rows: int) -> Column:
-    return F.coalesce(F.floor(F.col("gen_idx") / block_rows), F.lit(0))
+    """Rows without a position, or with a negative one, are in block 0."""
+    return F.greatest(F.coalesce(F.floor(F.col("gen_idx") / block_rows), F.lit(0)), F.lit(0))
 
 
 def per_block(df: DataFrame, last: str) -> DataFrame:

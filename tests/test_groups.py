@@ -87,3 +87,10 @@ def test_join_of_hot_prompt(spark, how, block_rows):
     got = scoring.join_references(features, references, how=how, block_rows=block_rows).collect()
     want = sorted((p, g, str(p) if p < 30 else None) for p, g, _ in rows if how == "left" or p < 30)
     assert sorted((r["prompt_id"], r["gen_idx"], r["reference"]) for r in got) == want
+
+
+@pytest.mark.parametrize("block_rows", [4_096, 4])
+def test_rows_with_negative_positions_are_kept(spark, block_rows):
+    rows = spark.createDataFrame([(1, i, float(i)) for i in range(-3, 7)], "prompt_id long, gen_idx int, reward double")
+    got = groups.group_advantages(rows, block_rows=block_rows)
+    assert sorted(r["gen_idx"] for r in got.collect()) == list(range(-3, 7))
