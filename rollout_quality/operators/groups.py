@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rollout_quality.functions.rewards import Reward, composite_reward
-from rollout_quality.operators.blocks import BLOCK, BLOCK_ROWS, block_of, largest_group, per_block
-from rollout_quality.operators.scoring import as_text
+from rollout_quality.config import COMPAT, RewardWeights
+from rollout_quality.functions.rewards import Reward
+from rollout_quality.operators.hot import HOT_ROWS, hot_keys
+from rollout_quality.operators.scoring import as_text, reward_of
 from rollout_quality.session import cut_lineage
 
 EPSILON = 1e-8
@@ -17,30 +18,34 @@ def _relative(eps: float) -> Column:
     return (F.col("reward") - F.col("__mean")) / (F.col("__std") + F.lit(eps))
 
 
+def _in_window(scored: DataFrame, key: str, eps: float) -> DataFrame:
+    group = Window.partitionBy(key)
+    stats = {"__mean": F.avg("reward").over(group), "__std": F.stddev_pop("reward").over(group)}
+    return scored.withColumns(stats).withColumn("advantage", _relative(eps)).drop(*_STATS)
+
+
 def group_advantages(
-    scored: DataFrame, key: str = "prompt_id", eps: float = EPSILON, block_rows: int = BLOCK_ROWS
+    scored: DataFrame, key: str = "prompt_id", eps: float = EPSILON, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add `advantage` = (reward - group mean) / (population deviation + eps).
+    """Add `advantage` = (reward - group mean) / (population deviation + eps); every row stays.
 
-    Usual groups take one exchange and one window. If some group may exceed `block_rows`, the narrow scored
-    rows are stored once; group statistics are then pre-aggregated before their shuffle and joined back by
-    (prompt, block), so that no task holds more than a block of any prompt.
+    Usual groups take one exchange and one window. The rows of hot prompts (counted, see `hot`) do not move at all:
+    their statistics are combined in the tasks that hold them and come back as one broadcast row per prompt.
+    Rows without a prompt are one group. Only the number of rows of a prompt matters, not its positions.
     """
-    if largest_group(scored) <= block_rows:
-        group = Window.partitionBy(key)
-        stats = {"__mean": F.avg("reward").over(group), "__std": F.stddev_pop("reward").over(group)}
-        return scored.withColumns(stats).withColumn("advantage", _relative(eps)).drop(*_STATS)
-
+    hot = hot_keys(scored, key, hot_rows)
+    if hot is None:
+        return _in_window(scored, key, eps)
     stored = cut_lineage(scored)
-    totals = stored.groupBy(F.col(key).alias("__key")).agg(
-        F.avg("reward").alias("__mean"),
-        F.stddev_pop("reward").alias("__std"),
-        F.max(block_of(block_rows)).alias("__last"),
+    flagged = stored.join(F.broadcast(hot.withColumn("__is", F.lit(True))), F.col(key).eqNullSafe(F.col("__hot")), "left")
+    large = flagged.where("__is").drop("__is", "__hot")
+    stats = large.groupBy(F.col(key).alias("__key")).agg(
+        F.avg("reward").alias("__mean"), F.stddev_pop("reward").alias("__std")
     )
-    per = per_block(totals, "__last").withColumnRenamed(BLOCK, "__of")
-    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(BLOCK) == F.col("__of"))
-    joined = stored.withColumn(BLOCK, block_of(block_rows)).join(per, same)
-    return joined.withColumn("advantage", _relative(eps)).drop(BLOCK, "__of", "__key", *_STATS)
+    spread = large.join(F.broadcast(stats), F.col(key).eqNullSafe(F.col("__key")))
+    spread = spread.withColumn("advantage", _relative(eps)).drop("__key", *_STATS)
+    usual = flagged.where(F.col("__is").isNull()).drop("__is", "__hot")
+    return _in_window(usual, key, eps).unionByName(spread)
 
 
 def group_step(
@@ -48,23 +53,16 @@ def group_step(
     reward: Reward | None = None,
     key: str = "prompt_id",
     eps: float = EPSILON,
-    block_rows: int = BLOCK_ROWS,
+    hot_rows: int = HOT_ROWS,
+    weights: RewardWeights | None = None,
+    soft_k: float = 0.1,
+    grammar: str = COMPAT,
 ) -> DataFrame:
-    """Per prompt: ordered arrays of completions, rewards and advantages, and the reference.
+    """The completions with their reward and advantage: one row per completion, whatever the size of its group.
 
-    A row holds at most `block_rows` members (`block` counts up from 0), so a huge group becomes several rows
-    and none is cut short. Usual groups are one row with `block` 0.
+    `weights`, `soft_k` and `grammar` shape the composite reward; a `reward` of one's own replaces it. For rows
+    that already hold a prompt's completions as an array, see `functions.rewards.group_advantages`.
     """
-    fn = reward or composite_reward
+    fn = reward_of(reward, weights, soft_k, grammar)
     scored = as_text(completions).withColumn("reward", fn(F.col("completion"), F.col("reference")))
-    relative = group_advantages(scored, key, eps, block_rows)
-    member = F.struct("gen_idx", "completion", "reward", "advantage")
-    grouped = relative.groupBy(key, block_of(block_rows).alias("block")).agg(
-        F.first("reference").alias("reference"), F.sort_array(F.collect_list(member)).alias("m")
-    )
-    return grouped.select(
-        key,
-        "block",
-        "reference",
-        *[F.col(f"m.{c}").alias(f"{c}s") for c in ("gen_idx", "completion", "reward", "advantage")],
-    )
+    return group_advantages(scored, key, eps, hot_rows)

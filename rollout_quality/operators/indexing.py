@@ -7,6 +7,7 @@ its offset. Bucket membership is a function of the key, so a recomputed task lan
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -17,21 +18,30 @@ MAX_BUCKETS = 100_000
 _SAMPLE_PER_BUCKET = 20
 _GROUP = "__group"
 _BUCKET = "__bucket"
+_PART = "__part"
+_DIGEST = "__digest"
 _FIRST = "__first"
+_EXACT = 2.0**53
 
 
-def _edges(df: DataFrame, key: str, rows_per_bucket: int) -> list[float]:
-    """Inner bucket edges; empty if all rows fit one bucket. At most MAX_BUCKETS values."""
-    rows = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+def _edges(df: DataFrame, key: str, rows_per_bucket: int) -> tuple[list[float], list[float], bool]:
+    """Inner bucket edges (empty if all rows fit one bucket; at most 2 * MAX_BUCKETS values), the keys among them
+    that fill more than a bucket each, and whether rows without a key do."""
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("known")).first()
+    rows, known = found["n"], found["known"]
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
     if buckets <= 1:
-        return []
+        return [], [], False
     keys = df.select(F.col(key).cast("double").alias("k"))
     fraction = min(1.0, buckets * _SAMPLE_PER_BUCKET / rows)
     if fraction < 1.0:
         keys = keys.sample(fraction, seed=17)
     shares = [i / buckets for i in range(1, buckets)]
-    return sorted(set(keys.approxQuantile("k", shares, 0.1 / buckets)))
+    edges = sorted(keys.approxQuantile("k", shares, 0.1 / buckets))
+    # Beyond 2^53 different keys may share a double; such a bucket is not one key.
+    heavy = sorted({a for a, b in zip(edges, edges[1:]) if a == b and abs(a) < _EXACT})
+    alone = [math.nextafter(v, math.inf) for v in heavy]
+    return sorted({*edges, *alone}), heavy, rows - known > rows_per_bucket
 
 
 def _with_bucket(df: DataFrame, key: str, edges: Sequence[float]) -> DataFrame:
@@ -53,28 +63,37 @@ def with_position(
     ties: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Add `out`: position of each row within its split, in the order of the numeric column `key`, then `ties`.
+    """Add `out`: position of each row within its split, in the order of the numeric column `key`, then `ties`,
+    then a digest of the whole row, so that positions do not depend on how the rows are partitioned.
 
-    Keys should be (nearly) unique; equal keys share a bucket and are ordered by `ties`. Rows without a key come
-    first, and rows without a split form a split of their own; none is lost.
+    Rows that are equal in every column are interchangeable. Rows without a key come first, and rows without a
+    split form a split of their own; none is lost. Keys with more rows than a bucket (no key among them) are cut
+    further by the digest; with `ties` of the caller's they share a bucket.
     """
     if not isinstance(df.schema[key].dataType, T.NumericType):
         raise TypeError(f"column {key!r} must be numeric to order rows")
-    edges = _edges(df, key, rows_per_bucket)
+    edges, heavy, unkeyed = _edges(df, key, rows_per_bucket)
     grouped = df.withColumn(_GROUP, F.coalesce(F.col(split).cast("string"), F.lit("\0")))
-    bucketed = _with_bucket(grouped, key, edges)
+    digest = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+    bucketed = _with_bucket(grouped, key, edges).withColumn(_PART, F.lit(0))
+    if (heavy or unkeyed) and not ties:
+        crowded = F.col(key).cast("double").isin(heavy) if heavy else F.lit(False)
+        crowded = F.coalesce(crowded, F.lit(unkeyed))
+        bucketed = bucketed.withColumn(_PART, F.when(crowded, F.shiftright(digest, 52).cast("int")).otherwise(0))
+    bucket = (_GROUP, _BUCKET, _PART)
     order: list[Column] = [F.col(c) for c in (key, *ties)]
-    rank = F.row_number().over(Window.partitionBy(_GROUP, _BUCKET).orderBy(*order)).cast("bigint") - 1
-    ranked = bucketed.withColumn(out, rank)
+    placed = bucketed.withColumn(_DIGEST, digest)
+    rank = F.row_number().over(Window.partitionBy(*bucket).orderBy(*order, _DIGEST)).cast("bigint") - 1
+    ranked = placed.withColumn(out, rank).drop(_DIGEST)
     if not edges:
-        return ranked.drop(_GROUP, _BUCKET)
+        return ranked.drop(*bucket)
 
-    counts = bucketed.groupBy(_GROUP, _BUCKET).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(_GROUP).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select(_GROUP, _BUCKET, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_FIRST))
-    # The ranked rows are already partitioned and sorted by (group, bucket): this join moves only the counts.
+    counts = bucketed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(_GROUP).orderBy(_BUCKET, _PART).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select(*bucket, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_FIRST))
+    # The ranked rows are already partitioned and sorted by bucket: this join moves only the counts.
     return (
-        ranked.join(firsts, [_GROUP, _BUCKET])
+        ranked.join(firsts, list(bucket))
         .withColumn(out, F.col(out) + F.col(_FIRST))
-        .drop(_GROUP, _BUCKET, _FIRST)
+        .drop(*bucket, _FIRST)
     )

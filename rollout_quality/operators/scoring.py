@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rollout_quality.config import COMPAT, FULL, FULL_DIGITS_CONTRACT_VERSION, RewardConfig, RewardWeights
 from rollout_quality.functions import rewards as R
-from rollout_quality.operators.blocks import BLOCK, BLOCK_ROWS, block_of, largest_group, per_block
+from rollout_quality.operators.hot import HOT_ROWS, hot_keys, may_broadcast
+from rollout_quality.session import cut_lineage
 
 FEATURES = ("predicted", "format", "length")
 
@@ -33,23 +34,30 @@ def join_references(
     references: DataFrame,
     key: str = "prompt_id",
     how: str = "inner",
-    block_rows: int = BLOCK_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Pair completions (or their features) with the reference of their prompt.
 
     Drop or reduce the texts first (`completion_features`): then this shuffle moves a few scalars per row.
-    Whether the reference side is broadcast is decided at run time from its measured size. If some prompt may
-    have more than `block_rows` completions, its rows are spread over blocks, and only the references of such
-    prompts are repeated, once per block.
+    Whether the reference side is broadcast is decided at run time from its measured size. Rows of hot prompts
+    (counted, see `hot`) meet the few references of those prompts by broadcast, the others by the usual join. A
+    stream cannot be counted: its references are broadcast if they are proven small.
     """
-    bounded = features.isStreaming or "gen_idx" not in features.columns
-    if bounded or largest_group(features) <= block_rows:
+    if how not in ("inner", "left"):
         return features.join(references, key, how)
-    large = features.where(F.col("gen_idx") >= block_rows).groupBy(key).agg(
-        F.max(block_of(block_rows)).alias("__last")
-    )
-    repeated = per_block(references.join(large, key, "left"), "__last")
-    return features.withColumn(BLOCK, block_of(block_rows)).join(repeated, [key, BLOCK], how).drop(BLOCK)
+    if features.isStreaming:
+        return features.join(F.broadcast(references) if may_broadcast(references) else references, key, how)
+    hot = hot_keys(features.where(F.col(key).isNotNull()), key, hot_rows)
+    if hot is None:
+        return features.join(references, key, how)
+    keys = F.broadcast(hot.withColumnRenamed("__hot", key))
+    few = references.join(keys, key, "left_semi")
+    if not may_broadcast(few):  # many references for one prompt
+        return features.join(references, key, how)
+    stored = cut_lineage(features)
+    large = stored.join(keys, key, "left_semi").join(F.broadcast(few), key, how)
+    usual = stored.join(keys, key, "left_anti").join(references, key, how)
+    return usual.unionByName(large)
 
 
 def component_rewards(features: DataFrame, soft_k: float = 0.1) -> DataFrame:
@@ -127,9 +135,23 @@ def multi_rewards(
     )
 
 
-def group_rewards(arrays: DataFrame, reward: R.Reward | None = None) -> DataFrame:
+def reward_of(
+    reward: R.Reward | None, weights: RewardWeights | None = None, soft_k: float = 0.1, grammar: str = COMPAT
+) -> R.Reward:
+    """A given reward, or the composite with these settings."""
+    return reward or (lambda c, r: R.composite_reward(c, r, weights, soft_k, grammar))
+
+
+def group_rewards(
+    arrays: DataFrame,
+    reward: R.Reward | None = None,
+    weights: RewardWeights | None = None,
+    soft_k: float = 0.1,
+    grammar: str = COMPAT,
+) -> DataFrame:
     """Add `rewards` to rows in array layout (`completions` array, `reference`); no shuffle."""
-    return arrays.withColumn("rewards", R.group_rewards(F.col("completions"), F.col("reference"), reward))
+    fn = reward_of(reward, weights, soft_k, grammar)
+    return arrays.withColumn("rewards", R.group_rewards(F.col("completions"), F.col("reference"), fn))
 
 
 def contract_columns(config: RewardConfig | None = None, grammar: str = COMPAT) -> dict[str, Column]:

@@ -342,8 +342,14 @@ def oracles() -> dict[str, str]:
         ),
         "group_advantages": _ADVANTAGES,
         "group_advantages_blocked": _ADVANTAGES,
+        "group_advantages_hot": sql(
+            SCORE,
+            f"""SELECT prompt_id, gen_idx, source, {r6('''(reward - avg(reward) OVER w)
+              / (stddev_pop(reward) OVER w + 1e-8)''')} AS advantage
+            FROM feat JOIN documents ON doc_id = prompt_id WINDOW w AS (PARTITION BY source)""",
+        ),
         "group_step": _per_completion(
-            f"""CAST(0 AS BIGINT) AS block, reference, md5(completion) AS completion_md5, {r6('reward')} AS reward,
+            f"""reference, md5(completion) AS completion_md5, {r6('reward')} AS reward,
               {r6('advantage')} AS advantage""",
             (*SCORE, ADVANTAGE),
             "adv",
@@ -487,4 +493,16 @@ def oracles() -> dict[str, str]:
         "stream_scores": _REWARD,
         "stream_eval": _BY_DIFFICULTY,
         "stream_advantages": _ADVANTAGES,
+        "stream_advantages_uneven": sql(
+            (
+                *SCORE,
+                """member AS (
+    SELECT prompt_id, gen_idx, reward FROM feat WHERE gen_idx < 1 + prompt_id % 6
+    UNION ALL
+    SELECT prompt_id, gen_idx + 4, reward FROM feat WHERE gen_idx < 2 AND gen_idx + 4 < 1 + prompt_id % 6)""",
+            ),
+            f"""SELECT prompt_id, gen_idx, {r6('''(reward - avg(reward) OVER w)
+              / (stddev_pop(reward) OVER w + 1e-8)''')} AS advantage
+            FROM member WINDOW w AS (PARTITION BY prompt_id)""",
+        ),
     }

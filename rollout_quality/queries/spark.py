@@ -212,25 +212,30 @@ def group_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def group_advantages_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The path for prompts with very many completions, forced by a block of two rows."""
+    """The path for prompts with very many completions, asked for from three completions on."""
     rewards = scored(spark, sf_dir).select("prompt_id", "gen_idx", "reward")
-    relative = groups.group_advantages(rewards, block_rows=2)
+    relative = groups.group_advantages(rewards, hot_rows=2)
     return relative.select(*member(), r6("advantage").alias("advantage"))
 
 
+@query
+def group_advantages_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advantages within sources instead of prompts: a few groups hold all rows, and positions repeat in them."""
+    rewards = scored(spark, sf_dir).select("prompt_id", "gen_idx", "reward")
+    sources = derived.documents(spark, sf_dir).select(F.col("doc_id").alias("prompt_id"), "source")
+    relative = groups.group_advantages(rewards.join(sources, "prompt_id"), key="source", hot_rows=100)
+    return relative.select(*member(), "source", r6("advantage").alias("advantage"))
+
+
 @query
 def group_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = groups.group_step(derived.completions(spark, sf_dir))
-    members = F.inline_outer(F.arrays_zip("gen_idxs", "completions", "rewards", "advantages"))
-    exploded = steps.select("prompt_id", "block", "reference", members)
-    return exploded.select(
-        "prompt_id",
-        "block",
+    return steps.select(
+        *member(),
         "reference",
-        big("gen_idxs").alias("gen_idx"),
-        F.md5("completions").alias("completion_md5"),
-        r6("rewards").alias("reward"),
-        r6("advantages").alias("advantage"),
+        F.md5("completion").alias("completion_md5"),
+        r6("reward").alias("reward"),
+        r6("advantage").alias("advantage"),
     )
 
 
@@ -647,5 +652,16 @@ def stream_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_advantages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = streams.stream_scores(_stream(spark, derived.completions(spark, sf_dir)))
-    done = streams.drain_to_parquet(streams.stream_advantages(rows, derived.GENERATIONS), "advantages")
+    done = streams.stream_advantages(rows, derived.GENERATIONS).emitted
+    return done.select(*member(), r6("advantage").alias("advantage"))
+
+
+@query
+def stream_advantages_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts with one to six completions, some of which arrive twice, after the end of the stream."""
+    rows = derived.completions(spark, sf_dir)
+    more = rows.where("gen_idx < 2").withColumn("gen_idx", F.col("gen_idx") + derived.GENERATIONS)
+    members = rows.unionByName(more).where("gen_idx < 1 + prompt_id % 6")
+    arrivals = members.unionByName(members.where("gen_idx = 0"))
+    done = streams.stream_advantages(streams.stream_scores(_stream(spark, arrivals)), derived.GENERATIONS).closed
     return done.select(*member(), r6("advantage").alias("advantage"))

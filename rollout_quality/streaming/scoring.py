@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rollout_quality.config import COMPAT, RewardWeights
 from rollout_quality.operators.evaluation import UNKNOWN
-from rollout_quality.operators.groups import EPSILON
+from rollout_quality.operators.groups import EPSILON, group_advantages
 from rollout_quality.operators.scoring import score
 from rollout_quality.schemas import COMPLETIONS
-from rollout_quality.session import new_folder
+from rollout_quality.session import cut_lineage, new_folder
 
 ADVANTAGES = T.StructType(
     [
@@ -24,12 +22,6 @@ ADVANTAGES = T.StructType(
         T.StructField("advantage", T.DoubleType()),
     ]
 )
-_OPEN_GROUP = T.StructType(
-    [
-        T.StructField("gen_idx", T.ArrayType(T.IntegerType())),
-        T.StructField("reward", T.ArrayType(T.DoubleType())),
-    ]
-)
 
 
 def completion_stream(
@@ -61,44 +53,66 @@ def running_metrics(scored: DataFrame) -> DataFrame:
     )
 
 
-def stream_advantages(scored: DataFrame, group_size: int, eps: float = EPSILON) -> DataFrame:
-    """Group-relative advantages, emitted when all `group_size` members of a prompt have arrived.
+class StreamedAdvantages(NamedTuple):
+    """emitted: groups as they filled up; closed: every group, after the end of the stream."""
+
+    emitted: DataFrame
+    closed: DataFrame
+
+
+def stream_advantages(scored: DataFrame, group_size: int, eps: float = EPSILON) -> StreamedAdvantages:
+    """Drain a stream of scored completions into group-relative advantages.
 
-    State holds the members of open prompts only (at most `group_size` - 1 index/reward pairs each) and is
-    removed when the group is emitted, so it does not grow with the length of the stream. Rows carry no event
-    time: completeness is by count.
+    A group is emitted in the trigger in which it has `group_size` members or more, with all that are there. At
+    the end, `closed` holds the advantages of all groups over all their members: smaller groups, and groups that
+    went on growing after they were emitted. It equals the batch result. A (prompt_id, gen_idx) that arrives again
+    is a replay: the first arrival counts. What has arrived, is open and was emitted are tables versioned by
+    trigger, so that a repeated trigger replaces its own rows.
     """
     if group_size < 1:
         raise ValueError("group_size must be positive")
-
-    def complete(
-        key: tuple, frames: Iterable[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else ([], [])
-        members = pd.DataFrame({"gen_idx": list(held[0]), "reward": list(held[1])})
-        for frame in frames:
-            fresh = frame[["gen_idx", "reward"]]
-            members = pd.concat([members, fresh]) if len(members) else fresh
-            while len(members) >= group_size:
-                group, members = members.iloc[:group_size], members.iloc[group_size:]
-                spread = group["reward"].std(ddof=0) + eps
-                yield pd.DataFrame(
-                    {
-                        "prompt_id": key[0],
-                        "gen_idx": group["gen_idx"].astype("int32"),
-                        "reward": group["reward"],
-                        "advantage": (group["reward"] - group["reward"].mean()) / spread,
-                    }
-                )
-        if len(members):
-            state.update(([int(g) for g in members["gen_idx"]], [float(r) for r in members["reward"]]))
-        elif state.exists:
-            state.remove()
-
-    narrow = scored.select("prompt_id", F.col("gen_idx").cast("int"), "reward")
-    return narrow.groupBy("prompt_id").applyInPandasWithState(
-        complete, ADVANTAGES, _OPEN_GROUP, "append", GroupStateTimeout.NoTimeout
+    spark = scored.sparkSession
+    out = new_folder(spark, "advantages")
+    members = T.StructType(ADVANTAGES.fields[:3])
+
+    def version(kind: str, batch_id: int) -> str:
+        return f"{out}/{kind}/batch={batch_id}"
+
+    def write(df: DataFrame, kind: str, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(version(kind, batch_id))
+
+    def read(kind: str, schema: T.StructType) -> DataFrame:
+        batched = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+        return spark.read.schema(batched).parquet(f"{out}/{kind}")
+
+    def keyed(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return df.join(keys, df["prompt_id"].eqNullSafe(keys["__key"]), how)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        write(batch, "arrived", batch_id)
+        done = read("emitted", ADVANTAGES).where(F.col("batch") < batch_id)
+        arrived = read("arrived", members).where(F.col("batch") == batch_id).drop("batch")
+        late = done.select(F.col("prompt_id").alias("__key")).distinct()
+        before = read("open", members).where(F.col("batch") == batch_id - 1).drop("batch")
+        waiting = cut_lineage(keyed(arrived, late, "left_anti").unionByName(before))
+        sizes = waiting.groupBy(F.col("prompt_id").alias("__key")).agg(F.count(F.lit(1)).alias("n"))
+        full = sizes.where(F.col("n") >= group_size).select("__key")
+        write(group_advantages(keyed(waiting, full, "left_semi"), eps=eps), "emitted", batch_id)
+        write(keyed(waiting, full, "left_anti"), "open", batch_id)
+
+    for kind, schema in (("arrived", members), ("open", members), ("emitted", ADVANTAGES)):
+        write(spark.createDataFrame([], schema), kind, -1)
+    fresh = scored.select("prompt_id", F.col("gen_idx").cast("int"), "reward").dropDuplicates(["prompt_id", "gen_idx"])
+    query = (
+        fresh.writeStream.foreachBatch(step)
+        .option("checkpointLocation", f"{out}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
     )
+    finish(query)
+    closed = group_advantages(read("arrived", members).drop("batch"), eps=eps)
+    return StreamedAdvantages(read("emitted", ADVANTAGES).drop("batch"), closed)
 
 
 def drain_to_parquet(stream: DataFrame, name: str) -> DataFrame:

@@ -53,8 +53,8 @@ def test_advantages_take_one_exchange_and_one_window(spark, tmp_path):
 def test_size_check_reads_one_column(spark, tmp_path):
     derived.completions(spark, DIRECTORY).write.parquet(f"{tmp_path}/c")
     scored = scoring.score(spark.read.parquet(f"{tmp_path}/c"))
-    text = plan(scored.agg(F.max("gen_idx")))
-    assert "ReadSchema: struct<gen_idx:int>" in text
+    text = plan(scored.groupBy("prompt_id").count())
+    assert "ReadSchema: struct<prompt_id:bigint>" in text
 
 
 def test_texts_stay_out_of_the_join(spark, tmp_path, capsys):

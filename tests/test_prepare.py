@@ -169,6 +169,20 @@ def test_missing_keys_and_splits_are_kept(spark, rows_per_bucket):
         prepare.index_split(df, key="split")
 
 
+@pytest.mark.parametrize("rows_per_bucket", [1_000, 10])
+def test_equal_and_missing_keys_keep_their_position_under_any_partitioning(spark, rows_per_bucket):
+    rows = [(7, "a", i) for i in range(150)] + [(None, "a", i) for i in range(150)] + [(i, "a", i) for i in range(20)]
+    df = spark.createDataFrame(rows, "src_id long, split string, n int")
+    runs = [
+        sorted((r["idx"], r["src_id"], r["n"]) for r in prepare.index_split(part, rows_per_bucket=rows_per_bucket).collect())
+        for part in (df.repartition(3), df.repartition(8, "n"))
+    ]
+    assert runs[0] == runs[1]
+    assert [i for i, _, _ in runs[0]] == list(range(320))
+    keys = [k for _, k, _ in runs[0]]
+    assert keys[:150] == [None] * 150 and keys[150:] == sorted(keys[150:])
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "src_id long, split string")
     assert indexing.with_position(df, "src_id").count() == 0

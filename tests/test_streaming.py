@@ -40,16 +40,30 @@ def test_running_metrics(arrivals):
 
 def test_advantages_of_groups_split_over_files(arrivals):
     batch, stream = arrivals
-    done = streams.drain_to_parquet(streams.stream_advantages(streams.stream_scores(stream), 4), "a")
+    done = streams.stream_advantages(streams.stream_scores(stream), 4).emitted
     columns = ("prompt_id", "gen_idx", "advantage")
     assert rounded(done, *columns) == rounded(groups.group_advantages(scoring.score(batch)), *columns)
 
 
-def test_open_groups_are_held_back(spark, tmp_path):
-    df = spark.createDataFrame([(1, 0, "1", "#### 1"), (1, 1, "1", "#### 2"), (2, 0, "1", "#### 1")], SCHEMA)
+def test_uneven_groups_and_replays(spark, tmp_path):
+    """Groups of three and five members, one of them replayed, over four triggers."""
+    order = [[(1, 0), (2, 0), (2, 1)], [(1, 1), (2, 2), (1, 0), (3, 0)], [(2, 3), (1, 0)], [(2, 4), (1, 2)]]
+    rows = lambda some: [(p, g, str(p), f"#### {p + g % 3}") for p, g in some]
+    for part in order:
+        spark.createDataFrame(rows(part), SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = streams.completion_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], SCHEMA).schema, 1)
+    done = streams.stream_advantages(streams.stream_scores(stream), 4)
+    columns = ("prompt_id", "gen_idx", "advantage")
+    unique = spark.createDataFrame(rows(dict.fromkeys(x for part in order for x in part)), SCHEMA)
+    assert rounded(done.closed, *columns) == rounded(groups.group_advantages(scoring.score(unique)), *columns)
+    assert sorted((r["prompt_id"], r["gen_idx"]) for r in done.emitted.collect()) == [(2, g) for g in range(4)]
+
+
+def test_empty_stream(spark, tmp_path):
+    df = spark.createDataFrame([], SCHEMA)
     df.write.parquet(f"{tmp_path}/in")
     stream = streams.completion_stream(spark, f"{tmp_path}/in", df.schema)
-    done = streams.drain_to_parquet(streams.stream_advantages(streams.stream_scores(stream), 2), "o")
-    assert sorted(r["gen_idx"] for r in done.collect()) == [0, 1]
+    done = streams.stream_advantages(streams.stream_scores(stream), 2)
+    assert done.emitted.count() == done.closed.count() == 0
     with pytest.raises(ValueError):
         streams.stream_advantages(df, 0)
