@@ -222,7 +222,8 @@ def group_advantages_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_advantages_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advantages within sources instead of prompts: a few groups hold all rows, and positions repeat in them."""
     rewards = scored(spark, sf_dir).select("prompt_id", "gen_idx", "reward")
-    sources = derived.documents(spark, sf_dir).select(F.col("doc_id").alias("prompt_id"), "source")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sources = documents.select(F.col("doc_id").alias("prompt_id"), "source")
     relative = groups.group_advantages(rewards.join(sources, "prompt_id"), key="source", hot_rows=100)
     return relative.select(*member(), "source", r6("advantage").alias("advantage"))
 
