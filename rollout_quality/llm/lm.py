@@ -240,7 +240,9 @@ def backward(w: dict[str, np.ndarray], units: np.ndarray, kept: tuple, d_out: np
     d_x = d_k @ w["k"].T + d_v @ w["v"].T
     d_x[:, CONTEXT:] += d_last + d_q @ w["q"].T
     g["place"], g["embed"] = d_x.sum(0), np.zeros_like(w["embed"])
-    np.add.at(g["embed"], units, d_x)
+    order = np.argsort(units, axis=None, kind="stable")
+    found, first = np.unique(units.ravel()[order], return_index=True)
+    g["embed"][found] = np.add.reduceat(flat(d_x)[order], first)
     return g
 
 
@@ -254,15 +256,19 @@ def loss(model: Model, w: dict[str, np.ndarray], units: np.ndarray, valid: np.nd
     """Mean cross-entropy of the classes of valid targets, and its gradient."""
     bias, group = _biased(model, units)
     out, kept = forward(w, units[:, :-1])
-    z = out + bias
-    z -= z.max(2, keepdims=True)
-    e = np.exp(z)
-    total = e.sum(2, keepdims=True)
-    weight = valid.astype(np.float32) / max(1, valid.sum())
-    picked = np.take_along_axis(z, group[..., None].astype(np.int64), 2)[..., 0] - np.log(total[..., 0])
-    d = e / total
-    np.put_along_axis(d, group[..., None].astype(np.int64), np.take_along_axis(d, group[..., None].astype(np.int64), 2) - 1, 2)
-    return float(-(picked * weight).sum()), backward(w, units[:, :-1], kept, d * weight[..., None])
+    z = (out + bias).reshape(-1, CLASSES)
+    z -= z.max(1, keepdims=True)
+    target = np.arange(len(z)), group.ravel()
+    # A plain float: a 64-bit scalar of numpy would turn the whole backward pass into 64 bits.
+    weight = valid.ravel().astype(np.float32) / float(max(1, valid.sum()))
+    own = z[target]
+    d = np.exp(z, out=z)
+    total = d.sum(1, keepdims=True)
+    d /= total
+    d[target] -= 1
+    d *= weight[:, None]
+    value = float(((np.log(total[:, 0]) - own) * weight).sum())
+    return value, backward(w, units[:, :-1], kept, d.reshape(out.shape))
 
 
 def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
