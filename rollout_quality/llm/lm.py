@@ -204,38 +204,39 @@ def fresh_weights() -> dict[str, np.ndarray]:
     }
 
 
-_PAST = np.where(
-    np.arange(SPAN - 1)[None, :] <= np.arange(CONTEXT, SPAN - 1)[:, None], np.float32(0), np.float32(-1e9)
-)
+# Which of the TARGETS last positions each of them does not see yet; all see the context before them.
+_FUTURE = np.where(np.tri(TARGETS, dtype=bool), np.float32(0), np.float32(-1e9))
+_SCALE = np.float32(WIDTH**-0.5)
 
 
 def forward(w: dict[str, np.ndarray], units: np.ndarray) -> tuple:
     """Class corrections for the TARGETS last positions of windows of SPAN - 1 units, and what backward() needs."""
     x = w["embed"][units] + w["place"]
     last = x[:, CONTEXT:]
-    q, k, v = last @ w["q"], x @ w["k"], x @ w["v"]
+    q, k, v = last @ (w["q"] * _SCALE), x @ w["k"], x @ w["v"]
     a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(WIDTH**-0.5)
-    a += _PAST
+    a[:, :, CONTEXT:] += _FUTURE
     np.exp(np.minimum(a, LARGEST, out=a), out=a)
-    a /= a.sum(2, keepdims=True)
+    total = a.sum(2, keepdims=True)
     mixed = a @ v
+    mixed /= total
     h = mixed @ w["o"]
     h += last @ w["own"]
     h /= np.abs(h) + np.float32(1)
-    return h @ w["out"], (x, last, q, k, v, a, mixed, h)
+    return h @ w["out"], (x, last, q, k, v, a, total, mixed, h)
 
 
 def backward(w: dict[str, np.ndarray], units: np.ndarray, kept: tuple, d_out: np.ndarray) -> dict[str, np.ndarray]:
-    x, last, q, k, v, a, mixed, h = kept
+    x, last, q, k, v, a, total, mixed, h = kept
+    a = a / total
     flat = lambda m: m.reshape(-1, m.shape[-1])
     g = {"out": flat(h).T @ flat(d_out)}
     pre = (d_out @ w["out"].T) * (1 - np.abs(h)) ** 2
     g["o"], g["own"] = flat(mixed).T @ flat(pre), flat(last).T @ flat(pre)
     d_mixed, d_last = pre @ w["o"].T, pre @ w["own"].T
     d_a, d_v = d_mixed @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ d_mixed
-    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    d_q, d_k = d_s @ k, d_s.transpose(0, 2, 1) @ q
+    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True))
+    d_q, d_k = d_s @ k * _SCALE, d_s.transpose(0, 2, 1) @ q
     g["q"], g["k"], g["v"] = flat(last).T @ flat(d_q), flat(x).T @ flat(d_k), flat(x).T @ flat(d_v)
     d_x = d_k @ w["k"].T + d_v @ w["v"].T
     d_x[:, CONTEXT:] += d_last + d_q @ w["q"].T
