@@ -211,13 +211,14 @@ _SCALE = np.float32(WIDTH**-0.5)
 
 def forward(w: dict[str, np.ndarray], units: np.ndarray) -> tuple:
     """Class corrections for the TARGETS last positions of windows of SPAN - 1 units, and what backward() needs."""
-    x = w["embed"][units] + w["place"]
+    x = np.take(w["embed"], units, axis=0)
+    x += w["place"]
     last = x[:, CONTEXT:]
     q, k, v = last @ (w["q"] * _SCALE), x @ w["k"], x @ w["v"]
     a = q @ k.transpose(0, 2, 1)
     a[:, :, CONTEXT:] += _FUTURE
     np.exp(np.minimum(a, LARGEST, out=a), out=a)
-    total = a.sum(2, keepdims=True)
+    total = a @ np.ones((SPAN - 1, 1), np.float32)
     mixed = a @ v
     mixed /= total
     h = mixed @ w["o"]
@@ -250,7 +251,7 @@ def backward(w: dict[str, np.ndarray], units: np.ndarray, kept: tuple, d_out: np
 def _biased(model: Model, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bias of the classes of the targets of windows of SPAN units, and those classes."""
     last, second = units[:, CONTEXT:-1], units[:, CONTEXT - 1 : -2]
-    return model.bias[model.coarse[second] * UNITS + last], model.group[units[:, CONTEXT + 1 :]]
+    return np.take(model.bias, model.coarse[second] * UNITS + last, axis=0), model.group[units[:, CONTEXT + 1 :]]
 
 
 def loss(model: Model, w: dict[str, np.ndarray], units: np.ndarray, valid: np.ndarray) -> tuple[float, dict]:
@@ -356,7 +357,7 @@ def log10_probability(model: Model, ids: list[np.ndarray], batch: int = 256) ->
         z += bias
         top = np.take_along_axis(z, group[..., None].astype(np.int64), 2)[..., 0]
         np.exp(np.minimum(z, LARGEST, out=z), out=z)
-        picked = np.minimum(top, LARGEST) - np.log(z.sum(2))
+        picked = np.minimum(top, LARGEST) - np.log(z @ np.ones(CLASSES, np.float32))
         target, last = units[:, CONTEXT + 1 :], units[:, CONTEXT:-1]
         picked = picked + model.inside[last, target] + model.rare[here[:, CONTEXT + 1 :]]
         out[at : at + batch] = (picked * valid[at : at + batch]).sum(1, dtype=np.float64)
