@@ -177,18 +177,12 @@ def composite_reward(
 def create_reward(
     weights: RewardWeights | None = None,
     soft_k: float = 0.1,
-    use_composite: bool = True,
-    use_exact: bool = True,
-    use_soft_numeric: bool = True,
-    use_format: bool = True,
-    use_length: bool = True,
+    selected: Sequence[str] | None = None,
     grammar: str = COMPAT,
 ) -> Reward:
-    """A reward function over (completion, reference): the composite, or a chosen subset of components."""
-    if use_composite:
+    """A reward function over (completion, reference): the composite, or only the `selected` components."""
+    if selected is None:
         return lambda c, r: composite_reward(c, r, weights, soft_k, grammar)
-    flags = (use_exact, use_soft_numeric, use_format, use_length)
-    selected = [name for name, on in zip(COMPONENTS, flags) if on]
     return lambda c, r: _with_components(
         c, r, soft_k, grammar, lambda parts: combine_selected(parts, selected, weights)
     )

@@ -1,8 +1,8 @@
 """Repeated questions within a split and shared questions across splits.
 
 Whole texts are compared through a 32-byte digest of their fingerprint. One aggregation by digest, with
-map-side counting, gives all within-split and pairwise figures; texts are fetched only for the questions that
-are shown.
+map-side counting, gives all within-split and pairwise figures. Examples are chosen by the first characters of
+shared questions; whole texts are fetched for those few only.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from rollout_quality.session import BROADCAST_ROWS, cut_lineage, is_small
 
 KEY = "question_key"
 EXAMPLES = 5
+# First characters by which examples are chosen before their whole texts are fetched.
+START_CHARS = 64
+_START = "start"
 
 
 def split_pairs(splits: Sequence[str]) -> list[tuple[str, str]]:
@@ -33,13 +36,16 @@ def with_question_key(records: DataFrame) -> DataFrame:
     return records.withColumn(KEY, digest(question_fingerprint(F.col("question"))))
 
 
-def question_counts(records: DataFrame, splits: Sequence[str]) -> DataFrame:
+def question_counts(records: DataFrame, splits: Sequence[str], starts: bool = False) -> DataFrame:
     """One row per distinct question: its number of copies in each split (`n_0`, `n_1`, ... in split order).
 
-    Rows without a question count nowhere.
+    Rows without a question count nowhere. `starts` adds the first characters of the question (`start`).
     """
     known = F.col(KEY).isNotNull()
     copies = [F.count_if((F.col("split") == s) & known).alias(f"n_{i}") for i, s in enumerate(splits)]
+    if starts:
+        start = F.left(question_fingerprint(F.col("question")), F.lit(START_CHARS))
+        copies.append(F.min(start).alias(_START))
     return with_question_key(records).groupBy(KEY).agg(*copies)
 
 
@@ -86,7 +92,9 @@ def cross_split_overlap(records: DataFrame, splits: Sequence[str]) -> DataFrame:
 
 
 def _shared_keys(counts: DataFrame, splits: Sequence[str]) -> DataFrame:
-    """(split, pair, question_key) of every shared question; `split` is the first of the pair."""
+    """(split, pair, question_key) of every shared question, and its start if the counts have it; `split` is the
+    first of the pair."""
+    carried = [c for c in (KEY, _START) if c in counts.columns]
     hits = [
         F.when(
             _in_both(splits, a, b), F.struct(F.lit(a).alias("split"), F.lit(pair_name(a, b)).alias("pair"))
@@ -95,9 +103,9 @@ def _shared_keys(counts: DataFrame, splits: Sequence[str]) -> DataFrame:
     ]
     if not hits:
         none = F.struct(F.lit("").alias("split"), F.lit("").alias("pair"))
-        return counts.where(F.lit(False)).select(KEY, none.alias("hit")).select("hit.*", KEY)
+        return counts.where(F.lit(False)).select(*carried, none.alias("hit")).select("hit.*", *carried)
     found = F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull()))
-    return counts.select(KEY, found.alias("hit")).select("hit.*", KEY)
+    return counts.select(*carried, found.alias("hit")).select("hit.*", *carried)
 
 
 def overlap_texts(
@@ -109,7 +117,12 @@ def overlap_texts(
     they are many, copies are dropped before and during the shuffle by key, so that a question that fills a
     large part of the table arrives once.
     """
-    shared = cut_lineage(_shared_keys(counts, splits))
+    return _texts(records, _shared_keys(counts, splits).select("split", "pair", KEY), broadcast_rows)
+
+
+def _texts(records: DataFrame, wanted: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(pair, question) of the `wanted` (split, pair, question_key)."""
+    shared = cut_lineage(wanted)
     texts = with_question_key(records).select("split", KEY, "question")
     if is_small(shared, broadcast_rows):
         once = texts.join(F.broadcast(shared), ["split", KEY]).dropDuplicates(["pair", KEY])
@@ -121,8 +134,16 @@ def overlap_texts(
 def overlap_examples(
     records: DataFrame, counts: DataFrame, splits: Sequence[str], limit: int = EXAMPLES
 ) -> DataFrame:
-    """The first shared questions of every pair in text order (`rank` from 1)."""
-    texts = overlap_texts(records, counts, splits)
+    """The first shared questions of every pair in text order (`rank` from 1).
+
+    A question with `limit` or more smaller starts cannot be among them. What is left, ties at the cut included,
+    is ordered by whole texts.
+    """
+    if _START not in counts.columns:
+        counts = question_counts(records, splits, starts=True)
+    place = F.rank().over(Window.partitionBy("pair").orderBy(_START))
+    first = _shared_keys(counts, splits).withColumn("place", place).where(F.col("place") <= limit)
+    texts = _texts(records, first.select("split", "pair", KEY))
     rank = F.row_number().over(Window.partitionBy("pair").orderBy("question"))
     return texts.withColumn("rank", rank).where(F.col("rank") <= limit).select("pair", "rank", "question")
 
@@ -137,11 +158,11 @@ def leakage_report(
     records: DataFrame, splits: Sequence[str], check_single_split: bool = False, limit: int = EXAMPLES
 ) -> DataFrame:
     """(ord, kind, scope, duplicate_count, examples): within-split rows, then pair rows with examples."""
-    counts = question_counts(records, splits)
     if len(splits) < 2:
+        counts = question_counts(records, splits)
         listed = leakage_counts(counts, splits, check_single_split)
         return listed.withColumn("examples", F.array().cast("array<string>"))
-    counts = cut_lineage(counts)  # narrow, and read twice: for the figures and for the shared keys
+    counts = cut_lineage(question_counts(records, splits, starts=True))  # narrow, and read twice: for the figures and for the shared keys
     listed = leakage_counts(counts, splits, check_single_split)
     shown = overlap_examples(records, counts, splits, limit)
     # At most `limit` texts per pair.

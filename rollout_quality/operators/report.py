@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rollout_quality.functions.records import ANSWER_TYPES, DIFFICULTIES
-from rollout_quality.functions.text import exact_round
+from rollout_quality.functions.text import digest, exact_round
+from rollout_quality.session import cut_lineage, is_small
 
 
 def _good() -> Column:
@@ -23,11 +24,15 @@ def split_list(spark: SparkSession, splits: Sequence[str]) -> DataFrame:
 
 
 def failure_reasons(processed: DataFrame) -> DataFrame:
-    """Quarantined rows per split and reason text, with the short code next to it."""
+    """Quarantined rows per split and reason text, with the short code next to it.
+
+    Reasons are grouped by digest, so that equal long texts are compared in 32 bytes and travel once per task.
+    """
     return (
         processed.where(F.col("error").isNotNull())
-        .groupBy("split", "error", "error_code")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("split", "error_code", digest(F.col("error")).alias("error_key"))
+        .agg(F.any_value("error").alias("error"), F.count(F.lit(1)).alias("n"))
+        .select("split", "error", "error_code", "n")
     )
 
 
@@ -138,14 +143,16 @@ def split_report(processed: DataFrame, splits: Sequence[str], max_prompt_length:
 
 
 def dataset_summary(records: DataFrame) -> DataFrame:
-    """Row count, columns and the first record (by index) of every split."""
+    """Row count, columns and the first record (by index) of every split; reads stored `records` twice, first
+    only their indices."""
+    firsts = cut_lineage(
+        records.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"))
+    )
+    side = F.broadcast(firsts) if is_small(firsts) else firsts
     first = F.struct("idx", "question", "reference_answer", F.col("metadata.difficulty").alias("difficulty"))
     return (
-        records.groupBy("split")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"))
-        .join(
-            records.select("split", F.col("idx").alias("first_idx"), first.alias("first")), ["split", "first_idx"]
-        )
+        records.select("split", F.col("idx").alias("first_idx"), first.alias("first"))
+        .join(side, ["split", "first_idx"])
         .select(
             "split",
             "n_rows",

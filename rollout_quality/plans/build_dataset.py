@@ -40,6 +40,7 @@ class BuildResult:
     leakage_report: DataFrame
     violations: DataFrame
     manifest: DataFrame
+    summary: DataFrame
     paths: dict[str, str]
 
 
@@ -123,14 +124,16 @@ def build_dataset(
             writes.append(partial(write_columnar, view, paths[f"{name}_parquet"], cfg.max_records_per_file))
 
     built = manifest(split_report, report.failure_codes(processed), cfg, paths)
+    summary = report.dataset_summary(trainer)
     reports = paths["reports"]
     run_together(
         raw.sparkSession,
         *writes,
         partial(write_jsonl_table, report.failure_reasons(processed), f"{reports}/failure_reasons"),
         partial(write_report, built, f"{reports}/manifest"),
+        partial(write_report, summary, f"{reports}/dataset_summary"),
         partial(write_report, split_report.orderBy("ord"), f"{reports}/validation_summary"),
         partial(write_report, leaks.orderBy("ord"), f"{reports}/leakage_report"),
         partial(write_report, violations.orderBy("seq"), f"{reports}/violations"),
     )
-    return BuildResult(trainer, analysis, processed, split_report, leaks, violations, built, paths)
+    return BuildResult(trainer, analysis, processed, split_report, leaks, violations, built, summary, paths)

@@ -69,12 +69,16 @@ def evaluate(
 
 def eval_report(summary: DataFrame, by_difficulty: DataFrame, cfg: EvalConfig) -> DataFrame:
     """One nested row with both metric levels."""
-    entry = F.struct("difficulty", "n", "accuracy", "mean_reward")
-    nested = by_difficulty.agg(F.sort_array(F.collect_list(entry)).alias("by_difficulty"))
-    return summary.crossJoin(nested).select(
+    total = summary.select(F.struct(*summary.columns).alias("total"))
+    entries = by_difficulty.select(F.struct("difficulty", "n", "accuracy", "mean_reward").alias("entry"))
+    both = total.unionByName(entries, allowMissingColumns=True).agg(
+        F.first("total", ignorenulls=True).alias("total"),
+        F.sort_array(F.collect_list("entry")).alias("by_difficulty"),
+    )
+    return both.select(
         F.lit(cfg.model_name).alias("model_name"),
         F.lit(cfg.split).alias("split"),
-        *summary.columns,
+        "total.*",
         "by_difficulty",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("timestamp"),
     )

@@ -416,6 +416,13 @@ def oracles() -> dict[str, str]:
             """SELECT split, position // 32 AS batch_no, count(*) AS batch_size, min(idx) AS first_idx,
               max(idx) AS last_idx, max(n_words) AS max_words FROM placed GROUP BY ALL""",
         ),
+        "batch_shuffle": sql(
+            PREP,
+            """SELECT split, CAST(ceil(count(*) / 32.0) AS BIGINT) AS batches, count(*) AS n_rows,
+              least(count(*), 32) AS largest, count(*) - 32 * (CAST(ceil(count(*) / 32.0) AS BIGINT) - 1) AS smallest,
+              CAST(sum(idx) AS BIGINT) AS sum_idx
+            FROM proc WHERE error IS NULL GROUP BY split""",
+        ),
         "batch_steps": sql(
             PREP,
             """SELECT split, count(*) AS n_rows, CAST(ceil(count(*) / 32.0) AS BIGINT) AS steps
@@ -488,6 +495,19 @@ def oracles() -> dict[str, str]:
               (SELECT {r6('avg(format_)')} FROM feat) AS mean_format_reward, difficulty, {_METRICS}
             FROM labelled GROUP BY difficulty""",
         ),
+        "evaluate_run": sql(
+            (
+                *PREP,
+                *SCORE,
+                """chosen AS (SELECT f.*, coalesce(p.difficulty, 'unknown') AS difficulty
+    FROM feat f JOIN proc p ON p.src_id = f.prompt_id WHERE p.split = 'test')""",
+            ),
+            f"""SELECT 'given' AS model_name, 'test' AS split, (SELECT count(*) FROM chosen) AS num_samples,
+              (SELECT {r6('avg(exact_)')} FROM chosen) AS exact_match_accuracy,
+              (SELECT {r6('avg(reward)')} FROM chosen) AS mean_composite_reward,
+              (SELECT {r6('avg(format_)')} FROM chosen) AS mean_format_reward, difficulty, {_METRICS}
+            FROM chosen GROUP BY difficulty""",
+        ),
         "load_trainer_split": sql(PREP, _RL_VIEW + " AND split = 'test'"),
         "build_dataset": _records(),
         "stream_scores": _REWARD,

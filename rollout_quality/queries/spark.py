@@ -13,9 +13,9 @@ from rollout_quality.functions.text import strip
 from rollout_quality.operators import batching, evaluation, groups, leakage, prepare, report, scoring
 from rollout_quality.operators.gates import quality_gates
 from rollout_quality.plans.build_dataset import build_dataset, manifest
-from rollout_quality.plans.evaluate import eval_report, score_against
+from rollout_quality.plans.evaluate import eval_report, evaluate as run_evaluation, score_against
 from rollout_quality.schemas import record_type
-from rollout_quality.session import cut_lineage, new_folder
+from rollout_quality.session import cut_lineage, new_folder, write_and_reread
 from rollout_quality.sources import derived, sinks, tables
 from rollout_quality.streaming import scoring as streams
 
@@ -427,6 +427,18 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.batch_plan(prepare.trainer_view(processed(spark, sf_dir)), BATCH)
 
 
+@query
+def batch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for every seed: each record is in one batch, and only the last batch may be smaller."""
+    records = prepare.trainer_view(processed(spark, sf_dir)).select("split", "idx")
+    placed = batching.assign_batches(records, BATCH, seed=7)
+    sizes = placed.groupBy("split", "batch_no").agg(F.count(F.lit(1)).alias("size"), F.sum("idx").alias("idx"))
+    return sizes.groupBy("split").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("size").alias("n_rows"), F.max("size").alias("largest"),
+        F.min("size").alias("smallest"), F.sum("idx").alias("sum_idx"),
+    )
+
+
 @query
 def batch_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = prepare.trainer_view(unindexed_processed(spark, sf_dir))
@@ -508,7 +520,7 @@ def cross_split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def overlap_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = _questions(spark, sf_dir)
-    counts = leakage.question_counts(questions, CFG.splits)
+    counts = leakage.question_counts(questions, CFG.splits, starts=True)
     shown = leakage.overlap_examples(questions, counts, CFG.splits)
     return shown.select("pair", big("rank").alias("rank"), "question")
 
@@ -532,7 +544,7 @@ def quality_gates_(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.dataset_summary(prepare.trainer_view(processed(spark, sf_dir)))
+    return report.dataset_summary(write_and_reread(prepare.trainer_view(processed(spark, sf_dir)), "summary"))
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -589,8 +601,24 @@ def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = new_folder(spark, "eval_results")
     sinks.write_report(built, path)
-    back = spark.read.schema(built.schema).json(path)
-    rows = back.withColumn("entry", F.explode("by_difficulty"))
+    return _eval_rows(spark.read.schema(built.schema).json(path))
+
+
+@query
+def evaluate_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole evaluation plan over the test split; its written report read back, one row per difficulty."""
+    rows = unindexed_processed(spark, sf_dir).select(F.col("src_id").alias("prompt_id"), "split", "metadata")
+    records = derived.references(spark, sf_dir).join(rows, "prompt_id").select(
+        "split", F.col("prompt_id").alias("idx"), F.col("reference").alias("reference_answer"), "metadata"
+    )
+    folder = new_folder(spark, "evaluation")
+    texts = derived.completions(spark, sf_dir).drop("reference")
+    done = run_evaluation(texts, records, EvalConfig(model_name="given", split="test"), folder)
+    return _eval_rows(spark.read.schema(done.report.schema).json(f"{folder}/eval_results"))
+
+
+def _eval_rows(saved: DataFrame) -> DataFrame:
+    rows = saved.withColumn("entry", F.explode("by_difficulty"))
     return rows.select(
         "model_name",
         "split",

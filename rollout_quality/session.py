@@ -39,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None) or current
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rollout-quality-")
     if not current:

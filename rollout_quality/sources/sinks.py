@@ -48,11 +48,11 @@ def write_jsonl(
     """JSON-lines, one folder per split: keys sorted, NULL keys kept, non-ASCII text as is.
 
     The `split` key stays inside the records, so folders are written one by one; on a table partitioned by
-    `split` each pass reads only its own files.
+    `split` each pass reads only its own files. Files follow each other in the order of their names.
     """
     rows = sorted_columns(df)
     for split in splits:
-        part = rows.where(F.col("split") == split).sortWithinPartitions(order)
+        part = rows.where(F.col("split") == split).orderBy(order)
         (
             part.write.mode("overwrite")
             .option("ignoreNullFields", "false")

@@ -137,3 +137,16 @@ def test_three_splits(spark, tmp_path):
     assert result.trainer.count() == 4
     pairs = result.leakage_report.where(F.col("kind") == "pair").orderBy("ord").collect()
     assert [r["scope"] for r in pairs] == ["train__dev", "train__test", "dev__test"]
+
+
+def test_jsonl_files_follow_in_index_order(spark, tmp_path):
+    rows = [(i * 7 % 100, "train", f"q{i}", "1", None, (0, None)) for i in range(100)]
+    df = spark.createDataFrame(rows, record_type()).repartition(5)
+    sinks.write_jsonl(df, str(tmp_path / "j"), ["train"], max_records_per_file=9)
+    assert [r["idx"] for r in lines(tmp_path / "j/train")] == list(range(100))
+
+
+def test_summary_is_part_of_a_build(spark, tmp_path):
+    result = build_dataset(table(spark, ROWS), str(tmp_path))
+    assert {r["split"]: r["n_rows"] for r in result.summary.collect()} == {"train": 2, "test": 1}
+    assert {r["first_answer"] for r in lines(tmp_path / "reports/dataset_summary")} == {"4", "6"}

@@ -137,3 +137,14 @@ def test_results_do_not_depend_on_partitioning(spark):
         leaks = leakage.leakage_report(prepare.accepted(rows_n), ("train", "test")).orderBy("ord").collect()
         seen.add((str(summary), str(leaks)))
     assert len(seen) == 1
+
+
+def test_examples_with_equal_starts(spark):
+    """Questions that share their first characters are ordered by what follows, copies shown once."""
+    head = "word " * 30
+    texts = [f"{head}{n}" for n in (5, 3, 9, 1, 7, 2, 8, 3, 3)]
+    rows = [(i, s, t) for s in ("train", "test") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "idx long, split string, question string")
+    counts = leakage.question_counts(df, ("train", "test"))
+    shown = leakage.overlap_examples(df, counts, ("train", "test"), 3).orderBy("rank").collect()
+    assert [r["question"][-1] for r in shown] == ["1", "2", "3"]

@@ -59,31 +59,30 @@ def test_length(values):
 
 
 def test_composite_orderings(values):
-    steps = "Step 1.\nStep 2.\nStep 3.\n#### "
+    work = "Seven boxes\nhold six pens\nor 42 pens\n#### "
     cases = [
-        (steps + "999", "42"),
-        (steps + "42", "42"),
-        ("I considered 42 first, but final answer is 100", "42"),
-        ("I considered 100 first, but final answer is 42", "42"),
+        (work + "13", "42"),
+        (work + "42", "42"),
+        ("Of 42 pens sold, 9 are blue", "42"),
+        ("Of 9 boxes sold, pens are 42", "42"),
     ]
     scores = values(cases, C, REF(R.composite_reward))
     assert scores[0] < scores[1] and scores[2] < scores[3]
     assert all(0.0 <= s <= 1.0 for s in scores)
-    n = len((steps + "42").split())
+    n = len((work + "42").split())
     assert scores[1] == pytest.approx((1.0 + 0.3 + 0.2 * 1.0 + 0.1 * n / 20) / 1.6)
 
 
 def test_selection_and_weights(values):
     case = [("#### 42", "42")]
 
-    def score(**flags):
-        return values(case, C, REF(R.create_reward(use_composite=False, **flags)))[0]
+    def score(*selected):
+        return values(case, C, REF(R.create_reward(selected=selected)))[0]
 
-    off = dict(use_exact=False, use_soft_numeric=False, use_format=False, use_length=False)
-    assert score() == pytest.approx((1.0 + 0.3 + 0.2 * 0.7 + 0.1 * 0.1) / 1.6)
-    assert score(**off) == 0.0
-    assert score(**(off | {"use_format": True})) == pytest.approx(0.7)
-    assert score(**(off | {"use_length": True})) == pytest.approx(0.1)
+    assert score(*R.COMPONENTS) == pytest.approx((1.0 + 0.3 + 0.2 * 0.7 + 0.1 * 0.1) / 1.6)
+    assert score() == 0.0
+    assert score("format") == pytest.approx(0.7)
+    assert score("length") == pytest.approx(0.1)
     with pytest.raises(ValueError):
         R.combine({}, RewardWeights(0, 0, 0, 0))
     with pytest.raises(ValueError):
