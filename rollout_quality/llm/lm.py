@@ -3,7 +3,7 @@
 What is counted covers all training documents: words (for the unigram base), ids, and transitions between units
 (frequent ids, and bins of the others). The transitions give the model its output bias: how likely a class of
 units is after the last two units. Attention over the last ids of the text corrects that bias per class; its
-weights are trained on one window of every training document, in parallel, and averaged. A text is scored in
+weights are trained on all windows of every training document, in parallel, and averaged. A text is scored in
 overlapping windows: every id is a target once, and sees at least CONTEXT ids before it (padding at the start).
 """
 
@@ -294,9 +294,22 @@ def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat[starts[:, None] + np.arange(SPAN)], np.arange(TARGETS) < counts[:, None], owner
 
 
+def batches(frames: Iterator[pd.DataFrame], number: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every window of every text (column ids) once, BATCH at a time, and which of its targets count. The windows of
+    a frame are mixed, in another order each round."""
+    for frame in frames:
+        ids = [np.frombuffer(raw, "<u2") for raw in frame["ids"]]
+        if not ids:
+            continue
+        tokens, valid, _ = windows(ids)
+        order = np.random.default_rng([number, zlib.crc32(frame["ids"].iloc[0])]).permutation(len(tokens))
+        for b in range(0, len(order), BATCH):
+            yield tokens[order[b : b + BATCH]], valid[order[b : b + BATCH]]
+
+
 def train(texts: DataFrame, model: Model) -> Model:
-    """Fit the attention: every task makes one pass of Adam over one window of each of its training texts, the
-    tasks' weights are averaged by how many windows they saw, ROUNDS times."""
+    """Fit the attention: every task makes one pass of Adam over all windows of its training texts, the tasks'
+    weights are averaged by how many windows they saw, ROUNDS times."""
     spark = texts.sparkSession
     w = fresh_weights()
     shapes = {k: v.shape for k, v in w.items()}
@@ -308,24 +321,15 @@ def train(texts: DataFrame, model: Model) -> Model:
             w = {k: v.copy() for k, v in start.items()}
             m, s = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
             step, seen = 0, 0
-            for frame in frames:
-                chosen = []
-                for raw in frame["ids"]:
-                    one = np.frombuffer(raw, "<u2")
-                    at = zlib.crc32(raw, number) % (len(one) // TARGETS + 1) * TARGETS
-                    # The window of the text that starts there, with the ids that precede it.
-                    whole = np.concatenate([np.full(CONTEXT + 1, BEGIN), one, [END]])[at : at + SPAN]
-                    chosen.append((np.pad(whole, (0, SPAN - len(whole)), constant_values=BEGIN), len(whole) - CONTEXT - 1))
-                for b in range(0, len(chosen), BATCH):
-                    units = own.unit[np.array([c for c, _ in chosen[b : b + BATCH]])]
-                    valid = np.arange(TARGETS) < np.array([n for _, n in chosen[b : b + BATCH]])[:, None]
-                    _, g = loss(own, w, units, valid)
-                    step, seen = step + 1, seen + len(units)
-                    for k in w:
-                        m[k] = 0.9 * m[k] + 0.1 * g[k]
-                        s[k] = 0.99 * s[k] + 0.01 * g[k] ** 2
-                        move = (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)
-                        w[k] -= np.float32(RATE / (1 + number)) * move
+            for tokens, valid in batches(frames, number):
+                units = own.unit[tokens]
+                _, g = loss(own, w, units, valid)
+                step, seen = step + 1, seen + len(units)
+                for k in w:
+                    m[k] = 0.9 * m[k] + 0.1 * g[k]
+                    s[k] = 0.99 * s[k] + 0.01 * g[k] ** 2
+                    move = (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)
+                    w[k] -= np.float32(RATE / (1 + number)) * move
             if seen:
                 flat = np.concatenate([w[k].ravel() for k in shapes])
                 yield pd.DataFrame({"pos": np.arange(len(flat)), "v": flat * float(seen), "n": float(seen)})
