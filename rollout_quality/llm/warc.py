@@ -2,7 +2,7 @@
 
 The reader checks every record (version line, headers, length, end mark, block digest). Where a check fails it
 searches for the next gzip member or version line that begins a valid record, goes on from there, and reports the
-bytes in between as a quarantined gap.
+bytes in between as a quarantined gap; inside a gzip member of many records it does the same.
 """
 
 from __future__ import annotations
@@ -102,49 +102,79 @@ def _parse(data: bytes, at: int) -> tuple[Found | None, str]:
     return Found(at, stop + 4, headers["warc-type"], headers, block), ""
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes | None, int]:
-    """The content of the gzip member at `at` and where it ends; None if its own checks fail."""
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, bool]:
+    """The content of the gzip member at `at`, where it ends, and whether its own checks hold; if they do not, the
+    content up to the damage and where that shows."""
     opened, parts, fed = zlib.decompressobj(31), [], at
-    try:
-        while not opened.eof and fed < len(data):
-            parts.append(opened.decompress(data[fed : fed + CHUNK]))
-            fed = min(len(data), fed + CHUNK)
-    except zlib.error:
-        return None, at
-    return (b"".join(parts), fed - len(opened.unused_data)) if opened.eof else (None, at)
-
-
-def _member(data: bytes, at: int) -> tuple[list[Found], str]:
-    """The records of the gzip member at `at`; none and the check that failed if any of them is damaged."""
-    content, until = _inflate(data, at)
-    if content is None:
-        return [], "member"
-    found, inner, note = [], 0, "empty member"
+    while not opened.eof and fed < len(data):
+        before, chunk = opened.copy(), data[fed : fed + CHUNK]
+        try:
+            parts.append(opened.decompress(chunk))
+        except zlib.error:
+            # What the chunk gives before its damaged byte.
+            for k in range(len(chunk)):
+                try:
+                    parts.append(before.decompress(chunk[k : k + 1]))
+                except zlib.error:
+                    return b"".join(parts), fed + k, False
+            return b"".join(parts), fed + len(chunk), False
+        fed += len(chunk)
+    return b"".join(parts), fed - len(opened.unused_data), opened.eof
+
+
+def _member(data: bytes, at: int) -> tuple[list[Found], int | None, str]:
+    """The records of the gzip member at `at` with the gaps between them, where it ends (None if its own checks
+    fail), and the first check that failed. No list without a record.
+
+    Of a member that is cut off or damaged the records before the damage are returned, and those after it that can
+    still be read; their note says so. Where its checksum fails, only blocks with a digest of their own count.
+    """
+    content, until, whole = _inflate(data, at)
+    note, failed = "" if content else "empty member", "" if whole else "member"
+    cut = not whole and until == len(data)
+    found, inner, bad, why = [], 0, None, ""
     while inner < len(content):
         one, note = _parse(content, inner)
+        if one is not None and failed and not cut and (one.note or "warc-block-digest" not in one.headers):
+            one, note = None, "member"
         if one is None:
-            return [], note
+            if bad is None:
+                bad, why = inner, note
+            version = _VERSION.search(content, inner + 1)
+            inner = version.start() if version else len(content)
+            continue
+        if bad is not None:
+            found.append(Found(at, until, "gap", note=why))
+            bad = None
+        found.append(Found(at, until, one.kind, one.headers, one.block, failed or one.note))
         inner = one.until
-        found.append(Found(at, until, one.kind, one.headers, one.block))
-    return found, note
+    if bad is not None and whole:
+        found.append(Found(at, until, "gap", note=why))
+    records = any(f.kind != "gap" for f in found)
+    return found if records else [], until if whole else None, failed or why or note
 
 
 def salvage(data: bytes) -> Iterator[Found]:
-    """All valid records of an archive and the gaps between them, in order. Empty archive: nothing."""
+    """All valid records of an archive and the gaps between them, in order. Empty archive: nothing.
+
+    A record or gap inside a gzip member has the member's bytes. After the records of a damaged member a gap
+    follows that begins with the member.
+    """
     at, bad, why = 0, None, ""
     while at < len(data):
         if data.startswith(_MAGIC, at):
-            found, note = _member(data, at)
+            found, until, note = _member(data, at)
         else:
             one, note = _parse(data, at)
-            found = [one] if one else []
+            found, until = ([one], one.until) if one else ([], None)
         if found:
             if bad is not None:
                 yield Found(bad, at, "gap", note=why)
                 bad = None
             yield from found
-            at = found[-1].until
-            continue
+            if until is not None:
+                at = until
+                continue
         if bad is None:
             bad, why = at, note
         version = _VERSION.search(data, at + 1)
