@@ -29,6 +29,11 @@ _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 # The record types of WARC 1.1.
 KINDS = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 _MAGIC = b"\x1f\x8b\x08"
+# The digests that are checked, as hashlib names them.
+ALGORITHMS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
+_HTTP_END = re.compile(rb"\r?\n\r?\n")
+_CHUNKED = re.compile(rb"\ntransfer-encoding:[^\n]*\bchunked\b", re.I)
+_CHUNK_SIZE = re.compile(rb"([0-9a-f]+)[^\n]*\n", re.I)
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 SALVAGED = "file string, at long, until long, kind string, page_id long, url string, digest string, bytes long, refers_to long, payload binary, note string"
 
@@ -37,6 +42,55 @@ def _sha1(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
+def _checked(digest: str, block: bytes) -> bool | None:
+    """Whether `block` has the digest "algorithm:value" (base32, hex or base64); None if the algorithm is unknown."""
+    name, colon, _ = digest.partition(":")
+    name = name.strip().lower().replace("-", "").replace("_", "")
+    if not colon or name not in ALGORITHMS:
+        return None
+    return _bytes(digest) == hashlib.new(name, block).digest()
+
+
+def _bytes(digest: str) -> bytes | None:
+    """The value of a digest of a known algorithm; None if no encoding gives its length."""
+    name, _, value = digest.partition(":")
+    size, value = hashlib.new(name.strip().lower().replace("-", "").replace("_", "")).digest_size, value.strip()
+    for decode in (bytes.fromhex, lambda v: base64.b32decode(v.upper() + "=" * (-len(v) % 8)),
+                   lambda v: base64.b64decode(v + "=" * (-len(v) % 4), altchars=b"-_" if set(v) & set("-_") else None, validate=True)):
+        try:
+            got = decode(value.rstrip("="))
+        except ValueError:
+            continue
+        if len(got) == size:
+            return got
+    return None
+
+
+def _payload(headers: dict[str, str], block: bytes) -> bytes:
+    """What the payload digest covers: of an HTTP message what follows its header, else the whole block."""
+    if headers.get("content-type", "").split(";")[0].strip().lower() != "application/http":
+        return block
+    end = _HTTP_END.search(block)
+    return block[end.end() :] if end else b""
+
+
+def _dechunked(headers: dict[str, str], block: bytes, payload: bytes) -> bytes | None:
+    """The payload without the chunks of its transfer; None if it has none or they are damaged."""
+    head = block[: len(block) - len(payload)]
+    if head == b"" or not _CHUNKED.search(head):
+        return None
+    parts, at = [], 0
+    while size := _CHUNK_SIZE.match(payload, at):
+        n, at = int(size[1], 16), size.end()
+        if not n:
+            return b"".join(parts)
+        if len(payload) < at + n:
+            return None
+        parts.append(payload[at : at + n])
+        at += n + (2 if payload[at + n : at + n + 2] == b"\r\n" else 1)
+    return None
+
+
 def _uri(page_id: int | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
@@ -97,9 +151,10 @@ def _parse(data: bytes, at: int) -> tuple[Found | None, str]:
     if data[stop : stop + 4] != b"\r\n\r\n":
         return None, "length"
     block = data[start:stop]
-    if headers.get("warc-block-digest", _sha1(block)) != _sha1(block):
+    right = _checked(headers["warc-block-digest"], block) if "warc-block-digest" in headers else True
+    if right is False:
         return None, "digest"
-    return Found(at, stop + 4, headers["warc-type"], headers, block), ""
+    return Found(at, stop + 4, headers["warc-type"], headers, block, "" if right else "block digest unchecked"), ""
 
 
 def _inflate(data: bytes, at: int) -> tuple[bytes, int, bool]:
@@ -262,7 +317,10 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     """All records and gaps of the archives under `folder`: file, at, until, kind (response, revisit, gap, ...),
     page_id, url, digest (bare hex) and bytes of the full payload, refers_to, payload, note (failed check).
 
-    A response whose payload does not fit its payload digest is a gap, too. Headers that are missing are null.
+    The payload of an HTTP message is what follows its header. Digests are checked by their named algorithm, in
+    base32, hex or base64; one of an unknown algorithm stays as written, and the note says that it is unchecked. A
+    response whose payload does not fit its payload digest, with or without the chunks of its transfer, is a gap,
+    too. Headers that are missing are null.
     """
     def page(uri: str | None) -> int | None:
         got = re.fullmatch(r"<urn:page:(-?\d+)>", uri or "")
@@ -279,18 +337,32 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
                 rows, held = [], 0
                 for one in salvage(data):
                     h, note = one.headers, one.note
-                    digest, kind = h.get("warc-payload-digest"), one.kind
-                    if kind == "response" and digest is not None and digest != _sha1(one.block):
-                        kind, note = "gap", "payload digest"
-                    try:
-                        bare = base64.b32decode(digest.removeprefix("sha1:")).hex() if digest else None
-                    except ValueError:
-                        bare, kind, note = None, "gap", "payload digest"
-                    size = h.get("warc-payload-length") or (str(len(one.block)) if kind == "response" else "")
+                    digest, kind, payload = h.get("warc-payload-digest"), one.kind, b""
+                    right, bare = True, digest
+                    if digest is not None:
+                        right = _checked(digest, b"")
+                        value = None if right is None else _bytes(digest)
+                        if value is not None:
+                            bare = value.hex()
+                        elif right is not None:
+                            bare, kind, note = None, "gap", "payload digest"
+                    if kind == "response":
+                        payload = _payload(h, one.block)
+                        if digest is not None:
+                            right = _checked(digest, payload)
+                        if right is False:
+                            plain = _dechunked(h, one.block, payload)
+                            right = plain is not None and _checked(digest, plain)
+                            payload = plain if right else payload
+                        if right is False:
+                            kind, note = "gap", "payload digest"
+                    if right is None and kind != "gap":
+                        note = "; ".join(x for x in (note, "payload digest unchecked") if x)
+                    size = h.get("warc-payload-length") or (str(len(payload)) if kind == "response" else "")
                     rows.append(
                         (file, one.at, one.until, kind, page(h.get("warc-record-id")), h.get("warc-target-uri"), bare,
                          int(size) if size.isdecimal() else None, page(h.get("warc-refers-to")),
-                         one.block if payloads and kind == "response" else None, note or None)
+                         payload if payloads and kind == "response" else None, note or None)
                     )
                     held += len(one.block)
                     if held > 1 << 24:
@@ -299,7 +371,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
                 yield out(rows)
 
     ready(spark)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc,warc.gz}").load(folder)
     return files.select("path", "content").mapInPandas(run, SALVAGED)
 
 
