@@ -118,7 +118,7 @@ def describe(text: str | None, known: _Words) -> np.ndarray:
     flag = lambda bit: np.count_nonzero(codes & bit) / n
     out[:] = (
         fixed.mean(), fixed.sum(), stem.mean(), stem.sum(), strength.max(), strength.sum(),
-        len({parts[i] for i in np.flatnonzero(stem)[:1000]}), near, len(second) / n,
+        len({parts[i] for i in np.flatnonzero(stem).tolist()}), near, len(second) / n,
         len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text)) / letters, flag(_SHOUT), flag(_MARK),
         len(re.findall(r"[^\w\s]", text)) / letters, flag(_OBFUSCATED), flag(_LONG), np.log1p(n),
     )
