@@ -26,6 +26,10 @@ CONTAINERS = ("article", "aside", "blockquote", "body", "center", "dialog", "div
 AROUND = ("nav", "aside", "footer", "form", "menu", "dialog", "fieldset", "button")
 AROUND_WORDS = ("ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "captcha", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "dialog", "footer", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "pager", "popup", "promo", "promoted", "related", "replies", "reply", "respond", "rss", "search", "share", "sharing", "sidebar", "sidenav", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "topbar", "widget")
 MAIN_WORDS = ("article", "content", "entry", "main", "post", "story", "text")
+# Elements that hold the whole page, and what makes a compound name tell of a state (has-sidebar, menu-open) of a wrapper.
+PAGE = ("body", "html")
+STATE_BEFORE = ("has", "with", "without", "no", "not", "layout")
+STATE_AFTER = ("open", "opened", "closed", "collapsed", "expanded", "enabled", "disabled")
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "around", "main", "heading")
 
 # Labelled blocks, one row each: the FEATURES above, then 1 for article text. Collected by hand from
@@ -82,6 +86,13 @@ class Block:
     heading: bool
 
 
+def _is_around(token: str) -> bool:
+    """Whether one class, id or role names something around the article."""
+    said = _NAME.findall(token)
+    state = len(said) > 1 and (said[0] in STATE_BEFORE or said[-1] in STATE_AFTER)
+    return not state and bool(set(said) & set(AROUND_WORDS))
+
+
 @cache
 def _meaning(name: str, rest: str) -> tuple[bool, bool]:
     """Whether a container is around the article, and whether it says it holds the main text."""
@@ -94,8 +105,8 @@ def _meaning(name: str, rest: str) -> tuple[bool, bool]:
             around |= "display:none" in value.replace(" ", "")
         else:
             said = set(_NAME.findall(value))
-            around |= bool(said & set(AROUND_WORDS))
-            main |= bool(said & set(MAIN_WORDS)) and name in CONTAINERS and name not in ("body", "html")
+            around |= name not in PAGE and any(_is_around(token) for token in value.split())
+            main |= bool(said & set(MAIN_WORDS)) and name in CONTAINERS and name not in PAGE
     return around, main and not around
 
 
