@@ -77,3 +77,25 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
 FROM p JOIN g USING (h)
 """
 ORACLES["op8_warc_salvage"] = OP8
+
+# Shares by weight with a cap: after the k sources that reach it first, the others share the rest by weight.
+OP13 = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+  substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || md5(coalesce(text, ''))), 1, 15) AS place FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight,
+  sum(source_size) OVER ()::BIGINT AS total FROM s),
+c AS (SELECT *, coalesce(sum(3 * source_size) OVER before, 0)::BIGINT AS held, sum(weight) OVER after AS open
+  FROM w WINDOW before AS (ORDER BY 3 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  after AS (ORDER BY 3 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+l AS (SELECT arg_min((total - held) / open, 3 * source_size / weight) AS level FROM c
+  WHERE weight * ((total - held) / open) < 3 * source_size),
+t AS (SELECT source, source_size, CASE WHEN weight * coalesce(level, 0) >= 3 * source_size THEN (3 * source_size)::DOUBLE
+  ELSE weight * coalesce(level, 0) END AS target FROM w LEFT JOIN l ON true),
+p AS (SELECT d.*, source_size, target, floor(target)::BIGINT AS take, coalesce(sum(size) OVER (PARTITION BY d.source
+  ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, (greatest(0, least(size, take - at)) + greatest(0, least(size, take - at - source_size))
+  + greatest(0, least(size, take - at - 2 * source_size)))::BIGINT AS taken FROM p
+"""
+ORACLES["op13_source_mixing"] = OP13

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, lm, pack, shard, simhash, toxicity, warc
+from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, lm, mix, pack, shard, simhash, toxicity, warc
 from rollout_quality.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,9 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix.mix(table(spark, sf_dir, "documents"))
+    return mix.taken(mixed).select("doc_id", "size", "source_size", "target", "taken")
