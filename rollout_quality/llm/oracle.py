@@ -93,9 +93,9 @@ l AS (SELECT arg_min((total - held) / open, 3 * source_size / weight) AS level F
 t AS (SELECT source, source_size, CASE WHEN weight * coalesce(level, 0) >= 3 * source_size THEN (3 * source_size)::DOUBLE
   ELSE weight * coalesce(level, 0) END AS target FROM w LEFT JOIN l ON true),
 p AS (SELECT d.*, source_size, target, floor(target)::BIGINT AS take, coalesce(sum(size) OVER (PARTITION BY d.source
-  ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+  ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begun
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, (greatest(0, least(size, take - at)) + greatest(0, least(size, take - at - source_size))
-  + greatest(0, least(size, take - at - 2 * source_size)))::BIGINT AS taken FROM p
+SELECT doc_id, size, source_size, target, (greatest(0, least(size, take - begun)) + greatest(0, least(size, take - begun - source_size))
+  + greatest(0, least(size, take - begun - 2 * source_size)))::BIGINT AS taken FROM p
 """
 ORACLES["op13_source_mixing"] = OP13
