@@ -99,3 +99,21 @@ SELECT doc_id, size, source_size, target, (greatest(0, least(size, take - begun)
   + greatest(0, least(size, take - begun - 2 * source_size)))::BIGINT AS taken FROM p
 """
 ORACLES["op13_source_mixing"] = OP13
+
+OP12 = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS vec FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.rid AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, b.rid AS other,
+  coalesce(list_sum(list_transform(list_zip(a.vec, b.vec, true), lambda z: z[1] * z[2])), 0)::HUGEINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.rid <> b.rid),
+p AS (SELECT * FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id NULLS LAST, other) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.id NULLS LAST, n.other) AS rank
+  FROM p JOIN pairs n ON p.anchor = n.anchor AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score::BIGINT AS positive_score,
+  negative_score::BIGINT AS negative_score FROM n WHERE rank <= 3
+"""
+ORACLES["op12_hard_negatives"] = OP12
