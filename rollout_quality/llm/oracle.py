@@ -117,3 +117,25 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
   negative_score::BIGINT AS negative_score FROM n WHERE rank <= 3
 """
 ORACLES["op12_hard_negatives"] = OP12
+
+OP11 = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({text}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM t),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS p
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, p, count(*)::BIGINT AS f FROM g GROUP BY lang, k, p),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS (SELECT * FROM f WHERE f >= 30),
+cuts AS (SELECT c.lang, c.p, c.f AS a, l.f AS l, r.f AS r, cut, (2000000 * c.f::HUGEINT) // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k > 1) c
+  JOIN often l ON l.lang = c.lang AND l.p = c.p[1:cut] JOIN often r ON r.lang = c.lang AND r.p = c.p[cut + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+inner_ AS (SELECT lang, p[i:i + m - 1] AS p, max(f) AS f FROM (
+  SELECT lang, f, p, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM often WHERE k > 2)) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN inner_ i ON i.lang = best.lang AND i.p = best.p
+  WHERE i.f IS NULL OR 100 * i.f::HUGEINT < 80 * a),
+ranked AS (SELECT *, array_to_string(p, ' ') AS phrase,
+  row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+""".format(text=LOWER.format("coalesce(text, '')"))
+ORACLES["op11_phrase_mining"] = OP11

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, lm, mix, negatives, pack, shard, simhash, toxicity, warc
+from rollout_quality.llm import decontaminate as decontamination, exact, html, lines, lm, mix, negatives, pack, phrases, shard, simhash, toxicity, warc
 from rollout_quality.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,8 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     found = negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
