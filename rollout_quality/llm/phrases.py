@@ -34,6 +34,7 @@ THRESHOLD = 30
 LONGEST = 4
 SHARDS = 4
 TOP = 2000
+PARTS = 16
 NO_LANG = "und"
 # Words of a coded row, rows of a file, and places collected before they are summed: bounds of a task's memory.
 ROW_WORDS = 1 << 19
@@ -376,8 +377,13 @@ def collocations(
     holders = holders.groupBy("lang", "phrase").agg(F.max("holder").alias("holder"))
     kept = scored.join(holders, ["lang", "phrase"], "left").where("holder IS NULL OR 5 * CAST(holder AS DECIMAL(20, 0)) < 4 * CAST(a AS DECIMAL(20, 0))")
 
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(order))
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    if top is not None:
+        # The first of each part of a language hold the first of all, so that one task ranks PARTS * top rows at most.
+        part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+        ranked = ranked.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     sizes = corpus.groupBy("lang").agg(F.sum("n").alias("n"))
