@@ -37,11 +37,11 @@ TOP = 2000
 PARTS = 16
 NO_LANG = "und"
 # Words of a coded row, rows of a file, and places collected before they are summed: bounds of a task's memory.
-ROW_WORDS = 1 << 19
+ROW_WORDS = 1 << 20
 FILE_ROWS = 8
 CHUNK_CHARS = 1 << 22
 HELD_PLACES = 1 << 22
-WORDS_PER_COUNTER = 8
+WORDS_PER_COUNTER = 4
 SEGMENT_BITS = 18
 # Bits of the filter of one scan; with more counters a shard is scanned once for every such slice of them.
 FILTER_BITS = 28
@@ -49,6 +49,7 @@ FILTER_BITS = 28
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BREAKS = ".,;:!?\x0b\x0c\r"
 CODED = "lang string, shard int, words array<string>, hashes binary, codes binary, n long"
+FOUND = "length int, segment long, n long, steps binary, counts binary"
 STATE = "length int, segment long, counts binary, reached binary, n_reached long"
 
 
@@ -122,22 +123,31 @@ def coded(docs: DataFrame, shards: int) -> DataFrame:
     texts = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), prepared(F.col("text")).alias("text"))
     path = scratch(spark, "phrases")
     rows = texts.mapInArrow(run, CODED)
-    rows.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("shard").parquet(path)
+    rows.write.option("maxRecordsPerFile", FILE_ROWS).option("compression", "zstd").partitionBy("shard").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers as compressed bytes, as they travel and are stored."""
+    return pa.Codec("zstd").compress(np.ascontiguousarray(values).tobytes(), asbytes=True)
+
+
+def unsqueezed(raw: bytes, kind: type, size: int) -> np.ndarray:
+    return np.frombuffer(pa.Codec("zstd").decompress(raw, size * np.dtype(kind).itemsize, asbytes=True), kind)
+
+
 # ---- Phrases of a coded row ----------------------------------------------------------------------------------------
 
 
 class _Row:
     """Hashes of the phrases that begin at each place; `runs[n]` marks the places with n words in one piece."""
 
-    def __init__(self, hashes: bytes, codes: bytes):
+    def __init__(self, hashes: bytes, codes: bytes, longest: int = LONGEST):
         self.codes = np.frombuffer(codes, np.int32)
         inside = self.codes > 0
         one = np.concatenate([[0], np.frombuffer(hashes, np.uint64)]).astype(np.uint64)[self.codes]
         self.hashes, self.runs = {1: one}, {1: inside}
-        for n in range(2, LONGEST + 1):
+        for n in range(2, longest + 1):
             before = self.hashes[n - 1][:-1]
             mixed = (before ^ (before >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + one[n - 1 :]
             self.hashes[n] = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -195,7 +205,7 @@ def _active(row: _Row, n: int, bits: int, now: Reached, past: Reached | None) ->
 
 
 class _Counters:
-    """Stored counters by version: version t holds what the first t scans counted."""
+    """Stored counters by length and version: version t holds what the first t scans counted."""
 
     def __init__(self, corpus: DataFrame, threshold: int):
         self.spark, self.threshold = corpus.sparkSession, threshold
@@ -203,51 +213,56 @@ class _Counters:
         self.segment_bits = SEGMENT_BITS
         self.bits = max(SEGMENT_BITS, math.ceil(words / WORDS_PER_COUNTER).bit_length())
         self.slices = 1 << max(0, self.bits - FILTER_BITS)
-        self.versions = [self.spark.createDataFrame([], STATE)]
-        self.sizes: list[dict[int, int]] = [{}]
+        nothing = self.spark.createDataFrame([], STATE)
+        self.versions: list[dict[int, DataFrame]] = [{n: nothing for n in range(1, LONGEST + 1)}]
+        self.sizes: list[dict[int, int]] = [{n: 0 for n in range(1, LONGEST + 1)}]
 
     def reached(self, version: int, slice_: int) -> Reached:
         """One slice of the filter: at most 2^FILTER_BITS bits a length."""
         size = (1 << self.bits) // self.slices
         first, wide = slice_ * size, 1 << self.segment_bits
-        rows = self.versions[version].where(F.col("segment").between(first // wide, (first + size - 1) // wide))
         out = Reached({}, first, size)
-        for r in rows.select("length", "segment", "reached").collect():
-            own = out.bits.setdefault(r["length"], np.zeros(max(size, wide) // 8, np.uint8))
-            at = (r["segment"] * wide - first) // 8
-            own[at : at + wide // 8] = np.frombuffer(r["reached"], np.uint8)
+        for length, table in self.versions[version].items():
+            if not self.sizes[version][length]:
+                continue
+            own = out.bits[length] = np.zeros(max(size, wide) // 8, np.uint8)
+            rows = table.where((F.col("length") == length) & F.col("segment").between(first // wide, (first + size - 1) // wide))
+            for r in rows.where("n_reached > 0").select("segment", "reached").collect():
+                at = (r["segment"] * wide - first) // 8
+                own[at : at + wide // 8] = unsqueezed(r["reached"], np.uint8, wide // 8)
         return out
 
-    def add(self, found: DataFrame) -> None:
-        """A new version: the last one and what a scan found."""
+    def add(self, found: DataFrame, lengths: list[int]) -> None:
+        """A new version: the last one and what a scan found of some lengths."""
         limit, kind, wide = self.threshold, np.min_scalar_type(self.threshold), 1 << self.segment_bits
 
         def merge(key: tuple, state: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
             totals = np.zeros(wide, np.int64)
             for raw in state["counts"]:
-                totals += np.frombuffer(raw, kind)
-            for places, counts in zip(new["places"], new["counts"]):
-                totals[np.frombuffer(places, np.uint32)] += np.frombuffer(counts, np.uint32)
+                totals += unsqueezed(raw, kind, wide)
+            for n, steps, counts in zip(new["n"], new["steps"], new["counts"]):
+                totals[np.cumsum(unsqueezed(steps, np.uint32, n))] += unsqueezed(counts, np.uint32, n)
             reached = totals >= limit
-            row = [key[0], key[1], np.minimum(totals, limit).astype(kind).tobytes(), np.packbits(reached).tobytes(), int(reached.sum())]
+            row = [key[0], key[1], squeezed(np.minimum(totals, limit).astype(kind)), squeezed(np.packbits(reached)), int(reached.sum())]
             return pd.DataFrame([row], columns=["length", "segment", "counts", "reached", "n_reached"])
 
         by = ("length", "segment")
-        merged = self.versions[-1].groupBy(*by).cogroup(found.groupBy(*by)).applyInPandas(merge, STATE)
-        self.versions.append(store(merged, "phrase-counters"))
-        sums = self.versions[-1].groupBy("length").agg(F.sum("n_reached").alias("n")).collect()
-        self.sizes.append({r["length"]: r["n"] for r in sums if r["n"]})
-
-    def settled(self, cycle: int) -> bool:
-        """True if nothing was activated in the last cycle, so nothing is still being counted."""
+        last = _all(self.versions[-1][n].where(F.col("length") == n).select(*by, "counts") for n in lengths)
+        merged = store(last.groupBy(*by).cogroup(found.groupBy(*by)).applyInPandas(merge, STATE), "phrase-counters")
+        sums = {r["length"]: r["n"] for r in merged.groupBy("length").agg(F.sum("n_reached").alias("n")).collect()}
+        self.versions.append(self.versions[-1] | {n: merged for n in lengths})
+        self.sizes.append(self.sizes[-1] | sums)
+
+    def open(self, cycle: int) -> list[int]:
+        """Lengths of which phrases are still being counted: some were activated within the last cycle."""
         if len(self.sizes) <= cycle:
-            return False
-        shorter = [{k: v for k, v in s.items() if k < LONGEST} for s in (self.sizes[-1], self.sizes[-1 - cycle])]
-        return shorter[0] == shorter[1]
+            return list(range(1, LONGEST + 1))
+        now, before = self.sizes[-1], self.sizes[-1 - cycle]
+        return [n for n in range(2, LONGEST + 1) if now[n - 1] != before[n - 1]]
 
 
 def _summed(places: dict[int, list[np.ndarray]], segment_bits: int) -> Iterator[pa.RecordBatch]:
-    """(length, segment, places in it, their counts) of collected counters."""
+    """Collected counters by length and segment: how many, the steps from one place in it to the next, their counts."""
     rows: list[tuple] = []
     for n, found in places.items():
         if not found:
@@ -255,27 +270,28 @@ def _summed(places: dict[int, list[np.ndarray]], segment_bits: int) -> Iterator[
         own, counts = np.unique(np.concatenate(found), return_counts=True)
         segments, starts = np.unique(own >> segment_bits, return_index=True)
         for s, low, high in zip(segments, starts, [*starts[1:], len(own)]):
-            inside = (own[low:high] & ((1 << segment_bits) - 1)).astype(np.uint32)
-            rows.append((n, int(s), inside.tobytes(), counts[low:high].astype(np.uint32).tobytes()))
+            steps = np.diff(own[low:high] & ((1 << segment_bits) - 1), prepend=0).astype(np.uint32)
+            rows.append((n, int(s), int(high - low), squeezed(steps), squeezed(counts[low:high].astype(np.uint32))))
     if rows:
-        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays(columns, names=["length", "segment", "places", "counts"])
+        yield pa.RecordBatch.from_arrays(columns, names=["length", "segment", "n", "steps", "counts"])
 
 
-def _scan(shard: DataFrame, counters: _Counters, version: int, cycle: int, slice_: int) -> DataFrame:
+def _scan(shard: DataFrame, counters: _Counters, lengths: list[int], cycle: int, slice_: int) -> DataFrame:
     """What one scan of a shard counts with the filter of one slice."""
+    version = len(counters.versions) - 1
     bits, segment_bits = counters.bits, counters.segment_bits
     past = counters.reached(version - cycle, slice_) if version >= cycle else None
     sent = shard.sparkSession.sparkContext.broadcast((counters.reached(version, slice_), past))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, before = sent.value
-        places: dict[int, list[np.ndarray]] = {n: [] for n in range(1, LONGEST + 1)}
+        places: dict[int, list[np.ndarray]] = {n: [] for n in lengths}
         held = 0
         for batch in batches:
             for hashes, codes in zip(batch["hashes"], batch["codes"]):
-                row = _Row(hashes.as_buffer(), codes.as_buffer())
+                row = _Row(hashes.as_buffer(), codes.as_buffer(), max(lengths))
                 for n, found in places.items():
                     at = _active(row, n, bits, now, before)
                     found.append(row.counters(n, bits)[at])
@@ -285,10 +301,10 @@ def _scan(shard: DataFrame, counters: _Counters, version: int, cycle: int, slice
                     places, held = {n: [] for n in places}, 0
         yield from _summed(places, segment_bits)
 
-    return shard.select("hashes", "codes").mapInArrow(run, "length int, segment long, places binary, counts binary")
+    return shard.select("hashes", "codes").mapInArrow(run, FOUND)
 
 
-def _named(corpus: DataFrame, counters: _Counters, slice_: int) -> DataFrame:
+def _named(corpus: DataFrame, counters: _Counters, slice_: int, lengths: tuple[int, ...]) -> DataFrame:
     """Phrases by their words: those of a slice whose counter has reached the threshold, counted in every coded row."""
     bits = counters.bits
     sent = corpus.sparkSession.sparkContext.broadcast(counters.reached(len(counters.versions) - 1, slice_))
@@ -297,9 +313,9 @@ def _named(corpus: DataFrame, counters: _Counters, slice_: int) -> DataFrame:
         reached = sent.value
         for batch in batches:
             for i in range(batch.num_rows):
-                row = _Row(batch["hashes"][i].as_buffer(), batch["codes"][i].as_buffer())
+                row = _Row(batch["hashes"][i].as_buffer(), batch["codes"][i].as_buffer(), max(lengths))
                 words, lang = batch["words"][i].values, batch["lang"][i].as_py()
-                for n in range(1, LONGEST + 1):
+                for n in lengths:
                     own, at = row.counters(n, bits), np.flatnonzero(row.runs[n])
                     at = at[reached.mine(own[at])]
                     at = at[reached.holds(n, own[at])]
@@ -318,6 +334,20 @@ def _named(corpus: DataFrame, counters: _Counters, slice_: int) -> DataFrame:
     return corpus.select("lang", "words", "hashes", "codes").mapInArrow(run, "lang string, length int, phrase string, f long")
 
 
+def _words_of(phrases: DataFrame, counters: _Counters) -> DataFrame:
+    """The counters of the words of given phrases, in the form of what a scan finds."""
+    bits, segment_bits = counters.bits, counters.segment_bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds = {lang: xxhash.xxh64_intdigest(lang.encode()) for lang in set(batch["lang"].to_pylist())}
+            words = {(lang, w) for lang, p in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist()) for w in p.split(" ")}
+            places = [xxhash.xxh64_intdigest(w.encode(), seeds[lang]) >> (64 - bits) for lang, w in words]
+            yield from _summed({1: [np.array(places, np.int64)]}, segment_bits)
+
+    return phrases.select("lang", "phrase").mapInArrow(run, FOUND)
+
+
 def _all(parts: Iterator[DataFrame]) -> DataFrame:
     parts = list(parts)
     out = parts[0]
@@ -327,15 +357,21 @@ def _all(parts: Iterator[DataFrame]) -> DataFrame:
 
 
 def frequent(corpus: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS) -> DataFrame:
-    """A stored table of lang, length, phrase and f, of all phrases of up to four words with f of `threshold` or more."""
+    """lang, length, phrase and f of all phrases of two to four words with f of `threshold` or more, and of their words."""
     counters = _Counters(corpus, threshold)
-    version = 0
-    while not counters.settled(shards):
-        shard = corpus.where(F.col("shard") == version % shards)
-        counters.add(_all(_scan(shard, counters, version, shards, s) for s in range(counters.slices)))
-        version += 1
-    named = _all(_named(corpus, counters, s) for s in range(counters.slices))
-    return store(named.groupBy("lang", "length", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= threshold), "phrases")
+    while lengths := counters.open(shards):
+        shard = corpus.where(F.col("shard") == (len(counters.versions) - 1) % shards)
+        counters.add(_all(_scan(shard, counters, lengths, shards, s) for s in range(counters.slices)), lengths)
+
+    def named(these: _Counters, *lengths: int) -> DataFrame:
+        found = _all(_named(corpus, these, s, lengths) for s in range(these.slices))
+        sums = found.groupBy("lang", "length", "phrase").agg(F.sum("f").alias("f"))
+        return store(sums.where(F.col("f") >= threshold), "phrases")
+
+    phrases = named(counters, *range(2, LONGEST + 1))
+    needed = _Counters(corpus, 1)
+    needed.add(_words_of(phrases, needed), [1])
+    return phrases.unionByName(named(needed, 1))
 
 
 # ---- Scores --------------------------------------------------------------------------------------------------------
