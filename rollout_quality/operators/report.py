@@ -87,6 +87,12 @@ def duplicate_prompts(processed: DataFrame) -> DataFrame:
     return per_prompt.groupBy("split").agg(F.sum(F.col("copies") - 1).alias("duplicate_prompt_count"))
 
 
+def difficulty_of(rows: DataFrame) -> Column:
+    """The difficulty of records, null if they were built without it."""
+    known = "difficulty" in rows.schema["metadata"].dataType.names
+    return F.col("metadata.difficulty") if known else F.lit(None).cast("string")
+
+
 def split_report(processed: DataFrame, splits: Sequence[str], max_prompt_length: int = 512) -> DataFrame:
     """All report figures of every configured split, one row per split, in one pass over the rows.
 
@@ -94,8 +100,7 @@ def split_report(processed: DataFrame, splits: Sequence[str], max_prompt_length:
     figure; all figures combine from partial counts, so a heavily repeated prompt shrinks before it moves.
     """
     words = F.when(_good(), F.col("prompt_words").cast("bigint"))
-    has_difficulty = "difficulty" in processed.schema["metadata"].dataType.names
-    label = F.col("metadata.difficulty") if has_difficulty else F.lit(None).cast("string")
+    label = difficulty_of(processed)
     counters = {
         "record_count": _good(),
         "failed_count": ~_good(),
@@ -149,7 +154,7 @@ def dataset_summary(records: DataFrame) -> DataFrame:
         records.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"))
     )
     side = F.broadcast(firsts) if is_small(firsts) else firsts
-    first = F.struct("idx", "question", "reference_answer", F.col("metadata.difficulty").alias("difficulty"))
+    first = F.struct("idx", "question", "reference_answer", difficulty_of(records).alias("difficulty"))
     return (
         records.select("split", F.col("idx").alias("first_idx"), first.alias("first"))
         .join(side, ["split", "first_idx"])

@@ -2,7 +2,7 @@
 
 Rows are prepared once and stored in the shared folder together with narrow report columns. Reports, leakage
 check and gates read only those columns; the sinks read the rest. Gates run before anything is written to the
-output folder.
+output folder. Artifacts are published together (`plans.commit`); what a build works with goes when it ends.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from rollout_quality.config import BUILD_CONTRACT_VERSION, BuildConfig
 from rollout_quality.operators import leakage, prepare, report
 from rollout_quality.operators.gates import enforce, quality_gates
 from rollout_quality.operators.scoring import contract_columns
-from rollout_quality.schemas import ANALYSIS_FIELDS, PUBLIC_FIELDS
-from rollout_quality.session import cut_lineage, run_together, write_and_reread
+from rollout_quality.plans.commit import StagedOutput
+from rollout_quality.schemas import ANALYSIS_FIELDS, PUBLIC_FIELDS, record_type
+from rollout_quality.session import WorkFolder, cut_lineage, run_together, write_and_reread
 from rollout_quality.sources.sinks import (
     artifact_paths,
     write_columnar,
@@ -26,12 +27,13 @@ from rollout_quality.sources.sinks import (
     write_jsonl_table,
     write_report,
 )
-from rollout_quality.sources.tables import select_splits
+from rollout_quality.sources.tables import read_jsonl, select_splits
 
 
 @dataclass(frozen=True)
 class BuildResult:
-    """DataFrames of one build. `trainer` and `analysis` read stored rows, not the raw input."""
+    """DataFrames of one build. Reports read the written reports; `trainer` and `analysis` read the columnar artifact,
+    or the JSON-lines. Without either they are computed from the raw rows, like `processed`, which is not written."""
 
     trainer: DataFrame
     analysis: DataFrame
@@ -92,6 +94,17 @@ def manifest(
     )
 
 
+def _saved_rows(raw: DataFrame, cfg: BuildConfig, key: str, paths: dict[str, str], name: str) -> DataFrame:
+    schema = record_type(name == "analysis", cfg.add_difficulty)
+    if cfg.save_columnar:
+        rows = raw.sparkSession.read.schema(schema).parquet(paths[f"{name}_parquet"])
+    elif cfg.save_jsonl:
+        rows = read_jsonl(raw.sparkSession, f"{paths[f'{name}_jsonl']}/*", schema)
+    else:
+        rows = prepare.accepted(prepare_rows(raw, cfg, key))
+    return rows.select(*schema.names)
+
+
 def build_dataset(
     raw: DataFrame,
     output_dir: str,
@@ -101,39 +114,57 @@ def build_dataset(
 ) -> BuildResult:
     """Run a whole build. Raises `QualityGateError` before writing if a gate is violated.
 
-    With `enforce_gates=False` the violations are written as a report and returned instead.
+    With `enforce_gates=False` the violations are written as a report and returned instead. A build that dies leaves
+    the output folder as it was, or publishes the rest of its artifacts when the next build begins.
     """
-    processed = write_and_reread(prepare_rows(raw, cfg, key), "processed", "split")
-    records = prepare.accepted(processed)
-
-    # A few rows each; stored so that gates, manifest and reports do not recompute them.
-    split_report = cut_lineage(report.split_report(processed, cfg.splits, cfg.max_prompt_length))
-    leaks = cut_lineage(leakage.leakage_report(records, cfg.splits, cfg.check_single_split))
-    violations = quality_gates(split_report, leaks, cfg)
-    if enforce_gates:
-        enforce(violations)
-
+    spark = raw.sparkSession
     paths = artifact_paths(output_dir, cfg)
-    trainer = records.select(*PUBLIC_FIELDS)
-    analysis = records.select(*ANALYSIS_FIELDS)
-    writes = []
-    for name, view in (("trainer", trainer), ("analysis", analysis)):
-        if cfg.save_jsonl:
-            writes.append(partial(write_jsonl, view, paths[f"{name}_jsonl"], cfg.splits, cfg.max_records_per_file))
-        if cfg.save_columnar:
-            writes.append(partial(write_columnar, view, paths[f"{name}_parquet"], cfg.max_records_per_file))
-
-    built = manifest(split_report, report.failure_codes(processed), cfg, paths)
-    summary = report.dataset_summary(trainer)
-    reports = paths["reports"]
-    run_together(
-        raw.sparkSession,
-        *writes,
-        partial(write_jsonl_table, report.failure_reasons(processed), f"{reports}/failure_reasons"),
-        partial(write_report, built, f"{reports}/manifest"),
-        partial(write_report, summary, f"{reports}/dataset_summary"),
-        partial(write_report, split_report.orderBy("ord"), f"{reports}/validation_summary"),
-        partial(write_report, leaks.orderBy("ord"), f"{reports}/leakage_report"),
-        partial(write_report, violations.orderBy("seq"), f"{reports}/violations"),
+    with WorkFolder(spark, "build"):
+        processed = write_and_reread(prepare_rows(raw, cfg, key), "processed", "split")
+        records = prepare.accepted(processed)
+
+        # A few rows each; stored so that gates, manifest and reports do not recompute them.
+        split_report = cut_lineage(report.split_report(processed, cfg.splits, cfg.max_prompt_length))
+        leaks = cut_lineage(leakage.leakage_report(records, cfg.splits, cfg.check_single_split))
+        violations = quality_gates(split_report, leaks, cfg)
+        if enforce_gates:
+            enforce(violations)
+
+        views = {"trainer": records.select(*PUBLIC_FIELDS), "analysis": records.select(*ANALYSIS_FIELDS)}
+        reports = {
+            "manifest": manifest(split_report, report.failure_codes(processed), cfg, paths),
+            "dataset_summary": report.dataset_summary(views["trainer"]),
+            "validation_summary": split_report.orderBy("ord"),
+            "leakage_report": leaks.orderBy("ord"),
+            "violations": violations.orderBy("seq"),
+        }
+        with StagedOutput(spark, output_dir) as output:
+            staged = artifact_paths(output.path, cfg)
+            writes, kinds = [], ["reports"]
+            for name, view in views.items():
+                if cfg.save_jsonl:
+                    kinds.append(f"{name}_jsonl")
+                    writes.append(partial(write_jsonl, view, staged[kinds[-1]], cfg.splits, cfg.max_records_per_file))
+                if cfg.save_columnar:
+                    kinds.append(f"{name}_parquet")
+                    writes.append(partial(write_columnar, view, staged[kinds[-1]], cfg.max_records_per_file))
+            reasons = report.failure_reasons(processed)
+            writes.append(partial(write_jsonl_table, reasons, f"{staged['reports']}/failure_reasons"))
+            writes += [partial(write_report, built, f"{staged['reports']}/{n}") for n, built in reports.items()]
+            run_together(spark, *writes)
+            output.publish([staged[k].removeprefix(f"{output.path}/") for k in kinds])
+
+    def saved(name: str) -> DataFrame:
+        return spark.read.schema(reports[name].schema).json(f"{paths['reports']}/{name}")
+
+    return BuildResult(
+        trainer=_saved_rows(raw, cfg, key, paths, "trainer"),
+        analysis=_saved_rows(raw, cfg, key, paths, "analysis"),
+        processed=prepare_rows(raw, cfg, key),
+        split_report=saved("validation_summary"),
+        leakage_report=saved("leakage_report"),
+        violations=saved("violations"),
+        manifest=saved("manifest"),
+        summary=saved("dataset_summary"),
+        paths=paths,
     )
-    return BuildResult(trainer, analysis, processed, split_report, leaks, violations, built, summary, paths)

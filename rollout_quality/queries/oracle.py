@@ -510,6 +510,11 @@ def oracles() -> dict[str, str]:
         ),
         "load_trainer_split": sql(PREP, _RL_VIEW + " AND split = 'test'"),
         "build_dataset": _records(),
+        "build_no_difficulty": sql(
+            PREP,
+            f"""SELECT {RECORD.removesuffix(", difficulty")}, count(*) OVER (PARTITION BY split) AS split_rows
+            FROM proc WHERE error IS NULL""",
+        ),
         "stream_scores": _REWARD,
         "stream_eval": _BY_DIFFICULTY,
         "stream_advantages": _ADVANTAGES,

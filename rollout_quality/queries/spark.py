@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -85,8 +86,9 @@ def labelled_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_against(texts, labelled_targets(spark, sf_dir))
 
 
-def record_columns(*extra: str) -> list[Column]:
+def record_columns(*extra: str, difficulty: bool = True) -> list[Column]:
     """Scalars of a record, for comparison."""
+    label = [F.col("metadata.difficulty").alias("difficulty")] if difficulty else []
     return [
         F.col("idx"),
         F.col("split"),
@@ -97,7 +99,7 @@ def record_columns(*extra: str) -> list[Column]:
         F.col("prompt_messages")[1]["role"].alias("role_1"),
         F.col("prompt_messages")[1]["content"].alias("content_1"),
         F.col("metadata.original_idx").alias("original_idx"),
-        F.col("metadata.difficulty").alias("difficulty"),
+        *label,
         *[F.col(c) for c in extra],
     ]
 
@@ -651,6 +653,16 @@ def build_dataset_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].unionByName(both[1]).select(*record_columns())
 
 
+@query
+def build_no_difficulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build without difficulty over an earlier build with it; the returned trainer rows read the new artifact."""
+    raw, folder = derived.qa_raw(spark, sf_dir), new_folder(spark, "build")
+    build_dataset(raw, folder, replace(CFG, save_columnar=False), enforce_gates=False)
+    built = build_dataset(raw, folder, replace(CFG, add_difficulty=False, save_jsonl=False), enforce_gates=False)
+    counts = built.summary.select("split", F.col("n_rows").alias("split_rows"))
+    return built.trainer.join(F.broadcast(counts), "split").select(*record_columns("split_rows", difficulty=False))
+
+
 # ---- streams --------------------------------------------------------------------------------------------
 
 

@@ -6,10 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rollout_quality.files import Files
+
 # A side is broadcast only if a count proves at most this many narrow rows (a key and a few scalars).
 BROADCAST_ROWS = 1_000_000
 
@@ -30,30 +33,58 @@ def local_session(cores: int | str = "*", app: str = "rollout-quality", **conf:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: `spark.checkpoint.dir`.
-
-    Only a local session without that setting gets a temporary folder of its own, because there all executors
-    live in this process. A cluster session without it is an error, never a machine-local folder.
-    """
+    """Folder all executors can reach: `spark.checkpoint.dir` of the session. There is no other choice: a folder of
+    one machine would be lost on a cluster."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None) or current
     if not folder:
-        if context.master != "local" and not context.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="rollout-quality-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not current:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def with_local_folder(spark: SparkSession) -> SparkSession:
+    """For checks on one machine: a session whose executors all live in this process gets a temporary folder, if it
+    has none. Sessions on a cluster are left as they are."""
+    local = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+    if local and not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rollout-quality-"))
+    return spark
+
+
+class WorkFolder:
+    """The tables that one run works with. All that is stored inside the block lies in one folder of the shared folder,
+    which goes at its end, also after an error. Frames that read it must not leave the block."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, new_folder(spark, name)
+
+    def __enter__(self) -> "WorkFolder":
+        self._before = _RUN.set(self)
+        return self
+
+    def __exit__(self, kind, value, trace) -> None:
+        _RUN.reset(self._before)
+        Files(self.spark, self.path).delete(self.path)
+
+
+_RUN: ContextVar[WorkFolder | None] = ContextVar("run", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/rollout_quality/{name}-{uuid.uuid4().hex}"
+    """A path that no other run uses: in the folder of the run, or under the shared folder."""
+    run = _RUN.get()
+    above = run.path if run is not None else f"{shared_folder(spark)}/rollout_quality"
+    return f"{above}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of the executors that computed them."""
+    """Rows that survive the loss of the executors that computed them: a table of the run that owns its working data,
+    else a reliable checkpoint."""
+    if _RUN.get() is not None:
+        return write_and_reread(df, "cut")
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -82,7 +113,7 @@ def run_together(spark: SparkSession, *actions: Callable[[], None]) -> None:
     """Submit independent Spark jobs at the same time, so that the last tasks of one leave no cores idle."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=4) as pool:
-        for done in [pool.submit(inherit(a)) for a in actions]:
+        for done in [pool.submit(copy_context().run, inherit(a)) for a in actions]:
             done.result()
 
 

@@ -11,9 +11,10 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(
-        8, "tests", spark__sql__shuffle__partitions="4", spark__default__parallelism="4", spark__driver__memory="6g"
+        8, "tests", spark__sql__shuffle__partitions="4", spark__default__parallelism="4", spark__driver__memory="6g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from rollout_quality import BuildConfig, QualityGateError, build_dataset
+from rollout_quality import BuildConfig, QualityGateError, build_dataset, session
+from rollout_quality.plans import build_dataset as build, commit
 from rollout_quality.schemas import PUBLIC_FIELDS, record_type
 from rollout_quality.sources import sinks, tables
 
@@ -150,3 +151,98 @@ def test_summary_is_part_of_a_build(spark, tmp_path):
     result = build_dataset(table(spark, ROWS), str(tmp_path))
     assert {r["split"]: r["n_rows"] for r in result.summary.collect()} == {"train": 2, "test": 1}
     assert {r["first_answer"] for r in lines(tmp_path / "reports/dataset_summary")} == {"4", "6"}
+
+
+def files_of(folder):
+    return sorted(str(f.relative_to(folder)) for f in Path(folder).rglob("*") if f.is_file())
+
+
+@pytest.fixture
+def shared(spark):
+    """The shared folder, and what was in it before."""
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(files_of(folder))
+    return lambda: [f for f in files_of(folder) if f not in before]
+
+
+def test_working_tables_go_when_a_build_ends(spark, tmp_path, shared):
+    result = build_dataset(table(spark, ROWS), str(tmp_path / "out"))
+    assert shared() == [] and not (tmp_path / "out/_staging").exists()
+    # All that is returned can still be read.
+    assert result.trainer.count() == result.analysis.count() == result.processed.count() == 3
+    assert result.split_report.count() == result.manifest.select(F.explode("splits")).count() == 2
+    assert result.leakage_report.count() == 3 and result.violations.count() == 0
+    assert str(tmp_path) in result.trainer.inputFiles()[0] and result.trainer.columns == list(PUBLIC_FIELDS)
+    with pytest.raises(QualityGateError):
+        build_dataset(table(spark, ROWS * 2), str(tmp_path / "other"))
+    assert shared() == [] and not (tmp_path / "other").exists()
+
+
+@pytest.mark.parametrize("settings", [{"save_columnar": False}, {"save_columnar": False, "save_jsonl": False}])
+def test_returned_rows_without_columnar_artifact(spark, tmp_path, settings):
+    result = build_dataset(table(spark, ROWS), str(tmp_path / "out"), BuildConfig(**settings))
+    assert sorted(r["question"] for r in result.trainer.collect()) == sorted(r[2] for r in ROWS)
+    assert result.analysis.columns[-1] == "reference_solution" and result.analysis.count() == 3
+
+
+def test_build_that_fails_publishes_nothing(spark, tmp_path, shared, monkeypatch):
+    out = tmp_path / "out"
+    build_dataset(table(spark, ROWS), str(out))
+    before = {f: (out / f).read_bytes() for f in files_of(out)}
+
+    def broken(df, path):
+        raise OSError("no space")
+
+    monkeypatch.setattr(build, "write_report", broken)
+    with pytest.raises(OSError, match="no space"):
+        build_dataset(table(spark, ROWS[:2]), str(out), BuildConfig(splits=("train",)))
+    assert {f: (out / f).read_bytes() for f in files_of(out)} == before and shared() == []
+
+
+def test_killed_build_leaves_no_partial_artifact(spark, tmp_path, monkeypatch):
+    """Killed while it writes: what it staged is not an artifact, and the next build drops it."""
+    out = tmp_path / "out"
+    monkeypatch.setattr(build, "write_report", lambda df, path: exec("raise KeyboardInterrupt"))
+    monkeypatch.setattr(commit.StagedOutput, "__exit__", lambda *args: None)
+    with pytest.raises(KeyboardInterrupt):
+        build_dataset(table(spark, ROWS), str(out))
+    assert {f.split("/")[0] for f in files_of(out)} <= {"_staging"} and commit.committed(spark, str(out)) is None
+    monkeypatch.undo()
+    build_dataset(table(spark, ROWS), str(out))
+    assert not (out / "_staging").exists() and lines(out / "reports/manifest")
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_build_killed_while_publishing_is_carried_through(spark, tmp_path, monkeypatch, moves):
+    out, done = tmp_path / "out", []
+    build_dataset(table(spark, ROWS), str(out))
+    move = commit.Files.move
+
+    def dies(self, source, target):
+        # The marks are moved too; artifacts are folders.
+        if not source.endswith(".part"):
+            done.append(target)
+            if len(done) > moves:
+                raise KeyboardInterrupt
+        move(self, source, target)
+
+    monkeypatch.setattr(commit.Files, "move", dies)
+    with pytest.raises(KeyboardInterrupt):
+        build_dataset(table(spark, ROWS[:2]), str(out), BuildConfig(splits=("train",), save_jsonl=False))
+    monkeypatch.undo()
+    assert commit.committed(spark, str(out)) is None
+    commit.recover(spark, str(out))
+    assert commit.committed(spark, str(out))["parts"] == ["reports", "trainer/parquet", "analysis/parquet"]
+    assert [s["split"] for s in lines(out / "reports/manifest")[0]["splits"]] == ["train"]
+    assert tables.read_split(spark, f"{out}/trainer/parquet", "test").count() == 0
+    assert not (out / "trainer/jsonl").exists() and not (out / "_staging").exists()
+
+
+def test_no_folder_is_an_error_in_the_library(spark, monkeypatch):
+    class Bare:
+        sparkContext = type("C", (), {"getCheckpointDir": lambda self: None, "master": "spark://host"})()
+        conf = type("K", (), {"get": lambda self, key, other=None: other})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Bare())
+    assert session.with_local_folder(Bare()) and Bare.sparkContext.getCheckpointDir() is None
