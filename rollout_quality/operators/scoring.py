@@ -12,6 +12,8 @@ from rollout_quality.operators.hot import HOT_ROWS, hot_keys, may_broadcast
 from rollout_quality.session import cut_lineage
 
 FEATURES = ("predicted", "format", "length")
+# Keys of a prompt in a stream whose references are too large to broadcast.
+STREAM_SALTS = 16
 
 
 def as_text(completions: DataFrame, column: str = "completion") -> DataFrame:
@@ -41,12 +43,13 @@ def join_references(
     Drop or reduce the texts first (`completion_features`): then this shuffle moves a few scalars per row.
     Whether the reference side is broadcast is decided at run time from its measured size. Rows of hot prompts
     (counted, see `hot`) meet the few references of those prompts by broadcast, the others by the usual join. A
-    stream cannot be counted: its references are broadcast if they are proven small.
+    stream cannot be counted: its references are broadcast if they are proven small, else every prompt is spread
+    over `STREAM_SALTS` keys.
     """
     if how not in ("inner", "left"):
         return features.join(references, key, how)
     if features.isStreaming:
-        return features.join(F.broadcast(references) if may_broadcast(references) else references, key, how)
+        return _join_stream(features, references, key, how)
     hot = hot_keys(features.where(F.col(key).isNotNull()), key, hot_rows)
     if hot is None:
         return features.join(references, key, how)
@@ -60,6 +63,20 @@ def join_references(
     return usual.unionByName(large)
 
 
+def _join_stream(features: DataFrame, references: DataFrame, key: str, how: str) -> DataFrame:
+    """Join a stream with stored references: by broadcast, or by (key, salt).
+
+    The salt of a row follows from its values, so the rows of a hot prompt reach `STREAM_SALTS` tasks in every
+    trigger, and a repeated trigger deals them out alike. Each reference is there once for each salt.
+    """
+    if may_broadcast(references):
+        return features.join(F.broadcast(references), key, how)
+    salt = "__salt"
+    dealt = features.withColumn(salt, F.pmod(F.xxhash64(*features.columns), F.lit(STREAM_SALTS)).cast("int"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1)))
+    return dealt.join(references.withColumn(salt, copies), [key, salt], how).drop(salt)
+
+
 def component_rewards(features: DataFrame, soft_k: float = 0.1) -> DataFrame:
     """Add the four component rewards next to the other columns; the features are consumed."""
     keep = [F.col(c) for c in features.columns if c not in FEATURES]

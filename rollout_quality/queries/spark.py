@@ -686,7 +686,7 @@ def stream_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running metrics per difficulty; the labels are a stored side table joined to the stream."""
     arrivals = _stream(spark, derived.completions(spark, sf_dir).drop("reference"))
     targets = cut_lineage(labelled_targets(spark, sf_dir))
-    done = streams.drain_to_memory(streams.running_metrics(score_against(arrivals, targets)), "metrics")
+    done = streams.drain_latest(streams.running_metrics(score_against(arrivals, targets)), ["difficulty"], "metrics")
     return done.select("difficulty", "n", r6("accuracy").alias("accuracy"), r6("mean_reward").alias("mean_reward"))
 
 

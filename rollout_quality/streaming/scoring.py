@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rollout_quality.config import COMPAT, RewardWeights
+from rollout_quality.files import Files
 from rollout_quality.operators.evaluation import UNKNOWN
 from rollout_quality.operators.groups import EPSILON, group_advantages
 from rollout_quality.operators.scoring import score
 from rollout_quality.schemas import COMPLETIONS
-from rollout_quality.session import cut_lineage, new_folder
+from rollout_quality.session import new_folder
 
 ADVANTAGES = T.StructType(
     [
@@ -60,59 +65,143 @@ class StreamedAdvantages(NamedTuple):
     closed: DataFrame
 
 
+# What the state of a prompt holds: the members of its open group, or that it was emitted.
+_OPEN = "gen_idx array<int>, reward array<double>, emitted boolean"
+# `arrived`: the row came in this trigger. `out`: it belongs to a group that is emitted in this trigger.
+_PASSED = T.StructType(
+    [
+        *ADVANTAGES.fields[:3],
+        T.StructField("arrived", T.BooleanType()),
+        T.StructField("out", T.BooleanType()),
+    ]
+)
+
+
+def _filling(group_size: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """Pass on what arrives of a prompt, and the members held for it once its group is full.
+
+    A full group lets all further rows of its trigger through, so no more than `group_size` members are held,
+    in memory or in the state, however many rows a prompt has. Rewards and positions may be missing.
+    """
+
+    def step(key: tuple, arrivals: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        def rows(members: Iterable[tuple], arrived: bool, out: bool) -> Iterator[pd.DataFrame]:
+            found = list(members)
+            if found:
+                yield pd.DataFrame(
+                    {
+                        "prompt_id": pd.array([key[0]] * len(found), "Int64"),
+                        "gen_idx": pd.array([m[0] for m in found], "Int32"),
+                        "reward": pd.array([m[1] for m in found], "object"),
+                        "arrived": arrived,
+                        "out": out,
+                    }
+                )
+
+        indexes, rewards, emitted = state.get if state.exists else ([], [], False)
+        held = dict(zip(indexes, rewards))
+        fresh: list[tuple] = []
+        known, full = set(held), False
+        for frame in arrivals:
+            members = [
+                (None if pd.isna(g) else int(g), None if r is None or r != r and pd.isna(r) else float(r))
+                for g, r in zip(frame["gen_idx"], frame["reward"])
+            ]
+            if emitted or full:
+                yield from rows(members, True, full)
+                continue
+            fresh += members
+            known |= {g for g, _ in members}
+            if len(known) >= group_size:
+                full = True
+                yield from rows(held.items(), False, True)
+                # A position that is held already is a replay: it arrived, but is not let out again.
+                yield from rows([m for m in fresh if m[0] in held], True, False)
+                yield from rows([m for m in fresh if m[0] not in held], True, True)
+        if emitted:
+            return
+        if full:
+            state.update(([], [], True))
+            return
+        yield from rows(fresh, True, False)
+        # Of equal positions the smallest reward comes first, a missing one last.
+        for g, r in sorted(fresh, key=lambda m: (m[1] is None, m[1] != m[1], m[1] or 0.0)):
+            held.setdefault(g, r)
+        state.update((list(held), list(held.values()), False))
+
+    return step
+
+
 def stream_advantages(scored: DataFrame, group_size: int, eps: float = EPSILON) -> StreamedAdvantages:
     """Drain a stream of scored completions into group-relative advantages.
 
     A group is emitted in the trigger in which it has `group_size` members or more, with all that are there. At
     the end, `closed` holds the advantages of all groups over all their members: smaller groups, and groups that
     went on growing after they were emitted. It equals the batch result. A (prompt_id, gen_idx) that arrives again
-    is a replay: the first arrival counts. What has arrived, is open and was emitted are tables versioned by
-    trigger, so that a repeated trigger replaces its own rows.
+    is a replay: the first arrival counts, and of several in one trigger that with the smallest reward.
+
+    The members of open groups, and of every other prompt that it was emitted, are state by prompt on disk, so a
+    trigger reads its arrivals and the open groups they belong to, whatever came before. The rows that arrived and were
+    emitted are tables with a folder for each trigger, which a repeated trigger writes anew.
     """
     if group_size < 1:
         raise ValueError("group_size must be positive")
     spark = scored.sparkSession
     out = new_folder(spark, "advantages")
-    members = T.StructType(ADVANTAGES.fields[:3])
+    batched = [T.StructField("batch", T.LongType())]
 
-    def version(kind: str, batch_id: int) -> str:
-        return f"{out}/{kind}/batch={batch_id}"
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/passed/batch={batch_id}")
+        passed = spark.read.schema(_PASSED).parquet(f"{out}/passed/batch={batch_id}")
+        members = passed.where("out").groupBy("prompt_id", "gen_idx").agg(F.min("reward").alias("reward"))
+        group_advantages(members, eps=eps).write.mode("overwrite").parquet(f"{out}/emitted/batch={batch_id}")
 
-    def write(df: DataFrame, kind: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(version(kind, batch_id))
+    narrow = scored.select("prompt_id", F.col("gen_idx").cast("int"), F.col("reward").cast("double"))
+    filled = narrow.groupBy("prompt_id").applyInPandasWithState(
+        _filling(group_size), _PASSED, _OPEN, "append", GroupStateTimeout.NoTimeout
+    )
+    with disk_state(spark):
+        query = (
+            filled.writeStream.foreachBatch(step)
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        finish(query)
 
     def read(kind: str, schema: T.StructType) -> DataFrame:
-        batched = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-        return spark.read.schema(batched).parquet(f"{out}/{kind}")
+        if not Files(spark, out).exists(f"{out}/{kind}"):  # no trigger ran
+            return spark.createDataFrame([], T.StructType([*schema.fields, *batched]))
+        return spark.read.schema(T.StructType([*schema.fields, *batched])).parquet(f"{out}/{kind}")
 
-    def keyed(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        return df.join(keys, df["prompt_id"].eqNullSafe(keys["__key"]), how)
+    first = F.min(F.struct("batch", F.col("reward").isNull().alias("none"), "reward"))["reward"].alias("reward")
+    arrived = read("passed", _PASSED).where("arrived").groupBy("prompt_id", "gen_idx").agg(first)
+    return StreamedAdvantages(read("emitted", ADVANTAGES).drop("batch"), group_advantages(arrived, eps=eps))
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        write(batch, "arrived", batch_id)
-        done = read("emitted", ADVANTAGES).where(F.col("batch") < batch_id)
-        arrived = read("arrived", members).where(F.col("batch") == batch_id).drop("batch")
-        late = done.select(F.col("prompt_id").alias("__key")).distinct()
-        before = read("open", members).where(F.col("batch") == batch_id - 1).drop("batch")
-        waiting = cut_lineage(keyed(arrived, late, "left_anti").unionByName(before))
-        sizes = waiting.groupBy(F.col("prompt_id").alias("__key")).agg(F.count(F.lit(1)).alias("n"))
-        full = sizes.where(F.col("n") >= group_size).select("__key")
-        write(group_advantages(keyed(waiting, full, "left_semi"), eps=eps), "emitted", batch_id)
-        write(keyed(waiting, full, "left_anti"), "open", batch_id)
-
-    for kind, schema in (("arrived", members), ("open", members), ("emitted", ADVANTAGES)):
-        write(spark.createDataFrame([], schema), kind, -1)
-    fresh = scored.select("prompt_id", F.col("gen_idx").cast("int"), "reward").dropDuplicates(["prompt_id", "gen_idx"])
-    query = (
-        fresh.writeStream.foreachBatch(step)
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    finish(query)
-    closed = group_advantages(read("arrived", members).drop("batch"), eps=eps)
-    return StreamedAdvantages(read("emitted", ADVANTAGES).drop("batch"), closed)
+
+@contextmanager
+def disk_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state on disk (RocksDB) and save only what changed in a trigger. The settings
+    of the session are as before afterwards."""
+    store = "spark.sql.streaming.stateStore"
+    wanted = {
+        f"{store}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        f"{store}.rocksdb.changelogCheckpointing.enabled": "true",
+        # A state that is spread over many partitions must not reserve disk that it does not use.
+        f"{store}.rocksdb.allowFAllocate": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def drain_to_parquet(stream: DataFrame, name: str) -> DataFrame:
@@ -131,21 +220,34 @@ def drain_to_parquet(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def drain_to_memory(stream: DataFrame, name: str) -> DataFrame:
-    """Process everything available into an in-memory result. Only for a proven handful of rows."""
+def drain_latest(stream: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Process everything available of a running aggregation, and give the last state of every key.
+
+    A trigger writes the keys it changed, as a folder of its own that a repeated trigger writes anew; nothing goes
+    through the driver, and the number of keys is not bounded. The state is on disk.
+    """
     spark = stream.sparkSession
-    folder = new_folder(spark, name)
-    table = f"{name}_{folder[-32:]}"
-    query = (
-        stream.writeStream.format("memory")
-        .queryName(table)
-        .option("checkpointLocation", f"{folder}-checkpoint")
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
-    finish(query)
-    return spark.table(table)
+    out = new_folder(spark, name)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/changes/batch={batch_id}")
+
+    with disk_state(spark):
+        query = (
+            stream.writeStream.foreachBatch(step)
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .outputMode("update")
+            .trigger(availableNow=True)
+            .start()
+        )
+        finish(query)
+    if not Files(spark, out).exists(f"{out}/changes"):  # no trigger ran
+        return spark.createDataFrame([], stream.schema)
+    versions = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    changes = spark.read.schema(versions).parquet(f"{out}/changes")
+    values = [c for c in stream.columns if c not in keys]
+    last = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"last.{c}").alias(c) for c in stream.columns])
 
 
 def finish(query: StreamingQuery) -> None:

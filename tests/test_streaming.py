@@ -32,7 +32,9 @@ def test_scores(arrivals):
 def test_running_metrics(arrivals):
     batch, stream = arrivals
     label = F.when(F.col("prompt_id") < 10, "easy")
-    done = streams.drain_to_memory(streams.running_metrics(streams.stream_scores(stream).withColumn("difficulty", label)), "m")
+    done = streams.drain_latest(
+        streams.running_metrics(streams.stream_scores(stream).withColumn("difficulty", label)), ["difficulty"], "m"
+    )
     want = evaluation.eval_by_difficulty(scoring.score(batch).withColumn("difficulty", label))
     columns = ("difficulty", "n", "accuracy", "mean_reward")
     assert rounded(done, *columns) == rounded(want, *columns)
@@ -67,3 +69,76 @@ def test_empty_stream(spark, tmp_path):
     assert done.emitted.count() == done.closed.count() == 0
     with pytest.raises(ValueError):
         streams.stream_advantages(df, 0)
+
+
+def test_a_trigger_reads_its_arrivals_and_their_open_groups(spark, tmp_path, monkeypatch):
+    """Prompts come one after the other over many triggers; later triggers see no more rows than early ones."""
+    rows = [(p, g, str(p), f"#### {p + g % 3}") for p in range(120) for g in range(4)]
+    for at in range(0, len(rows), 24):  # a trigger fills five groups and begins others
+        part = rows[at : at + 22] + rows[max(0, at - 2) : at]
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    seen = []
+    of = streams.group_advantages
+
+    def counted(members, **settings):
+        if not members.isStreaming and "passed" in members.inputFiles()[0]:
+            seen.append(spark.read.parquet(members.inputFiles()[0].rsplit("/", 1)[0]).count())
+        return of(members, **settings)
+
+    monkeypatch.setattr(streams, "group_advantages", counted)
+    stream = streams.completion_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], SCHEMA).schema, 1)
+    done = streams.stream_advantages(streams.stream_scores(stream), 4)
+    columns = ("prompt_id", "gen_idx", "advantage")
+    triggers = seen[:-1]  # the last is `closed`
+    assert len(triggers) == 20 and max(triggers) <= 24 + 3 * 2
+    unique = spark.createDataFrame(rows[: len(rows) - 2], SCHEMA)
+    assert rounded(done.closed, *columns) == rounded(groups.group_advantages(scoring.score(unique)), *columns)
+    assert done.emitted.groupBy("prompt_id").count().count() == 119
+
+
+def test_hot_prompt_is_let_through(spark, tmp_path):
+    """A prompt with most rows of every trigger, missing prompts, positions and rewards, and positions that repeat."""
+    rows = [(7, g, float(g % 5)) for g in range(900)] + [(7, 3, -1.0), (None, 0, 1.0), (None, 1, 0.0), (None, None, 0.5), (8, None, None), (8, 1, 2.0)]
+    schema = "prompt_id long, gen_idx int, reward double"
+    for at in range(0, len(rows), 303):
+        spark.createDataFrame(rows[at : at + 303], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = streams.completion_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema, 1)
+    done = streams.stream_advantages(stream, 3)
+    first = spark.createDataFrame([r for r in rows if r != (7, 3, -1.0)], schema)
+    columns = ("prompt_id", "gen_idx", "reward", "advantage")
+    key = lambda r: str(r)
+    assert sorted(rounded_all(done.closed, columns), key=key) == sorted(rounded_all(groups.group_advantages(first), columns), key=key)
+    sizes = {r["prompt_id"]: r["count"] for r in done.emitted.groupBy("prompt_id").count().collect()}
+    assert sizes == {7: 303, None: 3}
+
+
+def rounded_all(df, columns):
+    return [tuple(round(v, 6) + 0.0 if isinstance(v, float) else v for v in r) for r in df.select(*columns).collect()]
+
+
+def test_state_settings_are_restored(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    with streams.disk_state(spark):
+        assert spark.conf.get(key).endswith("RocksDBStateStoreProvider")
+    assert spark.conf.get(key, None) == before
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_references_too_large_to_broadcast(spark, tmp_path, monkeypatch, how):
+    """A stream with a hot prompt meets each part of the references by (prompt, salt), and equals the batch."""
+    monkeypatch.setattr(scoring, "may_broadcast", lambda df: False)
+    rows = [(p if g % 3 else 5, g, f"#### {p}") for p in range(40) for g in range(6)] + [(None, 0, "#### 1"), (99, 0, "#### 1")]
+    df = spark.createDataFrame(rows, "prompt_id long, gen_idx int, completion string")
+    references = spark.createDataFrame([(p, str(p)) for p in range(50)] + [(5, "again"), (None, "none")], "prompt_id long, reference string")
+    df.repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = streams.completion_stream(spark, f"{tmp_path}/in", df.schema)
+    features = scoring.completion_features(stream)
+    joined = scoring.join_references(features, references, how=how)
+    columns = ("prompt_id", "gen_idx", "reference", "predicted")
+    assert joined.columns == ["prompt_id", *[c for c in features.columns if c != "prompt_id"], "reference"]
+    done = streams.drain_to_parquet(joined.select(*columns), "joined")
+    want = scoring.completion_features(df).join(references, "prompt_id", how)
+    assert sorted(map(str, rounded_all(done, columns))) == sorted(map(str, rounded_all(want, columns)))
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "__salt" in plan
