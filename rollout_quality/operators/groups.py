@@ -36,16 +36,25 @@ def group_advantages(
     hot = hot_keys(scored, key, hot_rows)
     if hot is None:
         return _in_window(scored, key, eps)
-    stored = cut_lineage(scored)
-    flagged = stored.join(F.broadcast(hot.withColumn("__is", F.lit(True))), F.col(key).eqNullSafe(F.col("__hot")), "left")
+    large, usual = _parted(cut_lineage(scored), key, hot)
+    return _in_window(usual, key, eps).unionByName(_in_place(large, key, eps))
+
+
+def _parted(rows: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot prompts, and the others; only keys are compared."""
+    flagged = rows.join(F.broadcast(hot.withColumn("__is", F.lit(True))), F.col(key).eqNullSafe(F.col("__hot")), "left")
     large = flagged.where("__is").drop("__is", "__hot")
+    return large, flagged.where(F.col("__is").isNull()).drop("__is", "__hot")
+
+
+def _in_place(large: DataFrame, key: str, eps: float) -> DataFrame:
+    """Advantages of hot prompts. Their statistics are a pass over (key, reward) of its own and are all that is stored;
+    they come back to the rows as one broadcast row for each of fewer than 10,000 prompts."""
     stats = large.groupBy(F.col(key).alias("__key")).agg(
         F.avg("reward").alias("__mean"), F.stddev_pop("reward").alias("__std")
     )
-    spread = large.join(F.broadcast(stats), F.col(key).eqNullSafe(F.col("__key")))
-    spread = spread.withColumn("advantage", _relative(eps)).drop("__key", *_STATS)
-    usual = flagged.where(F.col("__is").isNull()).drop("__is", "__hot")
-    return _in_window(usual, key, eps).unionByName(spread)
+    spread = large.join(F.broadcast(cut_lineage(stats)), F.col(key).eqNullSafe(F.col("__key")))
+    return spread.withColumn("advantage", _relative(eps)).drop("__key", *_STATS)
 
 
 def group_step(
@@ -61,8 +70,18 @@ def group_step(
     """The completions with their reward and advantage: one row per completion, whatever the size of its group.
 
     `weights`, `soft_k` and `grammar` shape the composite reward; a `reward` of one's own replaces it. For rows
-    that already hold a prompt's completions as an array, see `functions.rewards.group_advantages`.
+    that already hold a prompt's completions as an array, see `functions.rewards.group_advantages`. No text is
+    stored: the completions of hot prompts are read and scored once more for their statistics, so a reward of one's own
+    must give the same value again.
     """
-    fn = reward_of(reward, weights, soft_k, grammar)
-    scored = as_text(completions).withColumn("reward", fn(F.col("completion"), F.col("reference")))
-    return group_advantages(scored, key, eps, hot_rows)
+
+    def scored(texts: DataFrame) -> DataFrame:
+        fn = reward_of(reward, weights, soft_k, grammar)
+        return texts.withColumn("reward", fn(F.col("completion"), F.col("reference")))
+
+    texts = as_text(completions)
+    hot = hot_keys(texts, key, hot_rows)
+    if hot is None:
+        return _in_window(scored(texts), key, eps)
+    large, usual = _parted(texts, key, hot)
+    return _in_window(scored(usual), key, eps).unionByName(_in_place(scored(large), key, eps))

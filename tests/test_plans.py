@@ -99,3 +99,16 @@ def test_answer_is_extracted_once(spark):
 def test_examples_use_a_per_partition_limit(spark):
     text = plan(q.QUERIES["overlap_examples"](spark, DIRECTORY))
     assert "WindowGroupLimit" in text
+
+
+def test_hot_prompts_store_no_text(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(groups, "cut_lineage", lambda df: stored.append(df.columns) or df)
+    texts = derived.completions(spark, DIRECTORY).withColumn("prompt_id", F.col("prompt_id") % 3)
+    got = groups.group_step(texts, hot_rows=10)
+    assert stored == [["__key", "__mean", "__std"]]
+    want = groups.group_step(texts, hot_rows=10**9)
+    columns = ("prompt_id", "gen_idx", "completion", "reward")
+    assert got.columns == want.columns and got.select(*columns).exceptAll(want.select(*columns)).count() == 0
+    gap = got.agg(F.avg(F.abs("advantage"))).first()[0] - want.agg(F.avg(F.abs("advantage"))).first()[0]
+    assert abs(gap) < 1e-9
