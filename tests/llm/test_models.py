@@ -19,6 +19,7 @@ from rollout_quality.llm.common import DOCUMENTS
 from rollout_quality.llm.decontaminate import NGramSet, words
 
 from .conftest import ODD
+from .test_similar import _first_of_groups as first_of_groups
 
 
 def _plain_fingerprint(text):
@@ -252,13 +253,9 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
     rows = cleaned
     assert sorted(tuple(r) for r in out.collect()) == sorted(rows)
 
-    out = stages["simhash_near_dedup"](spark, out, sf_dir)
-    prints = [_plain_fingerprint(r[1]) for r in rows]
-    links = [(i, j) for i, j in combinations(range(len(rows)), 2) if (prints[i] ^ prints[j]).bit_count() <= 4]
-    group, least = _roots(len(rows), links), {}
-    for r, g in zip(rows, group):
-        least[g] = min(least.get(g, r[0]), r[0])
-    rows = [r for r, g in zip(rows, group) if r[0] == least[g]]
+    out = stages["near_dedup"](spark, out, sf_dir)
+    firsts = set(first_of_groups([{"doc_id": r[0], "text": r[1]} for r in rows]))
+    rows = [r for r in rows if r[0] in firsts]
     assert sorted(tuple(r) for r in out.collect()) == sorted(rows)
 
     out = stages["benchmark_decontamination"](spark, out, sf_dir)
