@@ -35,6 +35,7 @@ LONGEST = 4
 SHARDS = 4
 TOP = 2000
 PARTS = 16
+NAMED_SPLITS = 4
 NO_LANG = "und"
 # Words of a coded row, rows of a file, and places collected before they are summed: bounds of a task's memory.
 ROW_WORDS = 1 << 20
@@ -363,8 +364,12 @@ def frequent(corpus: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS
         shard = corpus.where(F.col("shard") == (len(counters.versions) - 1) % shards)
         counters.add(_all(_scan(shard, counters, lengths, shards, s) for s in range(counters.slices)), lengths)
 
+    # A task of several splits sends a phrase on once instead of once for each.
+    splits = corpus.rdd.getNumPartitions()
+    wide = corpus.coalesce(max(corpus.sparkSession.sparkContext.defaultParallelism, splits // NAMED_SPLITS))
+
     def named(these: _Counters, *lengths: int) -> DataFrame:
-        found = _all(_named(corpus, these, s, lengths) for s in range(these.slices))
+        found = _all(_named(wide, these, s, lengths) for s in range(these.slices))
         sums = found.groupBy("lang", "length", "phrase").agg(F.sum("f").alias("f"))
         return store(sums.where(F.col("f") >= threshold), "phrases")
 
