@@ -42,14 +42,14 @@ ROW_WORDS = 1 << 20
 FILE_ROWS = 8
 CHUNK_CHARS = 1 << 22
 HELD_PLACES = 1 << 22
-WORDS_PER_COUNTER = 4
+WORDS_PER_COUNTER = 8
 SEGMENT_BITS = 18
 # Bits of the filter of one scan; with more counters a shard is scanned once for every such slice of them.
 FILTER_BITS = 28
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BREAKS = ".,;:!?\x0b\x0c\r"
-CODED = "lang string, shard int, words array<string>, hashes binary, codes binary, n long"
+CODED = "lang string, shard int, words array<string>, codes binary, n long"
 FOUND = "length int, segment long, n long, steps binary, counts binary"
 STATE = "length int, segment long, counts binary, reached binary, n_reached long"
 
@@ -91,9 +91,7 @@ class _Book:
     def row(self, lang: str, shard: int) -> dict:
         words = [w for w, i in self.numbers.items() if i > 0]
         codes = np.concatenate(self.codes)
-        seed = xxhash.xxh64_intdigest(lang.encode())
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode(), seed) for w in words), np.uint64, len(words))
-        return {"lang": lang, "shard": shard, "words": words, "hashes": hashes.tobytes(), "codes": codes.tobytes(), "n": int((codes > 0).sum())}
+        return {"lang": lang, "shard": shard, "words": words, "codes": codes.tobytes(), "n": int((codes > 0).sum())}
 
 
 def coded(docs: DataFrame, shards: int) -> DataFrame:
@@ -108,7 +106,7 @@ def coded(docs: DataFrame, shards: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             rows = [book.row(lang, shard % shards) for lang, book in books.items()]
             books.clear()
-            kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.int64()]
+            kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in zip(rows[0], kinds)], names=list(rows[0]))
 
         for batch in batches:
@@ -140,18 +138,34 @@ def unsqueezed(raw: bytes, kind: type, size: int) -> np.ndarray:
 # ---- Phrases of a coded row ----------------------------------------------------------------------------------------
 
 
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def word_hashes(words: pa.Array, lang: str) -> np.ndarray:
+    """A number for each (not empty) word of a language, from its bytes by place. Words that share one share counters."""
+    words = pa.concat_arrays([words.cast(pa.large_string())])
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    letters = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]].astype(np.uint64) + np.uint64(1)
+    starts, sizes = ends[:-1] - ends[0], np.diff(ends)
+    powers = np.cumprod(np.full(sizes.max(), 0xC2B2AE3D27D4EB4F, np.uint64))
+    letters *= powers[np.arange(len(letters)) - np.repeat(starts, sizes)]
+    return mixed(np.add.reduceat(letters, starts) ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())))
+
+
 class _Row:
     """Hashes of the phrases that begin at each place; `runs[n]` marks the places with n words in one piece."""
 
-    def __init__(self, hashes: bytes, codes: bytes, longest: int = LONGEST):
+    def __init__(self, words: pa.Array, lang: str, codes: bytes, longest: int = LONGEST):
         self.codes = np.frombuffer(codes, np.int32)
         inside = self.codes > 0
-        one = np.concatenate([[0], np.frombuffer(hashes, np.uint64)]).astype(np.uint64)[self.codes]
+        one = np.concatenate([np.zeros(1, np.uint64), word_hashes(words, lang)])[self.codes]
         self.hashes, self.runs = {1: one}, {1: inside}
         for n in range(2, longest + 1):
-            before = self.hashes[n - 1][:-1]
-            mixed = (before ^ (before >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + one[n - 1 :]
-            self.hashes[n] = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            self.hashes[n] = mixed(mixed(self.hashes[n - 1][:-1]) + one[n - 1 :])
             self.runs[n] = self.runs[n - 1][:-1] & inside[n - 1 :]
 
     def counters(self, n: int, bits: int) -> np.ndarray:
@@ -166,6 +180,14 @@ class Reached:
     first: int
     size: int
 
+    def packed(self) -> tuple:
+        """What travels to the tasks: mostly zeros, and each executor keeps it on its disk."""
+        return {n: (len(b), squeezed(b)) for n, b in self.bits.items()}, self.first, self.size
+
+    @classmethod
+    def unpacked(cls, packed: tuple) -> "Reached":
+        return cls({n: unsqueezed(raw, np.uint8, size) for n, (size, raw) in packed[0].items()}, *packed[1:])
+
     def mine(self, counters: np.ndarray) -> np.ndarray:
         return (counters >= self.first) & (counters < self.first + self.size)
 
@@ -283,16 +305,16 @@ def _scan(shard: DataFrame, counters: _Counters, lengths: list[int], cycle: int,
     """What one scan of a shard counts with the filter of one slice."""
     version = len(counters.versions) - 1
     bits, segment_bits = counters.bits, counters.segment_bits
-    past = counters.reached(version - cycle, slice_) if version >= cycle else None
-    sent = shard.sparkSession.sparkContext.broadcast((counters.reached(version, slice_), past))
+    versions = [version, version - cycle] if version >= cycle else [version]
+    sent = shard.sparkSession.sparkContext.broadcast([counters.reached(v, slice_).packed() for v in versions])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = sent.value
+        now, before = [*map(Reached.unpacked, sent.value), None][:2]
         places: dict[int, list[np.ndarray]] = {n: [] for n in lengths}
         held = 0
         for batch in batches:
-            for hashes, codes in zip(batch["hashes"], batch["codes"]):
-                row = _Row(hashes.as_buffer(), codes.as_buffer(), max(lengths))
+            for words, lang, codes in zip(batch["words"], batch["lang"], batch["codes"]):
+                row = _Row(words.values, lang.as_py(), codes.as_buffer(), max(lengths))
                 for n, found in places.items():
                     at = _active(row, n, bits, now, before)
                     found.append(row.counters(n, bits)[at])
@@ -302,20 +324,20 @@ def _scan(shard: DataFrame, counters: _Counters, lengths: list[int], cycle: int,
                     places, held = {n: [] for n in places}, 0
         yield from _summed(places, segment_bits)
 
-    return shard.select("hashes", "codes").mapInArrow(run, FOUND)
+    return shard.select("lang", "words", "codes").mapInArrow(run, FOUND)
 
 
 def _named(corpus: DataFrame, counters: _Counters, slice_: int, lengths: tuple[int, ...]) -> DataFrame:
     """Phrases by their words: those of a slice whose counter has reached the threshold, counted in every coded row."""
     bits = counters.bits
-    sent = corpus.sparkSession.sparkContext.broadcast(counters.reached(len(counters.versions) - 1, slice_))
+    sent = corpus.sparkSession.sparkContext.broadcast(counters.reached(len(counters.versions) - 1, slice_).packed())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = sent.value
+        reached = Reached.unpacked(sent.value)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = _Row(batch["hashes"][i].as_buffer(), batch["codes"][i].as_buffer(), max(lengths))
                 words, lang = batch["words"][i].values, batch["lang"][i].as_py()
+                row = _Row(words, lang, batch["codes"][i].as_buffer(), max(lengths))
                 for n in lengths:
                     own, at = row.counters(n, bits), np.flatnonzero(row.runs[n])
                     at = at[reached.mine(own[at])]
@@ -332,7 +354,7 @@ def _named(corpus: DataFrame, counters: _Counters, slice_: int, lengths: tuple[i
                     columns = [pa.array([lang] * len(first)), pa.array(np.full(len(first), n, np.int32)), phrases, pa.array(counts.astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(columns, names=["lang", "length", "phrase", "f"])
 
-    return corpus.select("lang", "words", "hashes", "codes").mapInArrow(run, "lang string, length int, phrase string, f long")
+    return corpus.select("lang", "words", "codes").mapInArrow(run, "lang string, length int, phrase string, f long")
 
 
 def _words_of(phrases: DataFrame, counters: _Counters) -> DataFrame:
@@ -341,10 +363,11 @@ def _words_of(phrases: DataFrame, counters: _Counters) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seeds = {lang: xxhash.xxh64_intdigest(lang.encode()) for lang in set(batch["lang"].to_pylist())}
-            words = {(lang, w) for lang, p in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist()) for w in p.split(" ")}
-            places = [xxhash.xxh64_intdigest(w.encode(), seeds[lang]) >> (64 - bits) for lang, w in words]
-            yield from _summed({1: [np.array(places, np.int64)]}, segment_bits)
+            words: dict[str, set[str]] = defaultdict(set)
+            for lang, phrase in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist()):
+                words[lang].update(phrase.split(" "))
+            hashes = [word_hashes(pa.array(sorted(own)), lang) for lang, own in words.items()]
+            yield from _summed({1: [(h >> np.uint64(64 - bits)).astype(np.int64) for h in hashes]}, segment_bits)
 
     return phrases.select("lang", "phrase").mapInArrow(run, FOUND)
 
