@@ -183,6 +183,52 @@ def test_equal_and_missing_keys_keep_their_position_under_any_partitioning(spark
     assert keys[:150] == [None] * 150 and keys[150:] == sorted(keys[150:])
 
 
+def _with_ties(spark, n=400):
+    rng = random.Random(n)
+    words = [None, "", "a", "ab", "é", *(f"w{i}" for i in range(40))]
+    rows = [(7 if i % 3 else None, "a" if i % 2 else "b", rng.choice(words), i) for i in range(n)]
+    rows += [(i, rng.choice(["a", "b", None]), rng.choice(words), i) for i in range(100)] + [(7, "a", "same", 5)] * 30
+    return rows, spark.createDataFrame(rows, "src_id long, split string, word string, n int")
+
+
+@pytest.mark.parametrize("rows_per_bucket", [1_000, 20, 3])
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_hot_keys_follow_the_order_of_the_ties(spark, rows_per_bucket, partitions):
+    rows, df = _with_ties(spark)
+    placed = prepare.index_split(df.repartition(partitions), ties=["word", "n"], rows_per_bucket=rows_per_bucket).collect()
+    for split in ("a", "b", None):
+        # Null first, then by the bytes of the text.
+        own = sorted(
+            (r for r in rows if r[1] == split),
+            key=lambda r: (r[0] is not None, r[0] or 0, r[2] is not None, (r[2] or "").encode(), r[3]),
+        )
+        got = sorted((r["idx"], r["src_id"], r["word"], r["n"]) for r in placed if r["split"] == split)
+        assert got == [(i, r[0], r[2], r[3]) for i, r in enumerate(own)]
+
+
+def test_missing_keys_alone_are_cut_too(spark):
+    df = spark.range(300).select(
+        F.when(F.col("id") >= 200, F.col("id")).alias("src_id"), F.lit("a").alias("split"), F.col("id").alias("n")
+    )
+    plan = prepare.index_split(df, ties=["n"], rows_per_bucket=20)
+    assert [r["n"] for r in plan.orderBy("idx").collect()] == list(range(300))
+    assert [r["idx"] for r in plan.orderBy("idx").collect()] == list(range(300))
+
+
+def test_one_key_on_a_third_of_the_rows_fills_no_single_window(spark, monkeypatch):
+    kept = {}
+    store = indexing.write_and_reread
+    monkeypatch.setattr(indexing, "write_and_reread", lambda df, name: kept.setdefault(name, store(df, name)))
+    df = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 10).cast("long").alias("src_id"),
+        F.lit("a").alias("split"), (F.col("id") % 5).cast("string").alias("word"),
+    )
+    placed = indexing.with_position(df, "src_id", ties=["word"], rows_per_bucket=200)
+    assert placed.agg(F.countDistinct("idx"), F.max("idx")).first()[:] == (9_000, 8_999)
+    sizes = [r["count"] for r in kept["ranges"].groupBy("__part").count().collect()]
+    assert sum(sizes) == 3_000 and max(sizes) <= 600
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "src_id long, split string")
     assert indexing.with_position(df, "src_id").count() == 0
