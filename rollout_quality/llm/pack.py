@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rollout_quality.llm.common import ready, store
 from rollout_quality.llm.tokens import WORD_BPE, encode
@@ -107,7 +107,8 @@ def plan(tokens: list[int], weights: list[int], length: int = LENGTH) -> Schedul
 
 
 def tokenized(docs: DataFrame, file: str = WORD_BPE, end: int = END) -> DataFrame:
-    """A stored table: doc_id, source, part, start (tokens of the same source and part before it), n, ids."""
+    """A stored table: doc_id (as text: beside nulls pandas would round it), source, part, start (tokens of the same
+    source and part before it), n, ids."""
     ready(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,8 +126,9 @@ def tokenized(docs: DataFrame, file: str = WORD_BPE, end: int = END) -> DataFram
                 {"doc_id": frame["doc_id"], "source": frame["source"], "part": part, "start": starts, "n": counts, "ids": coded}
             )
 
-    schema = "doc_id long, source string, part long, start long, n long, ids binary"
-    return store(docs.select("doc_id", "source", "text").mapInPandas(run, schema), "tokens")
+    schema = "doc_id string, source string, part long, start long, n long, ids binary"
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "source", "text")
+    return store(named.mapInPandas(run, schema), "tokens")
 
 
 def _queues(sums: DataFrame, length: int, weights: dict | None) -> tuple[list, list[int], list[int]]:
@@ -164,16 +166,15 @@ def pack(
     sums = coded.groupBy("part", "source").agg(F.sum("n").alias("n"))
     sums = store(sums, "queue-sums")
     names, tokens, shares = _queues(sums, length, weights)
-    rest = len(names)
-    number = F.lit(rest)
-    for q, name in enumerate(names):
-        number = F.when(F.col("source").eqNullSafe(F.lit(name)), q).otherwise(number)
-    return _place(coded, sums, number, plan(tokens, shares, length))
+    # At most `length` rows; sources without one share the last queue.
+    queue_of = docs.sparkSession.createDataFrame([(n, q) for q, n in enumerate(names)], "own string, queue long")
+    queued = sums.join(F.broadcast(queue_of), F.col("source").eqNullSafe(F.col("own")), "left").drop("own")
+    queued = queued.fillna(len(names), ["queue"])
+    return _place(coded, queued, plan(tokens, shares, length))
 
 
-def _place(coded: DataFrame, sums: DataFrame, number: Column, schedule: Schedule) -> DataFrame:
+def _place(coded: DataFrame, queued: DataFrame, schedule: Schedule) -> DataFrame:
     """Where every (part, source) begins in its queue, then the pieces of every document."""
-    queued = sums.withColumn("queue", number)
     inside = Window.partitionBy("queue", "part").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = queued.groupBy("queue", "part").agg(F.sum("n").alias("all"))
@@ -197,5 +198,5 @@ def _place(coded: DataFrame, sums: DataFrame, number: Column, schedule: Schedule
             out["doc_id"] = ids_of.take(out["doc_id"]).to_numpy() if len(out) else []
             yield out
 
-    schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return found.mapInPandas(cut, schema)
+    schema = "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+    return found.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -1,6 +1,7 @@
 """Operators on whole rows: sharding, packing, line and exact deduplication, decontamination."""
 
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -52,6 +53,48 @@ def test_packing_odd_rows(odd, empty):
     assert pack.pack(empty).count() == 0
 
 
+@pytest.mark.parametrize("sources", [1_500, 10_000])
+def test_packing_many_sources(spark, sources):
+    docs = spark.range(2 * sources).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % sources).alias("source"), F.lit("a bee").alias("text")
+    )
+    got = pack.pack(docs, weights={"s0": 0.5}).toPandas()
+    _check_packed(got, 4096)
+    assert got.groupby("doc_id")["length"].sum().eq(got.groupby("doc_id")["doc_tokens"].first()).all()
+    assert got["doc_id"].nunique() == 2 * sources
+
+
+def test_packing_keeps_ids_beside_nulls(spark):
+    ids = [2**60 + 1, None, -(2**60) - 1]
+    docs = spark.createDataFrame([(i, "a b", "s") for i in ids], "doc_id long, text string, source string").coalesce(1)
+    got = [r["doc_id"] for r in pack.pack(docs).collect()]
+    assert sorted(got, key=str) == sorted(ids, key=str)
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_plan_equals_plain_round_robin(seed):
+    """Window after window: what a queue and those before it are owed grows by their share of a window, whole tokens
+    are taken, and the fraction is carried."""
+    rng = np.random.default_rng(seed)
+    tokens = [int(t) for t in rng.integers(1_000, 9_000, rng.integers(2, 7))]
+    length, total = 100, sum(tokens)
+    owed, windows = [Fraction(0)] * len(tokens), []
+    for _ in range(total // length):
+        upto = []
+        for q in range(len(tokens)):
+            owed[q] += Fraction(sum(tokens[: q + 1]) * length, total)
+            upto.append(int(owed[q]))
+            owed[q] -= upto[-1]
+        windows.append(np.diff([0, *upto]))
+    made, got = pack.plan(tokens, tokens, length), np.zeros((total // length + 3, len(tokens)), int)
+    for q, count in enumerate(tokens):
+        for _, n, window, _ in made.pieces(q, 0, count):
+            got[window, q] += n
+    full = made.phases[1].first if len(made.phases) > 1 else len(windows)
+    assert full >= len(windows) - 2 and (got[:full] == np.array(windows[:full])).all()
+    assert got.sum(0).tolist() == tokens
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_plan_gives_every_token_a_place(seed):
     rng = np.random.default_rng(seed)
