@@ -44,6 +44,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return new_folder(spark, f"llm-{name}")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A working name that no column of the table has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

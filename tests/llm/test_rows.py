@@ -140,6 +140,41 @@ def test_lines(spark, odd, empty):
     assert lines.drop_boilerplate(empty).count() == 0
 
 
+NAMES = ["__drop", "__host", "__kept", "__h", "__k", "__hot", "__salt", "__N_dropped"]
+
+
+def test_lines_with_clashing_names(odd):
+    plain = lines.drop_boilerplate(odd, max_ratio=0.3, min_pages=2).select("doc_id", "text", "__n_lines", "__n_dropped")
+    named = lines.drop_boilerplate(odd.withColumns({n: F.lit("mine") for n in NAMES}), max_ratio=0.3, min_pages=2)
+    assert named.columns == [*odd.columns, *NAMES[:-1], "__n_lines", "__n_dropped"]
+    assert all(r[:] == ("mine",) * 7 for r in named.select(*NAMES[:-1]).collect())
+    assert sorted(map(str, named.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10**6])
+def test_lines_whose_lists_are_too_large_to_broadcast(spark, sf_dir, monkeypatch, hot_rows):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("__salt", F.lit(1))
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("source")))
+    want = lines.drop_boilerplate(docs, max_ratio=0.02, min_pages=2)
+    plan = want._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    wanted = sorted(map(str, want.collect()))
+    monkeypatch.setattr(lines, "may_broadcast", lambda df: False)
+    monkeypatch.setattr(lines._with_lists, "__defaults__", (hot_rows,))
+    assert sorted(map(str, lines.drop_boilerplate(docs, max_ratio=0.02, min_pages=2).collect())) == wanted
+    assert any("__n_dropped=0" not in r for r in wanted)
+
+
+def test_hot_hosts_are_dealt_over_salts(spark):
+    pages = spark.range(20_000).select(F.lit("hot").alias("source"), F.lit("a").alias("text"), F.lit(1).alias("__salt"))
+    drop = spark.createDataFrame([("hot", ["x"])], "own string, listed array<string>").hint("merge")
+    joined = lines._with_lists(pages, "source", drop, "own", 100)
+    assert joined.count() == 20_000 and joined.columns == ["source", "text", "__salt", "listed"]
+    assert joined.filter("listed[0] = 'x'").count() == 20_000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in plan
+
+
 def _exact(spark, frame, tmp_path, **options):
     path = str(tmp_path / "docs")
     frame.repartition(3).write.parquet(path)
