@@ -371,6 +371,10 @@ def oracles() -> dict[str, str]:
         "load_qa_counts": sql((QA,), "SELECT split, count(*) AS n_rows FROM qa GROUP BY split"),
         "index_split": _INDEX,
         "index_split_bucketed": _INDEX,
+        "index_split_ties": """WITH sized AS (
+              SELECT doc_id, lang AS split, CAST(length(CAST(n_chars AS VARCHAR)) AS BIGINT) AS size_class FROM documents)
+            SELECT doc_id, split, size_class, row_number() OVER (
+              PARTITION BY split ORDER BY size_class NULLS FIRST, doc_id NULLS FIRST) - 1 AS idx FROM sized""",
         "parse_solutions": sql(
             _QA_ONLY,
             """SELECT src_id, reference_solution, reference_answer, parse_error AS error, parse_code AS error_code

@@ -319,6 +319,16 @@ def index_split_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("src_id", "split", "idx")
 
 
+@query
+def index_split_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few keys with very many rows each, in an order of the caller's: positions from stored ranges."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    digits = F.length(F.col("n_chars").cast("string")).cast("long")
+    rows = documents.select("doc_id", F.col("lang").alias("split"), digits.alias("size_class"))
+    placed = prepare.index_split(rows, "size_class", ties=["doc_id"], rows_per_bucket=200)
+    return placed.select("doc_id", "split", "size_class", "idx")
+
+
 @query
 def parse_solutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = prepare.parse_solutions(derived.qa_raw(spark, sf_dir))
