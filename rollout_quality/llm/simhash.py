@@ -40,14 +40,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     width = min(shingle, len(parts))
-    starts, ends = starts[: len(parts) - width + 1].tolist(), ends[width - 1 :].tolist()
-    count, ones, digest = len(starts), np.zeros(64, np.int64), xxhash.xxh64_intdigest
-    for at in range(0, count, CHUNK):
-        pairs = zip(starts[at : at + CHUNK], ends[at : at + CHUNK])
-        hashes = np.array([digest(line[s:e], SEED) for s, e in pairs], np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    digest, count = xxhash.xxh64_intdigest, len(parts) - width + 1
+    pairs = zip(starts[:count].tolist(), ends[width - 1 :].tolist())
+    return majority(np.fromiter((digest(line[s:e], SEED) for s, e in pairs), np.uint64, count))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bits set in over half of the hashes; zero if there are none."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        bits = np.unpackbits(hashes[at : at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > count, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

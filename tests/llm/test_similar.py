@@ -66,3 +66,44 @@ def test_family_that_nearly_meets_the_bar(spark):
     want = _first_of_groups([{"doc_id": i, "text": t} for i, t in rows])
     assert largest > 50 and 30 < len(want) < 200, (largest, len(want))
     assert sorted(r["doc_id"] for r in similar.keep_first(docs).collect()) == want
+
+
+def test_fingerprints_propose_pairs(spark):
+    """Near texts within four bits are proposed by SimHash, also without any band; other sizes are not."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), " ".join(words[:-1]), " ".join(words[:200]), "other words that stand alone in this place", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = similar._prints(docs, 5)
+    nodes = prints.withColumnRenamed("doc_id", "first")
+    ids = {r["node"]: r["doc_id"] for r in prints.collect()}
+    pairs = [tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in similar.close_prints(nodes).collect()]
+    assert pairs == [(0, 1)]
+    bandless = nodes.withColumn("keys", F.array(F.col("first")))
+    links = similar._verified(docs, bandless, similar.close_prints(bandless), 0.8, 5)
+    assert [tuple(sorted((ids[r["u"]], ids[r["v"]]))) for r in links.collect()] == [(0, 1)]
+
+
+def test_large_bands_are_compared_in_blocks(spark, monkeypatch):
+    """Nodes of a band that are in different groups meet in blocks; what comes back are fewer links than nodes."""
+    monkeypatch.setattr(similar, "BLOCK_NODES", 7)
+    monkeypatch.setattr(similar, "BLOCK_ITEMS", 3000)
+    rng, base = random.Random(5), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        words = base[: 150 - i % 9 * 8]
+        for at in rng.sample(range(len(words)), rng.choice([1, 2, 3, 6])):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # One band for all, and no group yet.
+    nodes = similar._prints(docs, 5).withColumnRenamed("doc_id", "first").withColumn("keys", F.array(F.lit(1).cast("long")))
+    none = nodes.select("node", F.col("node").alias("root")).limit(0)
+    links = similar.apart(docs, nodes, none).collect()
+    ids = {r["node"]: r["first"] for r in nodes.collect()}
+    root = list(range(60))
+    for u, v in ((ids[r["u"]], ids[r["v"]]) for r in links):
+        assert len(_set(rows[u][1]) & _set(rows[v][1])) >= 0.8 * len(_set(rows[u][1]) | _set(rows[v][1]))
+        a, b = root[u], root[v]
+        root = [min(a, b) if r in (a, b) else r for r in root]
+    want = _first_of_groups([{"doc_id": i, "text": t} for i, t in rows])
+    assert sorted(set(root)) == want and 1 < len(want) < 60
