@@ -149,7 +149,7 @@ def split_report(processed: DataFrame, splits: Sequence[str], max_prompt_length:
 
 def dataset_summary(records: DataFrame) -> DataFrame:
     """Row count, columns and the first record (by index) of every split; reads stored `records` twice, first
-    only their indices."""
+    only their indices. The few rows found are exchanged, so that a writer of one file does not scan all records."""
     firsts = cut_lineage(
         records.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"))
     )
@@ -167,4 +167,5 @@ def dataset_summary(records: DataFrame) -> DataFrame:
             F.col("first.reference_answer").alias("first_answer"),
             F.col("first.difficulty").alias("first_difficulty"),
         )
+        .repartition("split")
     )

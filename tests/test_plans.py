@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from rollout_quality.operators import groups, prepare, scoring
+from rollout_quality.operators import groups, prepare, report, scoring
 from rollout_quality.plans.evaluate import score_against
 from rollout_quality.queries import spark as q
 from rollout_quality.sources import derived, tables
@@ -112,3 +112,11 @@ def test_hot_prompts_store_no_text(spark, monkeypatch):
     assert got.columns == want.columns and got.select(*columns).exceptAll(want.select(*columns)).count() == 0
     gap = got.agg(F.avg(F.abs("advantage"))).first()[0] - want.agg(F.avg(F.abs("advantage"))).first()[0]
     assert abs(gap) < 1e-9
+
+
+def test_the_summary_of_a_build_is_not_read_by_the_task_that_writes_it(spark):
+    """The written report is one file: what it holds must reach its task by an exchange, not by a scan of all records."""
+    records = prepare.trainer_view(prepare.process_split(derived.qa_raw(spark, DIRECTORY)))
+    text = plan(report.dataset_summary(records).coalesce(1))
+    assert "Coalesce 1" in text and "REPARTITION_BY_COL" in text
+    assert text.index("REPARTITION_BY_COL") < text.index("Join")
