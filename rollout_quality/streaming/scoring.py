@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -65,8 +65,11 @@ class StreamedAdvantages(NamedTuple):
     closed: DataFrame
 
 
-# What the state of a prompt holds: the members of its open group, or that it was emitted.
-_OPEN = "gen_idx array<int>, reward array<double>, emitted boolean"
+# Prompts whose ids differ in the last bits alone share a state and a call of Python: at most 64 of them, however many
+# prompts there are. Ids that lie far apart have a state each.
+_SHARED_BITS = 6
+# What such a state holds: the members of open groups, and the prompts that were emitted.
+_OPEN = "prompt_id array<long>, gen_idx array<int>, reward array<double>, emitted array<long>"
 # `arrived`: the row came in this trigger. `out`: it belongs to a group that is emitted in this trigger.
 _PASSED = T.StructType(
     [
@@ -78,56 +81,61 @@ _PASSED = T.StructType(
 
 
 def _filling(group_size: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    """Pass on what arrives of a prompt, and the members held for it once its group is full.
+    """Pass on what arrives of the prompts that share a state, and the members held for a prompt once its group is full.
 
-    A full group lets all further rows of its trigger through, so no more than `group_size` members are held,
-    in memory or in the state, however many rows a prompt has. Rewards and positions may be missing.
+    A full group lets all further rows of its trigger through, so no more than `group_size` members are held of a
+    prompt, in memory or in the state, however many rows it has. Prompts, rewards and positions may be missing.
     """
 
+    def known(values: pd.Series) -> list:
+        return [None if v is None or v != v else v for v in values.tolist()]
+
+    def rows(found: list[tuple]) -> Iterator[pd.DataFrame]:
+        if found:
+            prompts, indexes, rewards, arrived, out = zip(*found)
+            yield pd.DataFrame(
+                {
+                    "prompt_id": pd.array(prompts, "Int64"),
+                    "gen_idx": pd.array([None if g is None else int(g) for g in indexes], "Int32"),
+                    "reward": pd.array(rewards, "object"),
+                    "arrived": arrived,
+                    "out": out,
+                }
+            )
+
     def step(key: tuple, arrivals: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def rows(members: Iterable[tuple], arrived: bool, out: bool) -> Iterator[pd.DataFrame]:
-            found = list(members)
-            if found:
-                yield pd.DataFrame(
-                    {
-                        "prompt_id": pd.array([key[0]] * len(found), "Int64"),
-                        "gen_idx": pd.array([m[0] for m in found], "Int32"),
-                        "reward": pd.array([m[1] for m in found], "object"),
-                        "arrived": arrived,
-                        "out": out,
-                    }
-                )
-
-        indexes, rewards, emitted = state.get if state.exists else ([], [], False)
-        held = dict(zip(indexes, rewards))
-        fresh: list[tuple] = []
-        known, full = set(held), False
+        prompts, indexes, rewards, emitted = state.get if state.exists else ([], [], [], [])
+        held: dict[int | None, dict] = {}
+        for p, g, r in zip(prompts, indexes, rewards):
+            held.setdefault(p, {})[g] = r
+        before, full = set(emitted), set()
+        fresh: dict[int | None, list[tuple]] = {}
+        seen: dict[int | None, set] = {}
         for frame in arrivals:
-            members = [
-                (None if pd.isna(g) else int(g), None if r is None or r != r and pd.isna(r) else float(r))
-                for g, r in zip(frame["gen_idx"], frame["reward"])
-            ]
-            if emitted or full:
-                yield from rows(members, True, full)
-                continue
-            fresh += members
-            known |= {g for g, _ in members}
-            if len(known) >= group_size:
-                full = True
-                yield from rows(held.items(), False, True)
-                # A position that is held already is a replay: it arrived, but is not let out again.
-                yield from rows([m for m in fresh if m[0] in held], True, False)
-                yield from rows([m for m in fresh if m[0] not in held], True, True)
-        if emitted:
-            return
-        if full:
-            state.update(([], [], True))
-            return
-        yield from rows(fresh, True, False)
-        # Of equal positions the smallest reward comes first, a missing one last.
-        for g, r in sorted(fresh, key=lambda m: (m[1] is None, m[1] != m[1], m[1] or 0.0)):
-            held.setdefault(g, r)
-        state.update((list(held), list(held.values()), False))
+            found = []
+            for p, g, r in zip(known(frame["prompt_id"]), known(frame["gen_idx"]), known(frame["reward"])):
+                if p in before:
+                    found.append((p, g, r, True, False))
+                elif p in full:
+                    # A position that was held already is a replay: it arrived, but is not let out again.
+                    found.append((p, g, r, True, g not in held.get(p, ())))
+                else:
+                    fresh.setdefault(p, []).append((g, r))
+                    seen.setdefault(p, set(held.get(p, ()))).add(g)
+                    if len(seen[p]) >= group_size:
+                        full.add(p)
+                        own = held.get(p, {})
+                        found += [(p, g, r, False, True) for g, r in own.items()]
+                        found += [(p, g, r, True, g not in own) for g, r in fresh.pop(p)]
+            yield from rows(found)
+        yield from rows([(p, g, r, True, False) for p, members in fresh.items() for g, r in members])
+        for p, members in fresh.items():
+            # Of equal positions the smallest reward comes first, a missing one last.
+            for g, r in sorted(members, key=lambda m: (m[1] is None, m[1] or 0.0)):
+                held.setdefault(p, {}).setdefault(g, r)
+        kept = [(p, g, r) for p, own in held.items() if p not in full for g, r in own.items()]
+        prompts, indexes, rewards = ([m[k] for m in kept] for k in range(3))
+        state.update((prompts, [None if g is None else int(g) for g in indexes], rewards, [*emitted, *full]))
 
     return step
 
@@ -140,8 +148,8 @@ def stream_advantages(scored: DataFrame, group_size: int, eps: float = EPSILON)
     went on growing after they were emitted. It equals the batch result. A (prompt_id, gen_idx) that arrives again
     is a replay: the first arrival counts, and of several in one trigger that with the smallest reward.
 
-    The members of open groups, and of every other prompt that it was emitted, are state by prompt on disk, so a
-    trigger reads its arrivals and the open groups they belong to, whatever came before. The rows that arrived and were
+    The members of open groups, and of every other prompt that it was emitted, are state on disk, by at most 64 prompts of
+    adjacent ids, so a trigger reads its arrivals and the states they belong to, whatever came before. The rows that arrived and were
     emitted are tables with a folder for each trigger, which a repeated trigger writes anew.
     """
     if group_size < 1:
@@ -157,7 +165,8 @@ def stream_advantages(scored: DataFrame, group_size: int, eps: float = EPSILON)
         group_advantages(members, eps=eps).write.mode("overwrite").parquet(f"{out}/emitted/batch={batch_id}")
 
     narrow = scored.select("prompt_id", F.col("gen_idx").cast("int"), F.col("reward").cast("double"))
-    filled = narrow.groupBy("prompt_id").applyInPandasWithState(
+    shared = F.shiftright(F.col("prompt_id").cast("long"), _SHARED_BITS)
+    filled = narrow.withColumn("__shared", shared).groupBy("__shared").applyInPandasWithState(
         _filling(group_size), _PASSED, _OPEN, "append", GroupStateTimeout.NoTimeout
     )
     with disk_state(spark):

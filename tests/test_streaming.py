@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,36 @@ def test_references_too_large_to_broadcast(spark, tmp_path, monkeypatch, how):
     assert sorted(map(str, rounded_all(done, columns))) == sorted(map(str, rounded_all(want, columns)))
     plan = joined._jdf.queryExecution().analyzed().toString()
     assert "__salt" in plan
+
+
+class _State:
+    """What a step sees of its state."""
+
+    def __init__(self):
+        self.get, self.exists = None, False
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+
+def test_prompts_share_a_call():
+    """One call settles all prompts of a state: groups that fill, stay open, were emitted, and replays."""
+    step, state = streams._filling(3), _State()
+
+    def trigger(*frames):
+        columns = ["prompt_id", "gen_idx", "reward"]
+        out = list(step((0,), iter([pd.DataFrame(f, columns=columns) for f in frames]), state))
+        return {tuple(None if pd.isna(v) else v for v in r) for f in out for r in f.itertuples(index=False)}
+
+    assert trigger([(1, 0, 0.5), (2, 0, 1.0), (1, 1, 0.25)], [(2, 0, 0.75)]) == {
+        (1, 0, 0.5, True, False), (1, 1, 0.25, True, False), (2, 0, 0.75, True, False), (2, 0, 1.0, True, False)
+    }
+    assert trigger([(1, 0, 9.0), (1, 2, 0.1)], [(2, 1, 0.2), (1, 1, 9.0), (1, 3, 0.3)]) == {
+        (1, 0, 0.5, False, True), (1, 0, 9.0, True, False), (1, 1, 0.25, False, True), (1, 1, 9.0, True, False),
+        (1, 2, 0.1, True, True), (1, 3, 0.3, True, True), (2, 1, 0.2, True, False),
+    }
+    assert state.get == ([2, 2], [0, 1], [0.75, 0.2], [1])
+    assert trigger([(1, 4, 0.4), (2, None, None)]) == {
+        (1, 4, 0.4, True, False), (2, 0, 0.75, False, True), (2, 1, 0.2, False, True), (2, None, None, True, True)
+    }
+    assert state.get == ([], [], [], [1, 2])
