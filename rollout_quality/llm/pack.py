@@ -20,9 +20,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rollout_quality.llm.common import ready, store
 from rollout_quality.llm.tokens import WORD_BPE, encode
+from rollout_quality.session import is_small
 
 LENGTH = 4096
 END = 2
+# Starts of (part, source) that are broadcast, at most; beyond, the tokens are shuffled to meet them.
+BROADCAST_STARTS = 100_000
 
 
 @dataclass
@@ -170,11 +173,12 @@ def pack(
     queue_of = docs.sparkSession.createDataFrame([(n, q) for q, n in enumerate(names)], "own string, queue long")
     queued = sums.join(F.broadcast(queue_of), F.col("source").eqNullSafe(F.col("own")), "left").drop("own")
     queued = queued.fillna(len(names), ["queue"])
-    return _place(coded, queued, plan(tokens, shares, length))
+    return _place(coded, sums, queued, plan(tokens, shares, length))
 
 
-def _place(coded: DataFrame, queued: DataFrame, schedule: Schedule) -> DataFrame:
-    """Where every (part, source) begins in its queue, then the pieces of every document."""
+def _place(coded: DataFrame, sums: DataFrame, queued: DataFrame, schedule: Schedule) -> DataFrame:
+    """Where every (part, source) begins in its queue, then the pieces of every document. The tokens stay where they
+    are while the starts are few."""
     inside = Window.partitionBy("queue", "part").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = queued.groupBy("queue", "part").agg(F.sum("n").alias("all"))
@@ -183,6 +187,8 @@ def _place(coded: DataFrame, queued: DataFrame, schedule: Schedule) -> DataFrame
     starts = starts.select(
         F.col("part").alias("p"), F.col("source").alias("s"), "queue", (F.col("before") + F.col("within")).alias("base")
     )
+    if is_small(sums, BROADCAST_STARTS):  # a row for each of its rows
+        starts = F.broadcast(starts)
     found = coded.join(starts, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
     found = found.select("doc_id", "queue", (F.col("base") + F.col("start")).alias("at"), "n", "ids")
 

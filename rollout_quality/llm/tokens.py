@@ -11,6 +11,7 @@ from functools import cache
 import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
+# Words that a worker process remembers, at most: two generations of half as many.
 CACHE_WORDS = 400_000
 LONGEST_CACHED = 64
 
@@ -38,15 +39,19 @@ _SIGNS = _byte_signs()
 class _Words(dict):
     """Word -> ids as bytes. Words seen since the cache was last halved, backed by those before."""
 
-    def __init__(self, file: str, before: dict):
+    def __init__(self, file: str):
         super().__init__()
-        self.coder, self.before = tokenizer(file), before
+        self.coder, self.before = tokenizer(file), {}
+        self.pieces = self.coder.model.tokenize
 
     def __missing__(self, word: str) -> bytes:
         coded = self.before.get(word)
         if coded is None:
             coded = self._encode(word)
         if len(word) <= LONGEST_CACHED:
+            if 2 * len(self) >= CACHE_WORDS:
+                self.before = dict(self)
+                self.clear()
             self[word] = coded
         return coded
 
@@ -56,7 +61,7 @@ class _Words(dict):
             # A word of letters is one piece of the model, if normalising leaves it alone.
             if low == word and (word.isascii() or unicodedata.is_normalized("NFC", word)):
                 piece = word if word.isascii() else "".join(map(_SIGNS.__getitem__, word.encode()))
-                return array("I", [t.id for t in self.coder.model.tokenize(piece)]).tobytes()
+                return array("I", [t.id for t in self.pieces(piece)]).tobytes()
             if low != word and low.isalpha() and "Σ" not in word:
                 return self[low]
         body = word.rstrip(string.punctuation)
@@ -75,8 +80,8 @@ def encode(texts: list[str | None], file: str = WORD_BPE) -> list[np.ndarray]:
     A text is then the sequence of its words, and words that were seen before are looked up.
     """
     known = _known.get(file)
-    if known is None or len(known) > CACHE_WORDS:
-        known = _known[file] = _Words(file, dict(known or {}))
+    if known is None:
+        known = _known[file] = _Words(file)
     found = []
     for text in texts:
         words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")

@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rollout_quality.llm import decontaminate, exact, lines, pack, shard
+from rollout_quality.llm import decontaminate, exact, lines, pack, shard, tokens
 from rollout_quality.llm.common import DOCUMENTS
 from rollout_quality.llm.tokens import encode, tokenizer
 
@@ -71,6 +71,32 @@ def test_packing_keeps_ids_beside_nulls(spark):
     assert sorted(got, key=str) == sorted(ids, key=str)
 
 
+def test_packing_leaves_tokens_where_they_are(spark, odd, monkeypatch):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = pack.pack(odd, length=64)
+        assert "hashpartitioning(part#" not in few._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(pack, "BROADCAST_STARTS", 0)
+        many = pack.pack(odd, length=64)
+        assert "hashpartitioning(part#" in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 100)
+    monkeypatch.setattr(tokens, "_known", {})
+    text = " ".join(w for i in range(1000) for w in (f"w{i}", f"Ab{chr(97 + i % 26)}é,", "the"))
+    got = [encode([text, "the w1"]), encode(["the Abaé, w999"])]
+    known = tokens._known[tokens.WORD_BPE]
+    assert len(known) + len(known.before) <= 100
+    coder = tokenizer(tokens.WORD_BPE)
+    want = [coder.encode(t, add_special_tokens=False).ids for t in (text, "the w1", "the Abaé, w999")]
+    assert [ids.tolist() for one in got for ids in one] == want
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_plan_equals_plain_round_robin(seed):
     """Window after window: what a queue and those before it are owed grows by their share of a window, whole tokens
