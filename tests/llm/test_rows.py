@@ -97,6 +97,33 @@ def test_remembered_words_are_bounded(monkeypatch):
     assert [ids.tolist() for one in got for ids in one] == want
 
 
+def test_forms_of_a_word_are_looked_up_once(monkeypatch):
+    """Case and signs behind a word made forms of their own, each encoded and remembered."""
+    monkeypatch.setattr(tokens, "_known", {})
+    words = [f"{chr(97 + i)}ondé" for i in range(26)]
+    texts = [f"{w} {w.title()} {w.upper()} {w}, {w}. {w.title()}! ({w}) {w}\n{w}" for w in words]
+    got = encode(texts)
+    assert [ids.tolist() for ids in got] == [tokenizer(tokens.WORD_BPE).encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(tokens._known[tokens.WORD_BPE]) <= len(words) + 2 * len(words)  # "(word", ")" and the like beside them
+
+
+def test_texts_that_go_together_equal_the_tokenizer(monkeypatch):
+    coder, rng = tokenizer(tokens.WORD_BPE), np.random.default_rng(5)
+    plain = [c for c in map(chr, range(0x2100)) if tokens._PLAIN.fullmatch(c)]
+    odd = ["<|endoftext|>", "<|ENDOFTEXT|>", "J\u030c", "e\u0301", "ª", "º", "µ", "İst", "ŉ", "ΣΑΣ", "\u00a0", "\u2028", "×", "日本", "'s", "'S", "l'M", "²"]
+    texts = [f"A{c}B {c}x x{c}, ({c}{c}) 1{c}2'{c}s" for c in plain + odd]
+    texts += ["".join(rng.choice(plain + [" "] * 300, 200)) for _ in range(50)] + ["", None, " ", "\n\t \r", "x", "."]
+    texts += ["".join(rng.choice(plain + odd + [" "] * 300, 200)) for _ in range(50)]
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    want = [coder.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for most in (0, 50, 1 << 19):  # no text, some texts, all texts but the odd ones in groups
+        monkeypatch.setattr(tokens, "GROUP_CHARS", most)
+        monkeypatch.setattr(tokens, "_known", {})
+        got = encode(texts)
+        assert [(t, ids.tolist()) for t, ids in zip(texts, got)] == list(zip(texts, want))
+        assert all(ids.dtype == np.dtype("<u4") for ids in got)
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_plan_equals_plain_round_robin(seed):
     """Window after window: what a queue and those before it are owed grows by their share of a window, whole tokens
