@@ -205,46 +205,80 @@ def fresh_weights() -> dict[str, np.ndarray]:
 
 
 # Which of the TARGETS last positions each of them does not see yet; all see the context before them.
-_FUTURE = np.where(np.tri(TARGETS, dtype=bool), np.float32(0), np.float32(-1e9))
+_FUTURE = np.concatenate([np.zeros((TARGETS, CONTEXT)), np.where(np.tri(TARGETS, dtype=bool), 0, -1e9)], axis=1).astype(np.float32)
 _SCALE = np.float32(WIDTH**-0.5)
 
 
+def _flat(m: np.ndarray) -> np.ndarray:
+    return m.reshape(-1, m.shape[-1])
+
+
+def _crossed(m: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """m' d of two tall arrays, in blocks that stay in the cache."""
+    blocks = lambda one: one.reshape(-1, 4 * TARGETS if len(one) % (4 * TARGETS) == 0 else TARGETS, one.shape[1])
+    return (blocks(m).transpose(0, 2, 1) @ blocks(d)).sum(0)
+
+
+def _folded(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Queries against keys, last Wq (x Wk)' = last (Wq Wk') x', and values into the output, a (x Wv) Wo = (a x) (Wv Wo):
+    the products of weights save the products of places."""
+    return w["q"] @ w["k"].T * _SCALE, w["v"] @ w["o"]
+
+
 def forward(w: dict[str, np.ndarray], units: np.ndarray) -> tuple:
     """Class corrections for the TARGETS last positions of windows of SPAN - 1 units, and what backward() needs."""
+    meet, join = _folded(w)
     x = np.take(w["embed"], units, axis=0)
     x += w["place"]
-    last = x[:, CONTEXT:]
-    q, k, v = last @ (w["q"] * _SCALE), x @ w["k"], x @ w["v"]
-    a = q @ k.transpose(0, 2, 1)
-    a[:, :, CONTEXT:] += _FUTURE
-    np.exp(np.minimum(a, LARGEST, out=a), out=a)
-    total = a @ np.ones((SPAN - 1, 1), np.float32)
-    mixed = a @ v
-    mixed /= total
-    h = mixed @ w["o"]
+    last = _flat(x[:, CONTEXT:])
+    q = (last @ meet).reshape(-1, TARGETS, WIDTH)
+    a = q @ x.transpose(0, 2, 1)
+    a += _FUTURE
+    np.exp(np.clip(a, -np.inf, LARGEST, out=a), out=a)
+    share = np.repeat(1 / (_flat(a) @ np.ones(SPAN - 1, np.float32)), WIDTH).reshape(-1, WIDTH)
+    mixed = _flat(a @ x)
+    mixed *= share
+    h = mixed @ join
     h += last @ w["own"]
     h /= np.abs(h) + np.float32(1)
-    return h @ w["out"], (x, last, q, k, v, a, total, mixed, h)
-
-
-def backward(w: dict[str, np.ndarray], units: np.ndarray, kept: tuple, d_out: np.ndarray) -> dict[str, np.ndarray]:
-    x, last, q, k, v, a, total, mixed, h = kept
-    a = a / total
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"out": flat(h).T @ flat(d_out)}
-    pre = (d_out @ w["out"].T) * (1 - np.abs(h)) ** 2
-    g["o"], g["own"] = flat(mixed).T @ flat(pre), flat(last).T @ flat(pre)
-    d_mixed, d_last = pre @ w["o"].T, pre @ w["own"].T
-    d_a, d_v = d_mixed @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ d_mixed
-    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True))
-    d_q, d_k = d_s @ k * _SCALE, d_s.transpose(0, 2, 1) @ q
-    g["q"], g["k"], g["v"] = flat(last).T @ flat(d_q), flat(x).T @ flat(d_k), flat(x).T @ flat(d_v)
-    d_x = d_k @ w["k"].T + d_v @ w["v"].T
-    d_x[:, CONTEXT:] += d_last + d_q @ w["q"].T
+    return (h @ w["out"]).reshape(-1, TARGETS, CLASSES), (x, last, q, a, share, mixed, h, meet, join)
+
+
+def backward(w: dict[str, np.ndarray], units: np.ndarray, kept: tuple, d_out: np.ndarray, scale: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradients, where d_out times scale (one per row) is that of the class corrections."""
+    x, last, q, a, share, mixed, h, meet, join = kept
+    many = len(units)
+    g = {"out": _crossed(h * scale, d_out)}
+    pre = d_out @ w["out"].T
+    pre *= (1 - np.abs(h)) ** 2 * scale
+    g["own"], g_join = _crossed(last, pre), _crossed(mixed, pre)
+    g["v"], g["o"] = g_join @ w["o"].T, w["v"].T @ g_join
+    d_mixed = pre @ join.T
+    d_mixed *= share
+    # A row of attention times its gradient adds up to the mixed values times theirs: one more column takes that off.
+    left = np.empty((many, TARGETS, WIDTH + 1), x.dtype)
+    left[:, :, :WIDTH] = d_mixed.reshape(many, TARGETS, WIDTH)
+    np.negative(np.einsum("ij,ij->i", d_mixed, mixed).reshape(many, TARGETS), out=left[:, :, WIDTH])
+    right = np.empty((many, SPAN - 1, WIDTH + 1), x.dtype)
+    right[:, :, :WIDTH], right[:, :, WIDTH] = x, 1
+    d_s = left @ right.transpose(0, 2, 1)
+    d_s *= a
+    d_q = _flat(d_s @ x)
+    d_x = a.transpose(0, 2, 1) @ d_mixed.reshape(many, TARGETS, WIDTH)
+    d_x += d_s.transpose(0, 2, 1) @ q
+    d_last = pre @ w["own"].T
+    d_last += d_q @ meet.T
+    d_x[:, CONTEXT:] += d_last.reshape(many, TARGETS, WIDTH)
+    g_meet = _crossed(last, d_q) * _SCALE
+    g["q"], g["k"] = g_meet @ w["k"], g_meet.T @ w["q"]
     g["place"], g["embed"] = d_x.sum(0), np.zeros_like(w["embed"])
-    order = np.argsort(units, axis=None, kind="stable")
-    found, first = np.unique(units.ravel()[order], return_index=True)
-    g["embed"][found] = np.add.reduceat(flat(d_x)[order], first)
+    # Units fit 16 bits, which sort fast; pairs of numbers are added as one complex number.
+    unit = units.astype(np.uint16).ravel()
+    order = np.argsort(unit, kind="stable")
+    unit = unit[order]
+    first = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+    pairs = np.take(_flat(d_x), order, axis=0).view(np.result_type(d_x, np.complex64))
+    g["embed"][unit[first]] = np.add.reduceat(pairs, first).view(d_x.dtype)
     return g
 
 
@@ -258,19 +292,18 @@ def loss(model: Model, w: dict[str, np.ndarray], units: np.ndarray, valid: np.nd
     """Mean cross-entropy of the classes of valid targets, and its gradient."""
     bias, group = _biased(model, units)
     out, kept = forward(w, units[:, :-1])
-    z = (out + bias).reshape(-1, CLASSES)
-    z -= z.max(1, keepdims=True)
-    target = np.arange(len(z)), group.ravel()
+    z = _flat(out)
+    z += _flat(bias)
+    del bias
+    target = np.arange(0, z.size, CLASSES) + group.ravel()
     # A plain float: a 64-bit scalar of numpy would turn the whole backward pass into 64 bits.
     weight = valid.ravel().astype(np.float32) / float(max(1, valid.sum()))
-    own = z[target]
-    d = np.exp(z, out=z)
-    total = d.sum(1, keepdims=True)
-    d /= total
-    d[target] -= 1
-    d *= weight[:, None]
-    value = float(((np.log(total[:, 0]) - own) * weight).sum())
-    return value, backward(w, units[:, :-1], kept, d.reshape(out.shape))
+    own = np.take(z, target)
+    d = np.exp(np.clip(z, -LARGEST, LARGEST, out=z), out=z)
+    total = d @ np.ones(CLASSES, np.float32)
+    d.ravel()[target] -= total
+    value = float(((np.log(total) - own) * weight).sum())
+    return value, backward(w, units[:, :-1], kept, d, (weight / total)[:, None])
 
 
 def windows(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -307,42 +340,48 @@ def batches(frames: Iterator[pd.DataFrame], number: int) -> Iterator[tuple[np.nd
             yield tokens[order[b : b + BATCH]], valid[order[b : b + BATCH]]
 
 
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The weights that `flat` holds one after the other."""
+    ends = np.cumsum([v.size for v in like.values()])
+    return {k: part.reshape(v.shape) for (k, v), part in zip(like.items(), np.split(flat, ends[:-1]))}
+
+
 def train(texts: DataFrame, model: Model) -> Model:
     """Fit the attention: every task makes one pass of Adam over all windows of its training texts, the tasks'
     weights are averaged by how many windows they saw, ROUNDS times."""
     spark = texts.sparkSession
     w = fresh_weights()
-    shapes = {k: v.shape for k, v in w.items()}
     for number in range(ROUNDS):
         held = spark.sparkContext.broadcast((model, w))
 
         def run(frames: Iterator[pd.DataFrame], number=number, held=held) -> Iterator[pd.DataFrame]:
             own, start = held.value
-            w = {k: v.copy() for k, v in start.items()}
-            m, s = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+            flat = np.concatenate([v.ravel() for v in start.values()])
+            w = _views(flat, start)
+            m, s = np.zeros_like(flat), np.zeros_like(flat)
             step, seen = 0, 0
             for tokens, valid in batches(frames, number):
                 units = own.unit[tokens]
                 _, g = loss(own, w, units, valid)
                 step, seen = step + 1, seen + len(units)
-                for k in w:
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    s[k] = 0.99 * s[k] + 0.01 * g[k] ** 2
-                    move = (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)
-                    w[k] -= np.float32(RATE / (1 + number)) * move
+                d = np.concatenate([g[k].ravel() for k in w])
+                m *= 0.9
+                m += 0.1 * d
+                s *= 0.99
+                s += 0.01 * d**2
+                move = np.sqrt(s / (1 - 0.99**step))
+                move += 1e-6
+                np.divide(m, move, out=move)
+                move *= RATE / (1 + number) / (1 - 0.9**step)
+                flat -= move
             if seen:
-                flat = np.concatenate([w[k].ravel() for k in shapes])
                 yield pd.DataFrame({"pos": np.arange(len(flat)), "v": flat * float(seen), "n": float(seen)})
 
         rows = texts.filter("train").select("ids").mapInPandas(run, "pos long, v double, n double")
         mean = rows.groupBy("pos").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()  # one row per weight
         if not len(mean):
             break
-        flat, at = mean.sort_values("pos")["v"].to_numpy(np.float32), 0
-        for k, shape in shapes.items():
-            size = int(np.prod(shape))
-            w[k] = flat[at : at + size].reshape(shape)
-            at += size
+        w = _views(mean.sort_values("pos")["v"].to_numpy(np.float32), w)
     model.weights = w
     return model
 
@@ -359,9 +398,10 @@ def log10_probability(model: Model, ids: list[np.ndarray], batch: int = 256) ->
         bias, group = _biased(model, units)
         z, _ = forward(model.weights, units[:, :-1])
         z += bias
-        top = np.take_along_axis(z, group[..., None].astype(np.int64), 2)[..., 0]
-        np.exp(np.minimum(z, LARGEST, out=z), out=z)
-        picked = np.minimum(top, LARGEST) - np.log(z @ np.ones(CLASSES, np.float32))
+        np.clip(z, -np.inf, LARGEST, out=z)
+        top = np.take(z, np.arange(0, z.size, CLASSES) + group.ravel()).reshape(group.shape)
+        np.exp(z, out=z)
+        picked = top - np.log(z @ np.ones(CLASSES, np.float32))
         target, last = units[:, CONTEXT + 1 :], units[:, CONTEXT:-1]
         picked = picked + model.inside[last, target] + model.rare[here[:, CONTEXT + 1 :]]
         out[at : at + batch] = (picked * valid[at : at + batch]).sum(1, dtype=np.float64)
