@@ -61,7 +61,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def prepared(docs: DataFrame, train: Column, head: dict[bytes, int], file: str) -> DataFrame:
     """A stored table with the words and ids of every text: rid, doc_id, train, n_words, head_known, head_sum
-    (logarithms of the counts plus one of frequent words), tail (all other words), ids."""
+    (logarithms of the counts plus one of frequent words), tail (all other words, each once), times (how often), ids."""
     spark = ready(docs.sparkSession)
     known = spark.sparkContext.broadcast({w: float(np.log10(c + 1)) for w, c in head.items()})
 
@@ -72,12 +72,18 @@ def prepared(docs: DataFrame, train: Column, head: dict[bytes, int], file: str)
             for text, ids in zip(frame["text"], encode(list(frame["text"]), file)):
                 words = split_words(text)
                 logs = list(map(get, words))
-                tail = [w for w, v in zip(words, logs) if v is None]
-                rows.append((len(words), len(words) - len(tail), sum(filter(None, logs)), tail, ids.astype("<u2").tobytes()))
-            part = pd.DataFrame(rows, columns=["n_words", "head_known", "head_sum", "tail", "ids"])
+                tail = Counter([w for w, v in zip(words, logs) if v is None])
+                known_words = len(words) - sum(tail.values())
+                rows.append(
+                    (len(words), known_words, sum(filter(None, logs)), list(tail), list(tail.values()), ids.astype("<u2").tobytes())
+                )
+            part = pd.DataFrame(rows, columns=["n_words", "head_known", "head_sum", "tail", "times", "ids"])
             yield pd.concat([frame[["rid", "doc_id", "train"]].reset_index(drop=True), part], axis=1)
 
-    schema = "rid long, doc_id long, train boolean, n_words long, head_known long, head_sum double, tail array<binary>, ids binary"
+    schema = (
+        "rid long, doc_id long, train boolean, n_words long, head_known long, head_sum double, "
+        "tail array<binary>, times array<long>, ids binary"
+    )
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", train.alias("train"), "text")
     return store(rows.mapInPandas(run, schema), "lm-texts")
 
@@ -437,8 +443,9 @@ def score_texts(docs: DataFrame, train_if: Column, file: str = WORD_BPE) -> Data
     narrow = texts.select("rid", "doc_id", "train", "n_words", "head_known", "head_sum", "ids")
     schema = "rid long, doc_id long, train boolean, n_words long, head_known long, head_sum double, score double"
     scored = narrow.mapInPandas(run, schema)
-    # Frequent words are settled where the text is read; only rare ones travel.
-    tail = texts.select("rid", F.explode("tail").alias("word")).groupBy("rid", "word").agg(F.count(F.lit(1)).alias("m"))
+    # Frequent words are settled where the text is read; only rare ones travel, once for each text.
+    tail = texts.select("rid", F.explode(F.arrays_zip("tail", "times")).alias("own"))
+    tail = tail.select("rid", F.col("own.tail").alias("word"), F.col("own.times").alias("m"))
     tail = tail.join(counts, "word").groupBy("rid").agg(
         F.sum("m").alias("tail_known"), F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("tail_sum")
     )

@@ -4,8 +4,10 @@ import tracemalloc
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from rollout_quality.llm import lm
+from rollout_quality.llm.common import ready
 
 
 def test_every_id_is_a_training_target_once():
@@ -54,3 +56,10 @@ def test_a_step_holds_few_copies_of_its_scores():
     # Scores of classes and of attention, in 32 bits.
     scores = 4 * lm.BATCH * lm.TARGETS * (lm.CLASSES + lm.SPAN - 1)
     assert most < 5 * scores
+
+
+def test_rare_words_are_stored_once_a_text(spark):
+    docs = ready(spark).createDataFrame([(1, "rare often RARE thing"), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm.prepared(docs, F.lit(True), {b"often": 3}, lm.WORD_BPE).collect()}
+    assert dict(zip(map(bytes, got[1]["tail"]), got[1]["times"])) == {b"rare": 2, b"thing": 1} and len(got[1]["tail"]) == 2
+    assert (got[1]["n_words"], got[1]["head_known"], got[2]["n_words"], got[2]["tail"]) == (4, 1, 0, [])
