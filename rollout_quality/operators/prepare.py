@@ -11,7 +11,7 @@ from rollout_quality.functions import records as R
 from rollout_quality.functions.numeric import answer_type, normalise_numeric
 from rollout_quality.functions.text import digest, question_fingerprint, strip
 from rollout_quality.operators.indexing import ROWS_PER_BUCKET, with_position
-from rollout_quality.schemas import ANALYSIS_FIELDS, PUBLIC_FIELDS
+from rollout_quality.schemas import ANALYSIS_FIELDS, MESSAGES, PUBLIC_FIELDS
 
 
 def index_split(
@@ -57,6 +57,15 @@ def check_rows(raw: DataFrame, cfg: BuildConfig = BuildConfig()) -> DataFrame:
     return checked.withColumn("difficulty", R.difficulty(F.col("reference_solution")))
 
 
+def _prompt(cfg: BuildConfig) -> Column:
+    return F.when(F.col("error").isNull(), R.build_prompt(F.col("question"), cfg.system_prompt))
+
+
+def with_prompts(processed: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """Processed rows that were stored without their prompts, which follow from the questions."""
+    return processed.withColumn("prompt_messages", _prompt(cfg).cast(MESSAGES))
+
+
 def process_split(
     raw: DataFrame,
     cfg: BuildConfig = BuildConfig(),
@@ -72,8 +81,7 @@ def process_split(
     finished column instead of parsing again. With `key=None` the input already has its `idx`.
     """
     checked = check_rows(raw, cfg)
-    good = F.col("error").isNull()
-    prompt = F.when(good, R.build_prompt(F.col("question"), cfg.system_prompt))
+    good, prompt = F.col("error").isNull(), _prompt(cfg)
     if metrics:
         checked = with_metrics(checked, prompt)
     indexed = checked if key is None else index_split(checked, key, rows_per_bucket=rows_per_bucket)

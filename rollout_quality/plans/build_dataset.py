@@ -1,8 +1,9 @@
 """End-to-end dataset build: load, prepare, report, gate, write.
 
 Rows are prepared once and stored in the shared folder together with narrow report columns. Reports, leakage
-check and gates read only those columns; the sinks read the rest. Gates run before anything is written to the
-output folder. Artifacts are published together (`plans.commit`); what a build works with goes when it ends.
+check and gates read only those columns; the sinks read the rest and make the prompts, which are not stored. Gates run
+before anything is written to the output folder. Artifacts are published together (`plans.commit`). What a build works
+with goes when it ends, or once all but the last artifact is written, which is a part of another one.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from rollout_quality.operators.gates import enforce, quality_gates
 from rollout_quality.operators.scoring import contract_columns
 from rollout_quality.plans.commit import StagedOutput
 from rollout_quality.schemas import ANALYSIS_FIELDS, PUBLIC_FIELDS, record_type
-from rollout_quality.session import WorkFolder, cut_lineage, run_together, write_and_reread
+from rollout_quality.session import TEXT_CODEC, WorkFolder, cut_lineage, run_together, write_and_reread
 from rollout_quality.sources.sinks import (
     artifact_paths,
     write_columnar,
@@ -119,8 +120,9 @@ def build_dataset(
     """
     spark = raw.sparkSession
     paths = artifact_paths(output_dir, cfg)
-    with WorkFolder(spark, "build"):
-        processed = write_and_reread(prepare_rows(raw, cfg, key), "processed", "split")
+    with WorkFolder(spark, "build") as work:
+        prepared = prepare_rows(raw, cfg, key).drop("prompt_messages")
+        processed = write_and_reread(prepared, "processed", "split", codec=TEXT_CODEC)
         records = prepare.accepted(processed)
 
         # A few rows each; stored so that gates, manifest and reports do not recompute them.
@@ -130,28 +132,38 @@ def build_dataset(
         if enforce_gates:
             enforce(violations)
 
-        views = {"trainer": records.select(*PUBLIC_FIELDS), "analysis": records.select(*ANALYSIS_FIELDS)}
+        def shaped(fields: tuple[str, ...], rows: DataFrame) -> DataFrame:
+            return prepare.with_prompts(rows, cfg).select(*fields)
+
+        views = {"trainer": partial(shaped, PUBLIC_FIELDS), "analysis": partial(shaped, ANALYSIS_FIELDS)}
         reports = {
             "manifest": manifest(split_report, report.failure_codes(processed), cfg, paths),
-            "dataset_summary": report.dataset_summary(views["trainer"]),
+            "dataset_summary": report.dataset_summary(views["trainer"](records)),
             "validation_summary": split_report.orderBy("ord"),
             "leakage_report": leaks.orderBy("ord"),
             "violations": violations.orderBy("seq"),
         }
         with StagedOutput(spark, output_dir) as output:
             staged = artifact_paths(output.path, cfg)
-            writes, kinds = [], ["reports"]
+            writes, kinds, most = [], ["reports"], cfg.max_records_per_file
             for name, view in views.items():
                 if cfg.save_jsonl:
                     kinds.append(f"{name}_jsonl")
-                    writes.append(partial(write_jsonl, view, staged[kinds[-1]], cfg.splits, cfg.max_records_per_file))
+                    writes.append(partial(write_jsonl, records, staged[kinds[-1]], cfg.splits, most, shape=view))
                 if cfg.save_columnar:
                     kinds.append(f"{name}_parquet")
-                    writes.append(partial(write_columnar, view, staged[kinds[-1]], cfg.max_records_per_file))
             reasons = report.failure_reasons(processed)
             writes.append(partial(write_jsonl_table, reasons, f"{staged['reports']}/failure_reasons"))
             writes += [partial(write_report, built, f"{staged['reports']}/{n}") for n, built in reports.items()]
             run_together(spark, *writes)
+            if cfg.save_columnar:
+                # One after the other: the trainer's fields are read from the analysis records, so that the working
+                # tables need no room beside both.
+                write_columnar(records, staged["analysis_parquet"], most, shape=views["analysis"])
+                work.clear()
+                fields = record_type(True, cfg.add_difficulty)
+                analysis = spark.read.schema(fields).parquet(staged["analysis_parquet"])
+                write_columnar(analysis.select(*PUBLIC_FIELDS), staged["trainer_parquet"], most)
             output.publish([staged[k].removeprefix(f"{output.path}/") for k in kinds])
 
     def saved(name: str) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,6 +17,9 @@ from rollout_quality.files import Files
 
 # A side is broadcast only if a count proves at most this many narrow rows (a key and a few scalars).
 BROADCAST_ROWS = 1_000_000
+# Stored texts take two thirds of the room that Spark's default codec needs.
+TEXT_CODEC = "zstd"
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", app: str = "rollout-quality", **conf: str) -> SparkSession:
@@ -54,20 +59,54 @@ def with_local_folder(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Sessions with open runs: how many, and their setting before the first.
+_DROPPING: dict[SparkSession, tuple[int, str | None]] = {}
+_LOCK = Lock()
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside the block, the shuffle files of a query go when the query ends, not when the driver happens to collect
+    garbage. The setting is the session's, so runs that are open at the same time share it."""
+    with _LOCK:
+        runs, before = _DROPPING.get(spark) or (0, spark.conf.get(_SHUFFLE_CLEANUP, None))
+        _DROPPING[spark] = runs + 1, before
+        spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _LOCK:
+            runs, before = _DROPPING.pop(spark)
+            if runs > 1:
+                _DROPPING[spark] = runs - 1, before
+            elif before is None:
+                spark.conf.unset(_SHUFFLE_CLEANUP)
+            else:
+                spark.conf.set(_SHUFFLE_CLEANUP, before)
+
+
 class WorkFolder:
     """The tables that one run works with. All that is stored inside the block lies in one folder of the shared folder,
-    which goes at its end, also after an error. Frames that read it must not leave the block."""
+    which goes at its end, also after an error, or with `clear`. Frames that read it must not leave the block. Shuffle
+    files go with their queries."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path = spark, new_folder(spark, name)
 
     def __enter__(self) -> "WorkFolder":
         self._before = _RUN.set(self)
+        self._shuffles = _shuffles_dropped(self.spark)
+        self._shuffles.__enter__()
         return self
 
+    def clear(self) -> None:
+        """Drop all that is stored, once nothing reads it any more."""
+        Files(self.spark, self.path).delete(self.path)
+
     def __exit__(self, kind, value, trace) -> None:
         _RUN.reset(self._before)
-        Files(self.spark, self.path).delete(self.path)
+        self.clear()
+        self._shuffles.__exit__(None, None, None)
 
 
 _RUN: ContextVar[WorkFolder | None] = ContextVar("run", default=None)
@@ -89,10 +128,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def write_and_reread(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def write_and_reread(df: DataFrame, name: str, *partition_by: str, codec: str | None = None) -> DataFrame:
     """Cut lineage with a Parquet table, so that later readers pay only for the columns they use."""
     path = new_folder(df.sparkSession, name)
     writer = df.write.mode("error")
+    if codec:
+        writer = writer.option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rollout_quality.config import BuildConfig
+from rollout_quality.session import TEXT_CODEC
+
+# Makes records out of rows that are in order, so that what it derives from them is not sorted with them.
+Shape = Callable[[DataFrame], DataFrame]
+
+
+def _as_is(rows: DataFrame) -> DataFrame:
+    return rows
 
 
 def artifact_paths(output_dir: str, cfg: BuildConfig) -> dict[str, str]:
@@ -43,29 +51,35 @@ def sorted_columns(df: DataFrame) -> DataFrame:
 
 
 def write_jsonl(
-    df: DataFrame, path: str, splits: Sequence[str], max_records_per_file: int = 0, order: str = "idx"
+    df: DataFrame,
+    path: str,
+    splits: Sequence[str],
+    max_records_per_file: int = 0,
+    order: str = "idx",
+    shape: Shape = _as_is,
 ) -> None:
     """JSON-lines, one folder per split: keys sorted, NULL keys kept, non-ASCII text as is.
 
     The `split` key stays inside the records, so folders are written one by one; on a table partitioned by
     `split` each pass reads only its own files. Files follow each other in the order of their names.
     """
-    rows = sorted_columns(df)
     for split in splits:
-        part = rows.where(F.col("split") == split).orderBy(order)
+        part = df.where(F.col("split") == split).orderBy(order)
         (
-            part.write.mode("overwrite")
+            sorted_columns(shape(part))
+            .write.mode("overwrite")
             .option("ignoreNullFields", "false")
             .option("maxRecordsPerFile", max_records_per_file)
             .json(f"{path}/{split}")
         )
 
 
-def write_columnar(df: DataFrame, path: str, max_records_per_file: int = 0) -> None:
+def write_columnar(df: DataFrame, path: str, max_records_per_file: int = 0, shape: Shape = _as_is) -> None:
     """Parquet, one partition folder per split."""
     (
-        df.sortWithinPartitions("split", "idx")
+        shape(df.sortWithinPartitions("split", "idx"))
         .write.mode("overwrite")
+        .option("compression", TEXT_CODEC)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("split")
         .parquet(path)

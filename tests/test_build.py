@@ -1,4 +1,5 @@
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -178,6 +179,75 @@ def test_working_tables_go_when_a_build_ends(spark, tmp_path, shared):
     assert shared() == [] and not (tmp_path / "other").exists()
 
 
+def test_shuffle_files_go_with_their_query(spark):
+    """Inside a run; other queries of the session keep their setting."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffled():
+        return {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+    before, setting = shuffled(), spark.conf.get(name, None)
+    with session.WorkFolder(spark, "run"):
+        with session.WorkFolder(spark, "other"):
+            pass
+        kept = session.write_and_reread(spark.range(1000).repartition(3), "kept")
+        assert kept.count() == 1000
+        until = time.time() + 10  # files are removed in the background
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.1)
+        assert not shuffled() - before
+    assert spark.conf.get(name, None) == setting
+
+
+def test_prompts_are_not_stored_with_the_working_rows(spark, tmp_path, monkeypatch):
+    stored, store = [], build.write_and_reread
+    monkeypatch.setattr(
+        build, "write_and_reread", lambda df, *by, **how: stored.append(df.columns) or store(df, *by, **how)
+    )
+    bad = [(3, "train", "Broken", "No marker"), (4, "test", None, "Work.\n#### 1"), (5, "test", " a ", "Work.\n#### 1")]
+    build_dataset(table(spark, ROWS + bad), str(tmp_path), enforce_gates=False)
+    assert len(stored) == 1 and "question" in stored[0] and "prompt_messages" not in stored[0]
+    written = lines(tmp_path / "analysis/jsonl/train") + lines(tmp_path / "analysis/jsonl/test")
+    users = {r["question"]: r["prompt_messages"][1]["content"] for r in written}
+    assert users == {r[2]: r[2].strip() for r in [*ROWS, bad[2]]}
+
+
+def test_working_rows_go_before_the_last_artifact(spark, tmp_path, shared, monkeypatch):
+    beside, write = [], build.write_columnar
+    monkeypatch.setattr(
+        build, "write_columnar", lambda df, *at, **how: beside.append(shared() != []) or write(df, *at, **how)
+    )
+    rows = [*ROWS, (3, "train", "Broken", "No marker"), (4, "train", "What?", "So.\n#### 7")]
+    build_dataset(table(spark, rows), str(tmp_path), enforce_gates=False)
+    assert beside == [True, False]
+    for split in ("train", "test"):
+        for name, analysis in (("trainer", False), ("analysis", True)):
+            saved = tables.read_split(spark, f"{tmp_path}/{name}/parquet", split, analysis)
+            plain = tables.read_jsonl(spark, f"{tmp_path}/{name}/jsonl/{split}", saved.schema)
+            assert saved.orderBy("idx").collect() == plain.orderBy("idx").collect() != []
+
+
+def test_texts_of_columnar_artifacts_are_packed_densely(spark, tmp_path):
+    build_dataset(table(spark, ROWS), str(tmp_path))
+    names = [f for f in files_of(tmp_path) if f.endswith(".parquet")]
+    assert names and all(f.endswith(".zstd.parquet") for f in names)
+
+
+def test_jsonl_rows_are_in_order_before_they_are_shaped(spark, tmp_path):
+    plans = []
+
+    def shaped(rows):
+        plans.append(rows._jdf.queryExecution().logical().toString())
+        return rows.withColumn("prompt", F.concat("question", F.lit("!")))
+
+    df = spark.createDataFrame([(i * 7 % 20, "train", f"q{i}") for i in range(20)], "idx long, split string, question string")
+    sinks.write_jsonl(df.repartition(3), str(tmp_path / "j"), ["train"], shape=shaped)
+    assert all("Sort" in p for p in plans) and len(plans) == 1
+    written = lines(tmp_path / "j/train")
+    assert [r["idx"] for r in written] == list(range(20)) and all(r["prompt"] == r["question"] + "!" for r in written)
+
+
 @pytest.mark.parametrize("settings", [{"save_columnar": False}, {"save_columnar": False, "save_jsonl": False}])
 def test_returned_rows_without_columnar_artifact(spark, tmp_path, settings):
     result = build_dataset(table(spark, ROWS), str(tmp_path / "out"), BuildConfig(**settings))
